@@ -50,9 +50,9 @@ def request_count_if(log: DataFrame, condition: Column) -> Column:
 
 def with_keys(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop rows with a missing group key: a NULL group is not reported."""
-    for key in keys:
-        log = log.filter(F.col(key).isNotNull())
-    return log
+    if not keys:
+        return log
+    return log.filter(" AND ".join(f"`{key}` IS NOT NULL" for key in keys))
 
 
 def totals(log: DataFrame, *keys: str) -> DataFrame:

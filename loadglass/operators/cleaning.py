@@ -56,7 +56,7 @@ def has_valid_latency() -> Column:
 
 
 def has_valid_status() -> Column:
-    return F.col("status_code").isin(schema.VALID_STATUS_CODES)
+    return F.expr(f"status_code IN {tuple(schema.VALID_STATUS_CODES)}")
 
 
 def drop_invalid_response_times(raw: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def reject_reason() -> Column:
 
 
 def add_derived_columns(log: DataFrame) -> DataFrame:
-    return log.withColumns(calendar_columns(F.col("timestamp")))
+    return log.withColumns(calendar_columns())
 
 
 def keep_valid(raw: DataFrame) -> DataFrame:

@@ -20,23 +20,26 @@ def hours(spark: SparkSession) -> DataFrame:
 
 def days_and_hours(spark: SparkSession) -> DataFrame:
     """All 7 x 24 cells, Monday first."""
-    cell = F.col("id").cast("int")
-    weekday = F.floor(cell / 24).cast("int")
     return spark.range(7 * 24, numPartitions=1).select(
-        weekday.alias("day_of_week_num"),
-        day_name(weekday).alias("day_of_week"),
-        (cell % 24).alias("hour"),
+        F.expr("CAST(id DIV 24 AS INT) AS day_of_week_num"),
+        day_name("CAST(id DIV 24 AS INT)").alias("day_of_week"),
+        F.expr("CAST(id % 24 AS INT) AS hour"),
+    )
+
+
+def _listed(spark: SparkSession, values: Sequence, name: str) -> DataFrame:
+    items = ", ".join(repr(value) for value in values)
+    return spark.range(len(values), numPartitions=1).select(
+        F.expr(f"element_at(array({items}), CAST(id AS INT) + 1) AS {name}")
     )
 
 
 def services(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(name,) for name in schema.SERVICES], "service string")
+    return _listed(spark, schema.SERVICES, "service")
 
 
 def status_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(code,) for code in schema.REPORT_STATUS_CODES], "status_code int"
-    )
+    return _listed(spark, schema.REPORT_STATUS_CODES, "status_code")
 
 
 def on_services(log: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from loadglass.functions import labels
 from loadglass.functions.numeric import percent
 from loadglass.operators import spines
 from loadglass.operators.aggregate import totals
+from loadglass.operators.order import in_order
 from loadglass.plans.traffic import requests_per
 
 
@@ -25,7 +26,7 @@ def error_rate_by_hour(log: DataFrame) -> DataFrame:
     return (
         totals(log, "hour")
         .select("hour", rate.alias("error"), (rate * 100.0).alias("error_rate"))
-        .orderBy("hour")
+        .transform(in_order, "hour")
     )
 
 
@@ -37,7 +38,7 @@ def daily_errors(log: DataFrame) -> DataFrame:
             error_percent().alias("error_rate"),
             F.col("requests").alias("total_requests"),
         )
-        .orderBy("date")
+        .transform(in_order, "date")
     )
 
 
@@ -47,7 +48,7 @@ def error_status_share(log: DataFrame) -> DataFrame:
     return (
         requests_per(log.filter("error"), "status_code")
         .withColumn("share_percent", percent(F.col("requests"), whole))
-        .orderBy(F.desc("requests"), "status_code")
+        .transform(in_order, F.desc("requests"), "status_code")
     )
 
 
@@ -70,7 +71,7 @@ def error_spike_hours(log: DataFrame) -> DataFrame:
         .withColumn(
             "above_average", F.col("error_rate") > F.col("overall_error_rate")
         )
-        .orderBy("hour")
+        .transform(in_order, "hour")
     )
 
 
@@ -95,7 +96,7 @@ def error_heatmap_wide(log: DataFrame) -> DataFrame:
         .groupBy("day_of_week_num", "day_of_week")
         .pivot("hour", hours)
         .agg(F.first("error_rate"))
-        .orderBy("day_of_week_num")
+        .transform(in_order, "day_of_week_num")
     )
     return wide.select(
         "day_of_week", *[F.col(str(hour)).alias(f"h{hour:02d}") for hour in hours]

@@ -12,6 +12,7 @@ from loadglass import schema
 from loadglass.functions import load_model
 from loadglass.functions.numeric import percent, ratio
 from loadglass.operators.aggregate import LATENCY, totals
+from loadglass.operators.order import in_order
 from loadglass.plans.traffic import requests_per
 
 
@@ -26,7 +27,7 @@ def traffic_band(log: DataFrame) -> DataFrame:
             load_model.traffic_multiplier(hour).alias("multiplier"),
             "requests",
         )
-        .orderBy("hour")
+        .transform(in_order, "hour")
     )
 
 
@@ -40,7 +41,7 @@ def day_multiplier(log: DataFrame) -> DataFrame:
             load_model.day_multiplier(day).alias("multiplier"),
             "requests",
         )
-        .orderBy("day_of_week_num")
+        .transform(in_order, "day_of_week_num")
     )
 
 
@@ -150,5 +151,5 @@ def error_code_mix(log: DataFrame) -> DataFrame:
             "observed_share",
             F.col("weight").alias("configured_share"),
         )
-        .orderBy("status_code")
+        .transform(in_order, "status_code")
     )

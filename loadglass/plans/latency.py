@@ -18,6 +18,7 @@ from loadglass.operators.aggregate import (
     sample_deviation,
     sum_of_squares,
 )
+from loadglass.operators.order import in_order
 
 
 def response_time_stats(log: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def response_by_hour(log: DataFrame) -> DataFrame:
             round_half_even(quantile(0)).alias("median_ms"),
             round_half_even(quantile(1)).alias("p95_ms"),
         )
-        .orderBy("hour")
+        .transform(in_order, "hour")
     )
 
 
@@ -64,7 +65,7 @@ def daily_response(log: DataFrame) -> DataFrame:
             mean_latency().alias("mean_ms"),
             quantile(0).alias("p95_ms"),
         )
-        .orderBy("date")
+        .transform(in_order, "date")
     )
 
 
@@ -77,7 +78,7 @@ def response_trend(log: DataFrame) -> DataFrame:
             round_half_even(quantile(0)).alias("median_ms"),
             round_half_even(quantile(1)).alias("p95_ms"),
         )
-        .orderBy("date")
+        .transform(in_order, "date")
     )
 
 
@@ -94,7 +95,7 @@ def daily_metrics(log: DataFrame) -> DataFrame:
             F.col("errors").alias("error_count"),
             F.col("requests").alias("total_requests"),
         )
-        .orderBy("date")
+        .transform(in_order, "date")
     )
 
 
@@ -109,5 +110,5 @@ def hourly_metrics(log: DataFrame) -> DataFrame:
             coarse_percent(F.col("errors"), F.col("requests")).alias("error_rate"),
             F.col("requests").alias("total_requests"),
         )
-        .orderBy("hour")
+        .transform(in_order, "hour")
     )

@@ -11,6 +11,7 @@ from loadglass.functions.numeric import (
     round_half_even,
 )
 from loadglass.operators.aggregate import mean_latency, profile, quantile, totals
+from loadglass.operators.order import in_order
 from loadglass.plans.errors import error_percent
 
 
@@ -25,7 +26,7 @@ def peak_vs_offpeak(log: DataFrame) -> DataFrame:
             coarse_percent(F.col("errors"), F.col("requests")).alias("error_rate"),
             F.col("requests").alias("request_count"),
         )
-        .orderBy("period")
+        .transform(in_order, "period")
     )
 
 
@@ -67,7 +68,7 @@ def peak_comparison(log: DataFrame) -> DataFrame:
             error_percent().alias("error"),
             labels.period(F.col("is_peak_hour")).alias("period"),
         )
-        .orderBy("is_peak_hour")
+        .transform(in_order, "is_peak_hour")
     )
 
 
@@ -81,5 +82,5 @@ def metric_labels(log: DataFrame) -> DataFrame:
             labels.percent_label(error_percent()).alias("error_label"),
             labels.count_label(F.col("requests")).alias("requests_label"),
         )
-        .orderBy("period")
+        .transform(in_order, "period")
     )

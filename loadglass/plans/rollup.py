@@ -34,7 +34,7 @@ def with_calendar(rollup: DataFrame) -> DataFrame:
     weekday = F.weekday("date")
     return rollup.withColumns(
         {
-            "day_of_week": day_name(weekday),
+            "day_of_week": day_name("weekday(date)"),
             "day_of_week_num": weekday,
             "is_weekend": weekday >= 5,
             "is_peak_hour": is_peak(F.col("hour")),

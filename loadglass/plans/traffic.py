@@ -8,6 +8,7 @@ from loadglass.functions.calendar import is_peak
 from loadglass.functions.numeric import percent
 from loadglass.operators import spines
 from loadglass.operators.aggregate import totals
+from loadglass.operators.order import in_order
 
 
 def requests_per(log: DataFrame, *keys: str) -> DataFrame:
@@ -15,11 +16,11 @@ def requests_per(log: DataFrame, *keys: str) -> DataFrame:
 
 
 def requests_by_hour(log: DataFrame) -> DataFrame:
-    return requests_per(log, "hour").orderBy("hour")
+    return requests_per(log, "hour").transform(in_order, "hour")
 
 
 def requests_by_day(log: DataFrame) -> DataFrame:
-    return requests_per(log, "date").orderBy("date")
+    return requests_per(log, "date").transform(in_order, "date")
 
 
 def service_counts(log: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def status_counts(log: DataFrame) -> DataFrame:
     return (
         requests_per(log, "status_code")
         .withColumn("outcome", labels.outcome_by_200(F.col("status_code")))
-        .orderBy(F.desc("requests"), "status_code")
+        .transform(in_order, F.desc("requests"), "status_code")
     )
 
 
@@ -83,7 +84,7 @@ def hourly_vs_average(log: DataFrame) -> DataFrame:
         requests_per(log, "hour")
         .withColumn("average_requests", average)
         .withColumn("above_average", F.col("requests") > F.col("average_requests"))
-        .orderBy("hour")
+        .transform(in_order, "hour")
     )
 
 

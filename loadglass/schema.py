@@ -122,24 +122,28 @@ HISTOGRAM_BINS = 50
 # ------------------------------------------------------------------------------
 
 
+def _inline(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """Constants as an inline table, whose exact size the optimizer knows."""
+
+    def literal(value: object) -> str:
+        return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+    values = ", ".join(f"({', '.join(map(literal, row))})" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
 def endpoint_dim(spark: SparkSession) -> DataFrame:
     """The 12 known endpoints with their load-model constants."""
-    return spark.createDataFrame(
-        ENDPOINTS,
-        "service string, slot int, endpoint string, base_ms int, "
-        "base_error_rate double, weight double",
+    return _inline(
+        spark, ENDPOINTS, "service, slot, endpoint, base_ms, base_error_rate, weight"
     )
 
 
 def service_dim(spark: SparkSession) -> DataFrame:
     """The 3 known services with their base traffic."""
-    return spark.createDataFrame(
-        SERVICE_BASE_REQUESTS, "service string, base_requests int"
-    )
+    return _inline(spark, SERVICE_BASE_REQUESTS, "service, base_requests")
 
 
 def error_code_dim(spark: SparkSession) -> DataFrame:
     """The 7 error codes with their configured share among errors."""
-    return spark.createDataFrame(
-        ERROR_CODE_WEIGHTS, "status_code int, weight double"
-    )
+    return _inline(spark, ERROR_CODE_WEIGHTS, "status_code, weight")

@@ -6,7 +6,7 @@ integer ``k``. The mapping is arithmetic on those, so any engine can repeat it.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +26,8 @@ EVENTS = T.StructType(
 ERROR_CODES = [code for code, _ in schema.ERROR_CODE_WEIGHTS]
 
 
-def _pick(values: Sequence, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(value) for value in values]), index + 1)
+def _constants(values: Sequence) -> str:
+    return f"array({', '.join(repr(value) for value in values)})"
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,30 +39,27 @@ def to_raw_log(events: DataFrame) -> DataFrame:
 
     Service and endpoint are looked up in constant arrays, which needs no join.
     """
-    event_id, user_id, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    service = F.pmod(user_id, F.lit(3)).cast("int")
-    slot = F.pmod(k, F.lit(4))
-    error = (F.col("event_type") == "error") & (k % 5 == 0)
-    status = (
-        F.when(event_id % 2000 == 11, schema.BAD_STATUS)
-        .when(error, _pick(ERROR_CODES, F.pmod(F.floor(k / 5), F.lit(7)).cast("int")))
-        .when(F.col("event_type") == "signup", 201)
-        .otherwise(200)
-    )
-    latency = F.when(event_id % 1000 == 7, schema.BAD_LATENCY).otherwise(
-        F.greatest(F.lit(10), F.floor(value * 3).cast("int"))
-    )
-    return events.select(
-        event_id,
-        F.col("ts").alias("timestamp"),
-        _pick(schema.SERVICES, service).alias("service"),
-        _pick([row[2] for row in schema.ENDPOINTS], service * 4 + slot).alias(
-            "endpoint"
-        ),
-        latency.alias("response_time_ms"),
-        status.cast("int").alias("status_code"),
-        error.alias("error"),
+    endpoints = _constants([row[2] for row in schema.ENDPOINTS])
+    return events.selectExpr(
+        "event_id",
+        "ts",
+        "event_type",
+        "value",
+        "CAST(pmod(user_id, 3) AS INT) AS service_no",
+        "try_cast(get_json_object(props, '$.k') AS INT) AS k",
+    ).selectExpr(
+        "event_id",
+        "ts AS timestamp",
+        f"element_at({_constants(schema.SERVICES)}, service_no + 1) AS service",
+        f"element_at({endpoints}, service_no * 4 + pmod(k, 4) + 1) AS endpoint",
+        f"""CASE WHEN event_id % 1000 = 7 THEN {schema.BAD_LATENCY}
+            ELSE greatest(10, CAST(floor(value * 3) AS INT)) END AS response_time_ms""",
+        f"""CASE WHEN event_id % 2000 = 11 THEN {schema.BAD_STATUS}
+            WHEN event_type = 'error' AND k % 5 = 0
+              THEN element_at({_constants(ERROR_CODES)}, CAST(pmod(k DIV 5, 7) AS INT) + 1)
+            WHEN event_type = 'signup' THEN 201
+            ELSE 200 END AS status_code""",
+        "event_type = 'error' AND k % 5 = 0 AS error",
     )
 
 
