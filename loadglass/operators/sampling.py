@@ -1,9 +1,11 @@
 """Samples of an exact size, repeatable because they are chosen by hash.
 
 The n rows with the smallest hash of their id are a uniform sample. To find them
-without sorting the table or sending n rows anywhere, rows are counted per hash
-prefix; the prefix in which the n-th row falls is ranked exactly, and the sample
-is then one comparison with that n-th hash. Ids must be unique.
+without sorting the table or sending n rows anywhere, the hash of the n-th row is
+narrowed down digit by digit: rows are counted per short prefix, which leaves one
+prefix that the n-th row falls into; its rows are counted per longer prefix; the
+few rows left are ranked. The sample is then one comparison with that hash. Each
+step reads the id column only. Ids must be unique.
 """
 
 from collections.abc import Callable
@@ -11,9 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# 16**5 = 1,048,576 prefixes: the counts are bounded by that, and the one prefix
-# that is ranked holds a millionth of the rows.
-PREFIX_DIGITS = 5
+# Hex digits of the hash after each step. The first keeps 4,096 counts per task, so
+# nearly all counting happens before the shuffle; the second counts 1 / 4,096 of the
+# rows in 65,536 groups; the rows left to rank are one in 268 million.
+STEPS = [3, 7]
 
 
 def id_hash(id_column: Column, salt: str = "") -> Column:
@@ -34,6 +37,30 @@ def rounded_fraction(fraction: float) -> Callable[[Column], Column]:
     return lambda rows: F.rint(rows * F.lit(float(fraction))).cast("long")
 
 
+def _narrow(rows: DataFrame, digits: int, rank: Column) -> DataFrame:
+    """One row: the prefix the row with this rank falls into, and its rank there.
+
+    The windows run over the counts of one step, 65,536 at most.
+    """
+    return (
+        rows.groupBy(F.substring("hash", 1, digits).alias("prefix"))
+        .agg(F.count(F.lit(1)).alias("n"), rank.alias("given"))
+        .withColumn("before", F.sum("n").over(Window.orderBy("prefix")) - F.col("n"))
+        .filter(
+            (F.col("given") > F.col("before"))
+            & (F.col("given") <= F.col("before") + F.col("n"))
+        )
+        .select("prefix", (F.col("given") - F.col("before")).alias("rank"))
+    )
+
+
+def _within(rows: DataFrame, edge: DataFrame, digits: int) -> DataFrame:
+    """The rows of the prefix, with the rank; ``edge`` is a single row."""
+    return rows.withColumn("prefix", F.substring("hash", 1, digits)).join(
+        F.broadcast(edge), "prefix"
+    )
+
+
 def last_hash(
     rows: DataFrame,
     id_column: str,
@@ -45,23 +72,12 @@ def last_hash(
     A row belongs to the sample when its hash is not greater.
     """
     hashed = rows.select(id_hash(F.col(id_column), salt).alias("hash"))
-    prefix = F.substring("hash", 1, PREFIX_DIGITS)
-    in_order = Window.orderBy("prefix")
-    edge = (
-        hashed.groupBy(prefix.alias("prefix"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.sum("n").over(in_order) - F.col("n"))
-        .withColumn("wanted", size(F.sum("n").over(Window.partitionBy())))
-        .filter(
-            (F.col("wanted") > F.col("before"))
-            & (F.col("wanted") <= F.col("before") + F.col("n"))
-        )
-        .select("prefix", (F.col("wanted") - F.col("before")).alias("rank"))
-    )
+    left = hashed.withColumn("rank", size(rows.agg(F.count(F.lit(1))).scalar()))
+    for digits in STEPS:
+        edge = _narrow(left, digits, F.max("rank"))
+        left = _within(hashed, edge, digits)
     return (
-        hashed.withColumn("prefix", prefix)
-        .join(F.broadcast(edge), "prefix")
-        .withColumn("position", F.row_number().over(Window.orderBy("hash")))
+        left.withColumn("position", F.row_number().over(Window.orderBy("hash")))
         .filter(F.col("position") == F.col("rank"))
         .select("hash")
         .scalar()

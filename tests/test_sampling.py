@@ -32,7 +32,7 @@ def test_exact_size_and_members(spark, rows, size, wanted):
 
 
 def test_edge_of_a_crowded_prefix(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(sampling, "STEPS", [1, 2])
     ids = spark.range(1000).withColumnRenamed("id", "event_id")
     found = sampling.sample(ids, "event_id", sampling.rounded_fraction(0.3)).collect()
     assert {row.event_id for row in found} == smallest(range(1000), 300)
