@@ -11,7 +11,6 @@ from loadglass.operators.aggregate import (
     P95,
     P99,
     error_count,
-    frequency,
     mean_latency,
     profile_columns,
     quantile,
@@ -24,7 +23,7 @@ def _hour_totals() -> Column:
     """Requests of each hour 0 to 23 in an array; NULL for an hour without any."""
     return F.array(
         *[
-            F.sum(F.when(F.col("hour") == hour, F.col("requests")))
+            F.sum(F.when(F.col("hour") == hour, F.col("time_requests")))
             for hour in range(24)
         ]
     )
@@ -63,17 +62,43 @@ def _first_hour(hours: Column, most: bool) -> Column:
     return F.array_min(ranked)["hour"]
 
 
-def _whole_log(log: DataFrame) -> DataFrame:
-    """Everything the two dashboards' figures need, in one row.
+def _latency_and_time(log: DataFrame, *time_keys: str) -> DataFrame:
+    """Counts per latency and, apart from them, counts per time key.
 
-    Only the first grouping touches the log. The set of days is bounded by the
-    calendar, the hour totals by the clock.
+    One pass with two grouping sets. A task of unordered rows then sends the sum of
+    both key counts through the shuffle, where grouping by all keys together would
+    send their product. Columns of the other set are NULL, so sums skip them.
     """
+    grouped = log.groupingSets([[LATENCY], list(time_keys)], LATENCY, *time_keys).agg(
+        request_count(log).alias("all_requests"),
+        error_count(log).alias("all_errors"),
+        F.grouping(LATENCY).alias("is_time_row"),
+    )
+
+    def on(is_time_row: int, column: str) -> Column:
+        return F.when(F.col("is_time_row") == is_time_row, F.col(column))
+
+    return grouped.select(
+        LATENCY,
+        *time_keys,
+        on(0, "all_requests").alias("requests"),
+        on(0, "all_errors").alias("errors"),
+        on(1, "all_requests").alias("time_requests"),
+    )
+
+
+def _days() -> Column:
+    """The number of days; the set is bounded by the calendar."""
+    return F.size(F.collect_set("date")).cast("long")
+
+
+def _whole_log(log: DataFrame) -> DataFrame:
+    """Everything the two dashboards' figures need, in one row."""
     return (
-        frequency(log, "date", "hour")
+        _latency_and_time(log, "date", "hour")
         .agg(
             *profile_columns([P95]),
-            F.size(F.collect_set("date")).cast("long").alias("total_days"),
+            _days().alias("total_days"),
             _hour_totals().alias("hour_totals"),
         )
         .withColumn("hours", _present_hours())
@@ -112,12 +137,12 @@ def summary_dashboard(log: DataFrame) -> DataFrame:
 def clean_summary(log: DataFrame) -> DataFrame:
     """What the clean stage prints about its result."""
     return (
-        frequency(log, "date")
+        _latency_and_time(log, "date")
         .agg(
             *profile_columns([MEDIAN, P95, P99]),
             F.min("date").alias("first_date"),
             F.max("date").alias("last_date"),
-            F.size(F.collect_set("date")).cast("long").alias("unique_days"),
+            _days().alias("unique_days"),
         )
         .select(
             F.col("requests").alias("total_records"),

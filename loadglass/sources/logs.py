@@ -11,7 +11,7 @@ from loadglass.operators.cleaning import parse_log
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
-def _text(columns: T.StructType) -> T.StructType:
+def text_schema(columns: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns.names])
 
 
@@ -24,7 +24,7 @@ def read_raw_text(
     """
     columns = schema.with_event_id(schema.RAW_LOG) if event_id else schema.RAW_LOG
     return (
-        spark.read.schema(_text(columns))
+        spark.read.schema(text_schema(columns))
         .option("header", True)
         .option("enforceSchema", False)
         .csv(path)
