@@ -5,7 +5,7 @@ without sorting the table or sending n rows anywhere, the hash of the n-th row i
 narrowed down digit by digit: rows are counted per short prefix, which leaves one
 prefix that the n-th row falls into; its rows are counted per longer prefix; the
 few rows left are ranked. The sample is then one comparison with that hash. Each
-step reads the id column only. Ids must be unique.
+step reads the id column only. Ids must be unique; rows without one are left out.
 """
 
 from collections.abc import Callable
@@ -37,20 +37,25 @@ def rounded_fraction(fraction: float) -> Callable[[Column], Column]:
     return lambda rows: F.rint(rows * F.lit(float(fraction))).cast("long")
 
 
-def _narrow(rows: DataFrame, digits: int, rank: Column) -> DataFrame:
-    """One row: the prefix the row with this rank falls into, and its rank there.
+def _prefix_counts(rows: DataFrame, digits: int, *carried: Column) -> DataFrame:
+    return rows.groupBy(F.substring("hash", 1, digits).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n"), *carried
+    )
+
+
+def _edge(counts: DataFrame) -> DataFrame:
+    """One row: the prefix the row ranked ``wanted`` falls into, and its rank there.
 
     The windows run over the counts of one step, 65,536 at most.
     """
+    before = F.sum("n").over(Window.orderBy("prefix")) - F.col("n")
     return (
-        rows.groupBy(F.substring("hash", 1, digits).alias("prefix"))
-        .agg(F.count(F.lit(1)).alias("n"), rank.alias("given"))
-        .withColumn("before", F.sum("n").over(Window.orderBy("prefix")) - F.col("n"))
+        counts.withColumn("before", before)
         .filter(
-            (F.col("given") > F.col("before"))
-            & (F.col("given") <= F.col("before") + F.col("n"))
+            (F.col("wanted") > F.col("before"))
+            & (F.col("wanted") <= F.col("before") + F.col("n"))
         )
-        .select("prefix", (F.col("given") - F.col("before")).alias("rank"))
+        .select("prefix", (F.col("wanted") - F.col("before")).alias("rank"))
     )
 
 
@@ -71,10 +76,17 @@ def last_hash(
 
     A row belongs to the sample when its hash is not greater.
     """
-    hashed = rows.select(id_hash(F.col(id_column), salt).alias("hash"))
-    left = hashed.withColumn("rank", size(rows.agg(F.count(F.lit(1))).scalar()))
-    for digits in STEPS:
-        edge = _narrow(left, digits, F.max("rank"))
+    first, *more = STEPS
+    # As a hash that cannot be NULL, it is computed once per row. Otherwise the joins
+    # below would first filter on it.
+    hashed = rows.filter(F.col(id_column).isNotNull()).select(
+        F.coalesce(id_hash(F.col(id_column), salt), F.lit("")).alias("hash")
+    )
+    all_rows = F.sum("n").over(Window.partitionBy())
+    edge = _edge(_prefix_counts(hashed, first).withColumn("wanted", size(all_rows)))
+    left = _within(hashed, edge, first)
+    for digits in more:
+        edge = _edge(_prefix_counts(left, digits, F.max("rank").alias("wanted")))
         left = _within(hashed, edge, digits)
     return (
         left.withColumn("position", F.row_number().over(Window.orderBy("hash")))
