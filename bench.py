@@ -7,6 +7,7 @@ is the median. ``value`` is the sum of the medians.
 
 import json
 import os
+import re
 import statistics
 import sys
 import time
@@ -52,6 +53,11 @@ def measure(spark, folder: str, name: str) -> float:
     return statistics.median(run() for _ in range(RUNS))
 
 
+def scale(folder: str) -> float | None:
+    found = re.search(r"sf([0-9.]+)/?$", folder)
+    return float(found.group(1)) if found else None
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -74,7 +80,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": float(os.path.basename(folder.rstrip("/")).removeprefix("sf") or 0),
+                "sf": scale(folder),
             }
         )
     )
