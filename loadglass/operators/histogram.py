@@ -16,34 +16,37 @@ def latency_histogram(log: DataFrame, bins: int = schema.HISTOGRAM_BINS) -> Data
     by half a millisecond on each side, so all requests fall in the middle.
     """
     spark = log.sparkSession
-    low = log.agg(F.min(LATENCY).cast("long")).scalar()
-    high = log.agg(F.max(LATENCY).cast("long")).scalar()
-
+    low, high = F.min(LATENCY).cast("long"), F.max(LATENCY).cast("long")
     # Twice the latency keeps the half milliseconds of the widened range whole.
-    start = F.when(low == high, low * 2 - 1).otherwise(low * 2)
-    end = F.when(low == high, high * 2 + 1).otherwise(high * 2)
-    scaled = F.floor(
-        F.call_function(
-            "div", (F.col(LATENCY) * 2 - F.col("start")) * bins, F.col("end") - F.col("start")
-        )
+    limits = log.agg(
+        F.struct(
+            F.when(low == high, low * 2 - 1).otherwise(low * 2).alias("start"),
+            F.when(low == high, high * 2 + 1).otherwise(high * 2).alias("end"),
+        ).alias("limits")
+    ).scalar()
+
+    bin_number = F.expr(
+        f"(2L * {LATENCY} - limits.start) * {bins} DIV (limits.end - limits.start)"
     )
     counts = (
         log.filter(F.col(LATENCY).isNotNull())
-        .withColumns({"start": start, "end": end})
-        .withColumn("bucket", F.least(scaled + 1, F.lit(bins)).cast("int"))
+        .withColumn("limits", limits)
+        .withColumn("bucket", F.least(bin_number + 1, F.lit(bins)).cast("int"))
         .groupBy("bucket")
         .agg(request_count(log).alias("requests"))
     )
     spine = spark.range(1, bins + 1, numPartitions=1).select(
         F.col("id").cast("int").alias("bucket")
     )
-    width = (end - start) / 2.0 / bins
+    start, end = F.col("limits.start") / 2.0, F.col("limits.end") / 2.0
+    width = (end - start) / bins
     return (
         fit_to(spine, counts, ["bucket"])
+        .withColumn("limits", limits)
         .select(
             "bucket",
-            (start / 2.0 + (F.col("bucket") - 1) * width).alias("bucket_start"),
-            (start / 2.0 + F.col("bucket") * width).alias("bucket_end"),
+            (start + (F.col("bucket") - 1) * width).alias("bucket_start"),
+            (start + F.col("bucket") * width).alias("bucket_end"),
             "requests",
         )
         .orderBy("bucket")
