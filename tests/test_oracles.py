@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from loadglass.catalog import QUERIES
 
 SPARK_TO_SQL = {
     "int": "INTEGER",
@@ -30,10 +31,11 @@ def tables(folder):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, folder, tables, name):
     result = entry.queries()[name](spark, folder)
     expected = tables.sql(entry.oracle_sql()[name])
