@@ -5,6 +5,8 @@ repeat an id with another text stay apart, and rows that repeat both share a res
 """
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,12 +40,14 @@ def text_hash(column: str = "text") -> Column:
     return F.xxhash64(F.col(column))
 
 
-def equal(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """All the named columns are equal, null to null."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """A join on equal keys, null to null, that keeps the keys of the left side once."""
+    other = {key: f"{key}__right" for key in keys}
+    right = right.withColumnsRenamed(other)
+    condition = reduce(
+        and_, (F.col(key).eqNullSafe(F.col(name)) for key, name in other.items())
+    )
+    return left.join(right, condition, how).drop(*other.values())
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,18 +4,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadglass.llm import simhash
+from loadglass.llm import decontamination, line_frequency, simhash
 from loadglass.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.decontaminate(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op9_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    judged = line_frequency.judge(read_table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "words_left", "base_failed", "kept",
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
     "op5_simhash": op5_simhash,
+    "op9_line_frequency": op9_line_frequency,
 }
 
 ORACLES: dict[str, str] = {}
