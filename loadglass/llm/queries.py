@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadglass.llm import decontamination, line_frequency, simhash
+from loadglass.llm import decontamination, line_frequency, mixing, simhash
 from loadglass.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read_table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
 
@@ -33,6 +39,7 @@ def op9_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
     "op9_line_frequency": op9_line_frequency,
 }
