@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,17 +141,19 @@ def keys_of(values: np.ndarray, near: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keyed(prints: DataFrame, near: bool) -> DataFrame:
+    """A row (key, and the columns of ``prints``) for each key of each ``fp``."""
+    schema = T.StructType([T.StructField("key", T.LongType()), *prints.schema.fields])
+
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            values = frame["fp"].to_numpy(np.int64)
-            rows, keys = keys_of(values, near)
-            yield pd.DataFrame({"key": keys, "fp": values[rows]})
+            rows, keys = keys_of(frame["fp"].to_numpy(np.int64), near)
+            yield frame.iloc[rows].assign(key=keys)[schema.names]
 
-    return prints.mapInPandas(emit, "key long, fp long")
+    return prints.mapInPandas(emit, schema)
 
 
-def _close(a: str, b: str):
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
+def _close(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= MAX_BITS
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -160,65 +162,68 @@ def links(prints: DataFrame) -> DataFrame:
     Every pair within four bits ends in one class; pairs inside a class that other
     edges join already are left out.
     """
-    holders = written(_keyed(prints, near=False), "simhash-holders")
-    hubs = holders.groupBy("key").agg(
-        F.count("*").alias("n"),
-        F.array_distinct(
-            F.array(F.min("fp"), F.max("fp"), F.min_by("fp", F.xxhash64("fp")))
-        ).alias("hubs"),
-    )
-    # Keys with one holder are of use only to others than that holder.
-    met = written(
-        _keyed(prints, near=True)
-        .join(hubs, "key")
-        .where((F.col("n") > 1) | (F.col("hubs")[0] != F.col("fp"))),
-        "simhash-met",
+    hubs = (
+        _keyed(prints, near=False)
+        .groupBy("key")
+        .agg(
+            F.array_distinct(
+                F.array(F.min("fp"), F.max("fp"), F.min_by("fp", F.xxhash64("fp")))
+            ).alias("hubs")
+        )
     )
+    near = F.filter("hubs", lambda hub: (hub != F.col("fp")) & _close(hub, F.col("fp")))
+    met = _keyed(prints, near=True).join(hubs, ["key"]).where(F.size(near) > 0)
     edges = written(
-        met.select("fp", F.explode("hubs").alias("hub"))
-        .where((F.col("fp") != F.col("hub")) & _close("fp", "hub"))
-        .select(
-            F.greatest("fp", "hub").alias("a"), F.least("fp", "hub").alias("b")
-        )
+        met.select("fp", F.explode(near).alias("hub"))
+        .select(F.greatest("fp", "hub").alias("a"), F.least("fp", "hub").alias("b"))
         .distinct(),
         "simhash-hub-edges",
     )
-    classes = components(edges)
-
-    def classed(frame: DataFrame) -> DataFrame:
-        return frame.join(classes, frame["fp"] == classes["node"], "left").select(
-            "key", "fp", F.coalesce("component", "fp").alias("class")
-        )
 
-    shared = met.where("n > 1").select("key", "fp")
-    crowded = hubs.where("n > 1").select("key")
-    left = written(classed(shared), "simhash-left")
-    right = written(classed(holders.join(crowded, "key", "left_semi")), "simhash-right")
-    largest = (
-        right.groupBy("key", "class")
+    # What the hubs do not join: pairs of different classes at keys with other holders.
+    classes = components(edges)
+    classed = written(
+        prints.join(classes, prints["fp"] == classes["node"], "left").select(
+            "fp", F.coalesce("component", "fp").alias("class")
+        ),
+        "simhash-classes",
+    )
+    holders = written(_keyed(classed, near=False), "simhash-holders")
+    crowded = written(
+        holders.groupBy("key", "class")
         .agg(F.count("*").alias("n"))
         .groupBy("key")
-        .agg(F.max_by("class", F.struct("n", "class")).alias("largest"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.max_by("class", F.struct("n", "class")).alias("largest"),
+            (F.count("*") > 1).alias("mixed"),
+        )
+        .where("n > 2")
+        .drop("n"),
+        "simhash-crowded",
     )
-    left, right = left.join(largest, "key"), right.join(largest, "key")
     outside = F.col("class") != F.col("largest")
-    left = left.select(
-        "key",
-        F.col("fp").alias("a"),
-        F.col("class").alias("class_a"),
-        F.explode(
-            F.when(outside, F.array(F.lit(True), F.lit(False))).otherwise(
-                F.array(F.lit(True))
-            )
-        ).alias("outside"),
-    )
-    right = right.select(
+    right = holders.join(crowded, "key").select(
         "key", F.col("fp").alias("b"), F.col("class").alias("class_b"),
         outside.alias("outside"),
     )
+    left = (
+        _keyed(classed, near=True)
+        .join(crowded, "key")
+        .where(F.col("mixed") | outside)
+        .select(
+            "key", F.col("fp").alias("a"), F.col("class").alias("class_a"),
+            # Members of the largest class meet the others only.
+            F.explode(
+                F.when(outside, F.array(F.lit(True), F.lit(False))).otherwise(
+                    F.array(F.lit(True))
+                )
+            ).alias("outside"),
+        )
+    )
     rest = (
         left.join(right, ["key", "outside"])
-        .where((F.col("class_a") != F.col("class_b")) & _close("a", "b"))
+        .where((F.col("class_a") != F.col("class_b")) & _close(F.col("a"), F.col("b")))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     )
     return edges.unionByName(rest).distinct()
