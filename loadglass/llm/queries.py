@@ -2,10 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadglass.llm import chat, decontamination, line_frequency, mixing, sharding, simhash
+from loadglass.llm import chat, decontamination, line_frequency, mixing, secrets, sharding, simhash
 from loadglass.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,31 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources own documents; what they write in one language is a repository."""
+    found = secrets.scan_secrets(
+        read_table(spark, folder, "documents"), F.col("source"), F.concat_ws("/", "source", "lang")
+    )
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter("base", lambda span: span["rank"] == rank)).cast("long")
+
+    holders = F.coalesce(F.size("holders"), F.lit(0))
+    live = F.size(F.filter(F.coalesce("holders", F.array()), lambda x: x["live"]))
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.digest_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.digest_text(F.concat("base", "generic")).alias("spans"),
+        live.cast("long").alias("n_live"),
+        (F.when(F.col("holders").isNull(), 0).otherwise(holders) - live)
+        .cast("long")
+        .alias("n_examples"),
+    )
+
+
 def op9_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     judged = line_frequency.judge(read_table(spark, folder, "documents"))
     return judged.select(
@@ -79,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op7_secrets": op7_secrets,
     "op9_line_frequency": op9_line_frequency,
     "op10_chat": op10_chat,
 }
