@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadglass.llm import chat, decontamination, line_frequency, mixing, secrets, sharding, simhash
+from loadglass.llm import chat, decontamination, licenses, line_frequency, mixing, secrets, sharding, simhash
 from loadglass.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, folder, "documents")).withColumn(
+        "licenses", F.array_join("licenses", ",")
+    )
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -102,6 +108,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
+    "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
     "op7_secrets": op7_secrets,
@@ -111,6 +118,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_sharding": sharding.assign_sql(),
+    "op3_licenses": licenses.scan_sql(),
     "op10_chat": """
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
