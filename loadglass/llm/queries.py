@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadglass.llm import chat, decontamination, licenses, line_frequency, mixing, secrets, sharding, simhash
+from loadglass.llm import chat, decontamination, licenses, line_frequency, mixing, pii, secrets, sharding, simhash
 from loadglass.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,21 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
 
 
+# Keys are given by whoever runs the operator; this one is for the query alone.
+PII_KEY = "corpus-query"
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.pseudonymise(read_table(spark, folder, "documents"), PII_KEY)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", "text", *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS)
+    )
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Sources own documents; what they write in one language is a repository."""
     found = secrets.scan_secrets(
@@ -111,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op6_pii": op6_pii,
     "op7_secrets": op7_secrets,
     "op9_line_frequency": op9_line_frequency,
     "op10_chat": op10_chat,
