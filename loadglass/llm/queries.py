@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadglass.llm import chat, decontamination, licenses, line_frequency, mixing, pii, secrets, sharding, simhash
+from loadglass.llm import chat, decontamination, licenses, line_frequency, mixing, pii, secrets, sharding, simhash, url_trees
 from loadglass.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,12 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_url_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return url_trees.judge_urls(read_table(spark, folder, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def op9_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     judged = line_frequency.judge(read_table(spark, folder, "documents"))
     return judged.select(
@@ -128,6 +134,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_pii": op6_pii,
     "op7_secrets": op7_secrets,
+    "op8_url_trees": op8_url_trees,
     "op9_line_frequency": op9_line_frequency,
     "op10_chat": op10_chat,
 }
