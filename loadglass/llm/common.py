@@ -50,6 +50,18 @@ def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left")
     return left.join(right, condition, how).drop(*other.values())
 
 
+def chosen(documents: DataFrame, picked: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``documents``, which have the ``keys``, that ``picked`` has, one for
+    each; ``picked`` also has ``n``, how many rows have this key, and its other columns
+    are added.
+
+    Only keys of several rows need their rows together.
+    """
+    alone = match(documents, picked.where("n = 1"), keys, "inner")
+    several = match(documents, picked.where("n > 1"), keys, "inner").dropDuplicates(keys)
+    return alone.unionByName(several).drop("n")
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches cut so that few texts are Python objects at once."""
     for batch in batches:

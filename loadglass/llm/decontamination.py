@@ -326,7 +326,7 @@ def find_windows(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame,
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``documents`` (doc_id, text), against ``benchmark`` (item_id, text):
-    doc_id, n_words, n_hit, n_items, item_ids (sorted as strings), spans (merged, word
+    doc_id, the hash of its text, n_words, n_hit, n_items, item_ids (sorted as strings), spans (merged, word
     places, end exclusive), items_sha256 and contaminated.
 
     Null and wordless texts have no words and no hits. Items without words never match;
@@ -369,7 +369,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.lit(0).cast("long"),
     )
     return joined.select(
-        "doc_id",
+        *key,
         "n_words",
         n_hit.alias("n_hit"),
         F.size(item_ids).cast("long").alias("n_items"),
@@ -378,3 +378,12 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(",", item_ids), 256).alias("items_sha256"),
         ((n_hit > 0) & (HIT_SHARE * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that the benchmark does not contaminate, with all their
+    columns. The cases of :func:`decontaminate` apply."""
+    key = ["doc_id", TEXT_HASH]
+    bad = decontaminate(documents, benchmark).where("contaminated").select(*key).distinct()
+    rows = documents.withColumn(TEXT_HASH, text_hash())
+    return match(rows, written(bad, "contaminated"), key, "left_anti").select(*documents.columns)

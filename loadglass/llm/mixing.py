@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadglass.llm.common import TEXT_HASH, match, written
+from loadglass.llm.common import TEXT_HASH, chosen, match, written
 
 # ---- Fixed values: the published mix ----------------------------------------------
 WORD = r"[^\x20\x09-\x0D]+"
@@ -240,10 +240,8 @@ def mixed(documents: DataFrame) -> DataFrame:
     )
     key = ["doc_id", "source", TEXT_HASH]
     rows = documents.withColumn(TEXT_HASH, tie)
-    alone = match(rows, taken.where("n = 1"), key, "inner")
-    equals = match(rows, taken.where("n > 1"), key, "inner").dropDuplicates([TEXT_HASH])
     return (
-        alone.unionByName(equals)
-        .withColumn("copy__", F.explode(F.expr("sequence(1L, total)")))
-        .select(*documents.columns)
+        chosen(rows, taken, key)
+        .select(*documents.columns, F.explode(F.expr("sequence(1L, total)")).alias("copy__"))
+        .drop("copy__")
     )

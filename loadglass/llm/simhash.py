@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadglass.llm.common import written
+from loadglass.llm.common import TEXT_HASH, chosen, text_hash, written
 from loadglass.llm.components import components
 
 # ---- Fixed values: the published fingerprint and code --------------------------
@@ -230,27 +230,53 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text): ``doc_id``, ``fingerprint`` as 16 hex
-    digits and ``component_id``, the smallest doc_id that links reach.
+    """Per row of ``documents`` (doc_id, text): ``doc_id``, the hash of its text,
+    ``fingerprint`` as 16 hex digits, ``component_id``, the smallest doc_id that links
+    reach, and ``component``, a number that all rows of a component share.
 
     Texts without words have fingerprint zero and link like any other. Repeated rows
-    stay rows of their own. A null doc_id is never the smallest unless a class has no
+    stay rows of their own. A null doc_id is never the smallest unless a component has no
     other; then component_id is null. No documents give no rows.
     """
     prints = written(
-        documents.select("doc_id", fingerprints("text").alias("fp")), "simhash-prints"
+        documents.select(
+            "doc_id", text_hash().alias(TEXT_HASH), fingerprints("text").alias("fp")
+        ),
+        "simhash-prints",
     )
     firsts = written(
         prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct"
     )
     classes = components(links(firsts.select("fp")))
     classed = firsts.join(classes, firsts["fp"] == classes["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("class")
+        "fp", "first", F.coalesce("component", "fp").alias("component")
     )
-    least = classed.groupBy("class").agg(F.min("first").alias("component_id"))
-    named = classed.join(least, "class").select("fp", "component_id")
+    least = classed.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = classed.join(least, "component").select("fp", "component_id", "component")
     return prints.join(named, "fp").select(
         "doc_id",
+        TEXT_HASH,
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
+        "component",
+    )
+
+
+def without_near_duplicates(documents: DataFrame) -> DataFrame:
+    """One row of each component of ``documents``, with all its columns: the one with the
+    smallest doc_id. Of several rows with this id one stays, whichever text it has.
+
+    The cases of :func:`near_duplicates` apply.
+    """
+    key = ["doc_id", TEXT_HASH]
+    picked = (
+        near_duplicates(documents)
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("component", *key)
+        .agg(F.count("*").alias("n"))
+        .groupBy("component")
+        .agg(F.min(F.struct(*key, "n")).alias("picked"))
+        .select("picked.*")
     )
+    rows = documents.withColumn(TEXT_HASH, text_hash())
+    return chosen(rows, written(picked, "simhash-kept"), key).select(*documents.columns)
