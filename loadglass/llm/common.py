@@ -17,7 +17,9 @@ from loadglass.session import scratch_folder
 # Texts that a Python worker turns into objects at a time.
 ROWS_AT_ONCE = 256
 
+# Columns of our own beside those of an input begin with two underscores.
 TEXT_HASH = "__text_hash"
+ROWS = "__rows"
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,14 +54,14 @@ def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left")
 
 def chosen(documents: DataFrame, picked: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``documents``, which have the ``keys``, that ``picked`` has, one for
-    each; ``picked`` also has ``n``, how many rows have this key, and its other columns
+    each; ``picked`` also has ``ROWS``, how many rows have this key, and its other columns
     are added.
 
     Only keys of several rows need their rows together.
     """
-    alone = match(documents, picked.where("n = 1"), keys, "inner")
-    several = match(documents, picked.where("n > 1"), keys, "inner").dropDuplicates(keys)
-    return alone.unionByName(several).drop("n")
+    alone = match(documents, picked.where(F.col(ROWS) == 1), keys, "inner")
+    several = match(documents, picked.where(F.col(ROWS) > 1), keys, "inner")
+    return alone.unionByName(several.dropDuplicates(keys)).drop(ROWS)
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

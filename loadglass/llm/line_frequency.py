@@ -224,10 +224,11 @@ def cleaned(
 
     The cases of :func:`judge` apply; equal rows are kept or rejected together.
     """
+    gone = "__removed_lines"
     verdicts = (
         judge(documents, host, max_documents, max_share)
         .where("kept")
-        .select("doc_id", F.col("host").alias(host), TEXT_HASH, "removed_lines")
+        .select("doc_id", F.col("host").alias(host), TEXT_HASH, F.col("removed_lines").alias(gone))
         .distinct()
     )
     rows = documents.withColumn(TEXT_HASH, text_hash())
@@ -235,11 +236,11 @@ def cleaned(
     left = F.array_join(
         F.filter(
             F.split("text", "\n", -1),
-            lambda line: ~F.array_contains("removed_lines", _line_hash(line)),
+            lambda line: ~F.array_contains(gone, _line_hash(line)),
         ),
         "\n",
     )
-    touched = F.col("removed_lines").isNotNull()
+    touched = F.col(gone).isNotNull()
     kept = kept.withColumn("text", F.when(touched, left).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         n_chars = F.length("text").cast(documents.schema["n_chars"].dataType)

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadglass.llm.common import TEXT_HASH, chosen, match, written
+from loadglass.llm.common import ROWS, TEXT_HASH, chosen, match, written
 
 # ---- Fixed values: the published mix ----------------------------------------------
 WORD = r"[^\x20\x09-\x0D]+"
@@ -230,18 +230,23 @@ def mixed(documents: DataFrame) -> DataFrame:
     The cases of :func:`mix` apply. Documents without words are never taken.
     """
     tie = F.xxhash64(*documents.columns)
-    total = F.col("n") * F.col("copies") + F.col("extra")
+    times = "__times"
     taken = written(
         _planned(documents, tie)
-        .where("size > 0")
-        .select("doc_id", "source", F.col("tie").alias(TEXT_HASH), "n", total.alias("total"))
-        .where("total > 0"),
+        .select(
+            "doc_id",
+            "source",
+            "size",
+            F.col("tie").alias(TEXT_HASH),
+            F.col("n").alias(ROWS),
+            (F.col("n") * F.col("copies") + F.col("extra")).alias(times),
+        )
+        .where((F.col("size") > 0) & (F.col(times) > 0))
+        .drop("size"),
         "mixing-taken",
     )
-    key = ["doc_id", "source", TEXT_HASH]
-    rows = documents.withColumn(TEXT_HASH, tie)
-    return (
-        chosen(rows, taken, key)
-        .select(*documents.columns, F.explode(F.expr("sequence(1L, total)")).alias("copy__"))
-        .drop("copy__")
+    rows = chosen(
+        documents.withColumn(TEXT_HASH, tie), taken, ["doc_id", "source", TEXT_HASH]
     )
+    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
+    return rows.select(*documents.columns, repeated.alias("__copy")).drop("__copy")

@@ -138,15 +138,19 @@ def assign(documents: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
 
 
 def write_shards(documents: DataFrame, path: str, max_bytes: int = MAX_BYTES) -> None:
-    """Write all columns of ``documents`` as Parquet, a folder for each shard and page.
+    """Write all columns of ``documents`` as Parquet, a folder for each shard and page;
+    columns that are called shard or page are left out.
 
     The cases of :func:`assign` apply. Equal ids and texts with other columns that differ
-    may put a page over the limit by less than one row.
+    are equal rows only in part; their pages count each kind on its own.
     """
-    rows = documents.withColumns({"key": shard_key(), "bytes": text_bytes()})
+    columns = [name for name in documents.columns if name not in ("shard", "page")]
+    rows = documents.select(
+        F.struct(*columns).alias("row"), shard_key().alias("key"), text_bytes().alias("bytes")
+    )
     (
         placed(rows, max_bytes)
-        .drop("key", "bytes", "depth")
+        .select("row.*", "shard", "page")
         .repartition("shard", "page")
         .write.partitionBy("shard", "page")
         .parquet(path)

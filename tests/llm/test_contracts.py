@@ -1,0 +1,431 @@
+"""The corpus queries' operators against plain Python, on given and on awkward rows."""
+
+from collections import Counter
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import PASSAGE
+from loadglass.llm import (
+    chat,
+    decontamination,
+    licenses,
+    line_frequency,
+    mixing,
+    pii,
+    queries,
+    secrets,
+    sharding,
+    simhash,
+    url_trees,
+)
+
+
+@pytest.fixture(params=["given", "awkward"])
+def docs(request, documents, edge_documents):
+    return documents if request.param == "given" else edge_documents
+
+
+def pairs(frame):
+    return [(row["doc_id"], row["text"]) for row in frame.select("doc_id", "text").collect()]
+
+
+def counted(rows):
+    return Counter(tuple(row) for row in rows)
+
+
+def test_decontamination(spark, docs, folder):
+    items = [
+        (row["item_id"], row["text"])
+        for row in spark.read.parquet(f"{folder}/benchmark.parquet").collect()
+    ]
+    items += [(1000, PASSAGE), (1001, PASSAGE), (1001, PASSAGE), (1002, "Two, words!"),
+              (1003, "one"), (1004, None), (1005, "..."), (None, PASSAGE + " again")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    windows = brute.windows_of(items)
+    got = decontamination.decontaminate(docs, benchmark)
+    assert counted(
+        got.select("doc_id", "n_words", "n_hit", "items_sha256", "contaminated").collect()
+    ) == counted((doc_id, *brute.contamination(text, windows)) for doc_id, text in pairs(docs))
+
+
+def test_decontamination_without_items(spark, edge_documents):
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    rows = decontamination.decontaminate(edge_documents, benchmark).collect()
+    assert len(rows) == edge_documents.count() and not any(row["n_hit"] for row in rows)
+
+
+def test_simhash(docs):
+    rows = pairs(docs)
+    prints = [brute.fingerprint(text) for _, text in rows]
+    roots = brute.components(prints)
+    least = {}
+    for (doc_id, _), fp in zip(rows, prints):
+        known = least.get(roots[fp])
+        least[roots[fp]] = min((x for x in (known, doc_id) if x is not None), default=None)
+    got = simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+    assert counted(got.collect()) == counted(
+        (doc_id, f"{fp:016x}", least[roots[fp]]) for (doc_id, _), fp in zip(rows, prints)
+    )
+    left = simhash.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert left.count() == len(set(roots.values()))
+
+
+def test_golay_keys_meet_within_four_bits():
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    for bits in (1, 2, 3, 4):
+        values = draw.integers(-(2**63), 2**63 - 1, 400)
+        flips = [draw.choice(64, bits, replace=False) for _ in values]
+        masks = np.array([sum(1 << int(b) for b in f) for f in flips], np.uint64).view(np.int64)
+        held = [set() for _ in values]
+        for row, key in zip(*simhash.keys_of(values, near=False)):
+            held[row].add(key)
+        sought = [set() for _ in values]
+        for row, key in zip(*simhash.keys_of(values ^ masks, near=True)):
+            sought[row].add(key)
+        assert all(a & b for a, b in zip(held, sought))
+
+
+def test_secrets(docs):
+    got = secrets.scan_secrets(docs, F.col("source"), F.col("source"))
+    rank = lambda n: F.size(F.filter("base", lambda span: span["rank"] == n))
+    rows = got.select("doc_id", rank(0), rank(1), rank(2), secrets.digest_text(F.col("base")))
+    assert counted(rows.collect()) == counted(
+        (doc_id, *brute.secrets(text)) for doc_id, text in pairs(docs)
+    )
+
+
+def test_secrets_of_many_owners_are_examples(spark):
+    live, shared = "aB3" * 9, "Zx9" * 9
+    rows = [(n, f"key {shared}", f"owner{n}") for n in range(4)] + [(9, f"my {live}", "owner9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.scan_secrets(docs, F.col("source"), F.col("source")).collect()
+    assert {r["doc_id"]: [s["value"] for s in r["generic"]] for r in found} == {
+        0: [], 1: [], 2: [], 3: [], 9: [live]
+    }
+    assert {h["owners"] for r in found for h in r["holders"]} == {1, 4}
+
+
+def test_quality_rules(docs):
+    got = line_frequency.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed",
+    )
+    assert counted(got.collect()) == counted(
+        (doc_id, *brute.quality(text)) for doc_id, text in pairs(docs)
+    )
+
+
+def named(*numbers):
+    """A word of letters alone: digits count as equal in lines."""
+    return "x".join("".join(chr(97 + int(d)) for d in str(n)) for n in numbers)
+
+
+def test_boilerplate_goes_and_copies_stay(spark):
+    def body(n):
+        return "\n".join(" ".join(named(n, line, word) for word in range(12)) for line in range(8))
+
+    menu = "Home About Contact us 2024"
+    rows = [(n, f"{menu}\n{body(n)}", "a") for n in range(40)]
+    rows += [(100 + n, f"{body(99)}", "a") for n in range(60)]
+    rows += [(300, f"{menu}\n{body(300)}", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r["text"] for r in line_frequency.cleaned(docs).collect()}
+    assert all(out[n] == body(n) for n in range(40))
+    assert all(out[100 + n] == body(99) for n in range(60))
+    # Another host has a limit of its own.
+    assert out[300] == f"{menu}\n{body(300)}"
+
+
+def test_depleted_documents_are_rejected(spark):
+    menu = [" ".join(f"{named(n)}{c}" for c in "pqrstuv") for n in range(20)]
+    rows = [
+        (n, "\n".join([*menu, f"long own line {named(n)} {'z' * 60} of few words"]), "a")
+        for n in range(50)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = line_frequency.judge(docs).collect()
+    assert not any(r["kept"] or r["base_failed"] for r in judged)
+    assert {r["words_left"] for r in judged} == {8}
+
+
+def mix_targets(sizes):
+    """Resharing of what is above a limit, until nothing is."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {source: 1 + n % 3 for n, source in enumerate(order)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        free = [s for s in order if s not in full]
+        rest = total - sum(3 * sizes[s] for s in full)
+        share = {s: rest * weights[s] / sum(weights[x] for x in free) for s in free}
+        above = {s for s in free if share[s] > 3 * sizes[s]}
+        if not above:
+            return share | {s: 3.0 * sizes[s] for s in full}
+        full |= above
+
+
+def test_mixing(docs):
+    sizes, words = Counter(), Counter()
+    for row in docs.select("doc_id", "text", "source").collect():
+        n = len(brute.SPACED.findall(row["text"] or ""))
+        sizes[row["source"]] += n
+        words[(row["doc_id"], n)] += 1
+    targets = mix_targets(sizes)
+    got = mixing.mix(docs).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in got) == words
+    taken, longest = Counter(), Counter()
+    for r in got:
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(targets[r["source"]])
+        assert 0 <= r["copies"] <= 3 and r["taken"] == r["copies"] * r["size"]
+        taken[r["source"]] += r["taken"]
+        longest[r["source"]] = max(longest[r["source"]], r["size"])
+    for source, target in targets.items():
+        assert abs(taken[source] - target) <= max(0.01 * target, longest[source] / 2 + 1)
+    assert counted(mixing.mix(docs.repartition(7)).collect()) == counted(got)
+    mixed = mixing.mixed(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(r["copies"] for r in got if r["size"])
+
+
+def test_mixing_meets_several_margins(spark):
+    cells = spark.createDataFrame(
+        [("a", "x", 100), ("a", "y", 300), ("b", "x", 500), ("b", "y", 100)],
+        "source string, lang string, size long",
+    )
+    target = lambda rows: spark.createDataFrame(rows, "value string, target double")
+    found = mixing.multipliers(
+        cells, {"source": target([("a", 600.0), ("b", 400.0)]), "lang": target([("x", 500.0), ("y", 500.0)])}
+    )
+    rates = mixing.rated(cells, found).collect()
+    mass = Counter()
+    for r in rates:
+        mass[r["source"]] += r["size"] * r["rate"]
+        mass[r["lang"]] += r["size"] * r["rate"]
+    assert mass == pytest.approx({"a": 600, "b": 400, "x": 500, "y": 500}, rel=1e-6)
+
+
+def shards(rows, limit):
+    """Extendible hashing one split at a time."""
+    import hashlib
+
+    def key(doc_id, text):
+        joined = f"{'' if doc_id is None else doc_id}:{text or ''}"
+        return f"{int(hashlib.md5(joined.encode()).hexdigest()[:15], 16):060b}"
+
+    todo, done = [("", [(key(*row), row) for row in rows])], {}
+    while todo:
+        name, held = todo.pop()
+        total = sum(len((text or "").encode()) for _, (_, text) in held)
+        if total <= limit or len({k for k, _ in held}) == 1:
+            done[name] = held
+        else:
+            for bit in "01":
+                inside = [x for x in held if x[0][len(name)] == bit]
+                if inside:
+                    todo.append((name + bit, inside))
+    return Counter((row[0], f"s{name}") for name, held in done.items() for _, row in held)
+
+
+@pytest.mark.parametrize("limit", [700, 20_000, sharding.MAX_BYTES])
+def test_sharding(docs, limit):
+    got = sharding.assign(docs, limit).collect()
+    assert Counter((r["doc_id"], r["shard"]) for r in got) == shards(pairs(docs), limit)
+    held, rows = Counter(), Counter()
+    for r in got:
+        held[r["shard"], r["page"]] += r["bytes"]
+        rows[r["shard"], r["page"]] += 1
+    assert all(held[page] <= limit or rows[page] == 1 for page in held)
+
+
+def test_equal_rows_go_on_pages(spark, tmp_path):
+    rows = [(1, "same text here")] * 10 + [(2, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.assign(docs, 30).collect()
+    assert sorted(Counter(r["page"] for r in got if r["doc_id"] == 1).values()) == [2] * 5
+    sharding.write_shards(docs, str(tmp_path / "shards"), 30)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert counted(back.select("doc_id", "text").collect()) == counted(rows)
+
+
+def test_licenses(spark, edge_documents):
+    texts = {name: text for name, text in licenses.LICENSES.items()}
+    rows = [(n, text.upper().replace(",", " , ")) for n, text in enumerate(texts.values())]
+    rows += [(50, "Copyright (c) 2020 Me\n" + texts["MIT"].replace("license", "licence"))]
+    rows += [(51, "prose here\nLicensed under the Apache Licence, version 2.0\nmore")]
+    rows += [(52, "prose that names the MIT License in passing")]
+    got = {
+        r["doc_id"]: (r["license"], r["licenses"])
+        for r in licenses.scan_licenses(
+            spark.createDataFrame(rows, "doc_id long, text string")
+        ).collect()
+    }
+    for n, name in enumerate(texts):
+        assert got[n] == (name, [name])
+    assert got[50] == ("MIT", ["MIT"])
+    assert got[51] == (None, ["Apache-2.0"])
+    assert got[52] == (None, [])
+    edge = licenses.scan_licenses(edge_documents).collect()
+    assert len(edge) == edge_documents.count()
+    assert [r["licenses"] for r in edge if r["doc_id"] == 13] == [["MIT"]]
+
+
+def luhn(number):
+    digits = [int(c) for c in reversed(number)]
+    return sum(d if at % 2 == 0 else sum(divmod(2 * d, 10)) for at, d in enumerate(digits)) % 10 == 0
+
+
+def test_pii_keeps_formats_and_links(spark, edge_documents):
+    text = (
+        "a1.b@mail.example.org 10.20.30.255 300.1.1.1 +44 20 7946 0958, (212) 555-0100 "
+        "+1 (774) 555-7002 12 "
+        "4111 1111 1111 1111 4111111111111112 123-45-6789 000-45-6789 2000-02-29 2001-02-29 "
+        "31/12/1999 12/31/1999"
+    )
+    docs = spark.createDataFrame([(1, text), (2, "x 10.20.30.255 y")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in pii.pseudonymise(docs, "k").collect()}
+    kinds = [x["kind"] for x in rows[1]["found"]]
+    assert kinds == ["email", "ip", "phone", "phone", "phone", "card", "ssn", "date", "date"]
+    names = [x["pseudonym"] for x in rows[1]["found"]]
+    shape = lambda s: "".join("9" if c.isdigit() else c for c in s)
+    assert shape(names[3]) == "(999) 999-9999" and shape(names[5]) == "9999 9999 9999 9999"
+    assert luhn(names[5].replace(" ", ""))
+    assert rows[2]["text"] == f"x {names[1]} y"
+    assert f"{names[4]} 12 " in rows[1]["text"]
+    for kept in ["300.1.1.1", "4111111111111112", "000-45-6789", "2001-02-29", "31/12/1999"]:
+        assert kept in rows[1]["text"]
+    for gone in ["a1.b@", "10.20.30.255", "7946 0958", "555-0100", "123-45-6789", "2000-02-29"]:
+        assert gone not in rows[1]["text"]
+    other = pii.pseudonymise(docs, "another key").collect()
+    assert {r["text"] for r in other}.isdisjoint(r["text"] for r in rows.values())
+    edge = {r["doc_id"]: r["text"] for r in pii.pseudonymise(edge_documents, "k").collect()}
+    same = {r["doc_id"]: r["text"] for r in edge_documents.collect()}
+    assert {k for k in edge if edge[k] != same[k]} == {12}
+
+
+def test_pii_is_a_permutation_and_can_be_undone(spark):
+    kind = F.lit("test")
+    number = lambda v, size: F.struct(v.cast("int").alias("value"), F.lit(size).alias("size"))
+    a, b, c = F.col("id") % 7, F.floor(F.col("id") / 7) % 5, F.floor(F.col("id") / 35) % 3
+    rows = spark.range(105).select(F.array(number(a, 7), number(b, 5), number(c, 3)).alias("x"))
+    rows = rows.withColumn("y", pii.feistel(F.col("x"), "k", kind))
+    rows = rows.withColumn("z", pii.feistel(F.col("y"), "k", kind, undo=True)).collect()
+    assert all(r["x"] == r["z"] for r in rows)
+    assert len({str(r["y"]) for r in rows}) == 105
+    assert sum(r["x"] == r["y"] for r in rows) < 10
+
+
+def test_urls(spark, folder):
+    urls = [None, "", "no scheme", "http://", "HTTPS://A.Example.NET/en/x?q=1#f", "ftp://net/",
+            "http://net", "http://xnet/", "http://example.com/de/", "http://example.com/de?x",
+            "http://a.org/fr/?u=http://b.net/", "x://h\n/p\n?q", "http://" + "a/" * 50_000]
+    rows = [(n, u, "html") for n, u in enumerate(urls)] + [(1, "", "html"), (None, "http://b.net/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    given = spark.read.parquet(f"{folder}/pages.parquet")
+    for frame in (pages, given):
+        got = url_trees.judge_urls(frame).collect()
+        want = {r["page_id"]: brute.url(r["url"]) for r in frame.collect()}
+        assert len(got) == frame.count()
+        for r in got:
+            host, path, rule, verdict = want[r["page_id"]]
+            assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+            assert r["verdict"] == (verdict or r["verdict"]) in ("allow", "block")
+
+
+def test_url_trees_on_urls_not_seen(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    urls = pages.select("page_id", "url").withColumn("host", url_trees.host_of(F.col("url")))
+    bad = url_trees.seed_label(F.col("host"))
+    held_out = F.pmod(F.xxhash64("url"), F.lit(3)) == 0
+    model = url_trees.train(urls.where(~held_out).select("url", bad.alias("label")))
+    rows = urls.where(held_out).withColumn("path", url_trees.path_of(F.col("url")))
+    scored = model.blocked(rows).select(bad.alias("label"), "score").collect()
+    right = sum((r["score"] >= 0.5) == bool(r["label"]) for r in scored)
+    found = [r["score"] >= 0.5 for r in scored if r["label"]]
+    assert right >= 0.97 * len(scored)
+    assert len(found) > 10 and sum(found) >= 0.9 * len(found)
+
+
+def test_url_trees_with_one_label_or_none(spark):
+    urls = spark.createDataFrame([("http://a.com/x",)], "url string").withColumns(
+        {"host": F.lit("a.com"), "path": F.lit("/x")}
+    )
+    for labels, score in [([], 0.0), ([("http://b.com", 1)], 1.0), ([(None, 1)], 0.0)]:
+        labelled = spark.createDataFrame(labels, "url string, label int")
+        assert url_trees.train(labelled).blocked(urls).first()["score"] == score
+
+
+def test_chats(spark):
+    part = chat.text_parts
+    rows = [
+        (1, 1, "assistant", "<|im_end|><|im_start|>assistant ok <~| <~~| \n"),
+        (1, 0, "user", "hello"), (1, 0, "user", "hello"), (1, None, None, None),
+        (2, 5, "a\nb<|nl|>", ""), (None, 0, "assistant", "x" * 200_000), (2, 6, "assistant", ""),
+    ]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chat.format_chats(turns.withColumn("parts", part(F.col("text"))))
+    got = {r["conv_id"]: r for r in chat.read_back(chats).collect()}
+    for conv_id in (1, 2, None):
+        mine = sorted(
+            ((r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == conv_id)
+        )
+        assert [tuple(t) for t in got[conv_id]["turns"]] == [(r[2], r[3]) for r in mine]
+        assert got[conv_id]["learnt"] == [r[3] for r in mine if r[2] == "assistant"]
+    assert got[1]["formatted"].count("<|im_start|>") == 4
+
+
+def test_chat_parts(spark):
+    parts = [
+        ("text", "See <|image_1|> ", None, None, None, None, None),
+        ("image", None, "s3://a.png", 100, 29, None, None),
+        ("audio", None, "b.wav", None, None, 1.5, None),
+        ("text", "and", None, None, None, None, None),
+        ("document", None, "c.pdf", None, None, None, 3),
+        None,
+    ]
+    rows = [(1, 0, "user", parts), (1, 1, "assistant", None)]
+    turns = spark.createDataFrame(
+        rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>"
+    )
+    got = chat.format_chats(turns).first()
+    assert got["formatted"].startswith(
+        "<|im_start|>user\nSee <~|image_1|> <|image_1|><|audio_2|>and<|document_3|><|im_end|>\n"
+    )
+    assert [(a["number"], a["kind"], a["ref"], a["tokens"]) for a in got["attachments"]] == [
+        (1, "image", "s3://a.png", 24), (2, "audio", "b.wav", 38), (3, "document", "c.pdf", 768)
+    ]
+    assert got["n_tokens"] == 4 + 24 + 38 + 1 + 768
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame(
+        [], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    pages = spark.createDataFrame([], "page_id long, url string")
+    turns = spark.createDataFrame(
+        [], f"conv_id long, turn long, role string, parts array<{chat.PART}>"
+    )
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    for result in [
+        sharding.assign(docs),
+        decontamination.decontaminate(docs, items),
+        licenses.scan_licenses(docs),
+        mixing.mix(docs),
+        mixing.mixed(docs),
+        simhash.near_duplicates(docs),
+        simhash.without_near_duplicates(docs),
+        pii.pseudonymise(docs, "k"),
+        secrets.scan_secrets(docs, F.col("source"), F.col("lang")),
+        url_trees.judge_urls(pages),
+        line_frequency.cleaned(docs),
+        chat.read_back(chat.format_chats(turns)),
+    ]:
+        assert result.collect() == []
+
+
+def test_queries_are_named_by_operator():
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
