@@ -1,28 +1,29 @@
 """Near duplicates by SimHash, found with Golay-code keys.
 
-Fingerprints have 64 bits and are cut into four segments of 16. If two of them differ
-in at most four bits, one of these holds:
-
-- three segments differ in one bit or none. Then segments 1 and 2, or 3 and 4, both do;
-- two segments are equal, and the others differ in two bits each. If these two are
-  neither 1 and 2 nor 3 and 4, they are one of four other pairs.
-
-The second kind needs plain equal keys. For the first kind a segment is read as a word
-of the (23, 12) Golay code, whose spheres of radius 3 fill the space. One side of the
-join gives the index of the codeword that a segment decodes to; the other side gives
-the indices of all codewords within distance 4, which are one or six. If the segments
-differ in at most one bit, the first index is among the second ones. So each fingerprint
-has 6 keys on one side and at most 76 on the other, and no link is lost.
-
-Only distinct fingerprints are joined. A key is first compared with three of its
+Fingerprints have 64 bits and are cut into three segments of 21, 21 and 22. If two of
+them differ in at most four bits, one of these holds:
+
+- two segments differ in one bit or none each;
+- one segment is equal, and the others differ in two bits each. Then of three parts of
+  the next segment one is equal too.
+
+The second case needs plain equal keys: a segment and a part, 28 or 29 bits. For the first
+case a segment is read as a word of the (23, 12) Golay code, whose spheres of radius 3 fill
+the space. One side of the join gives the index of the codeword that a segment decodes to;
+the other side gives the indices of all codewords within distance 4, which are one or six.
+If the segments differ in at most one bit, the first index is among the second ones. A key
+is the indices of two segments. So each fingerprint has 12 keys on one side and at most
+117 on the other, and no link is lost.
+
+Only distinct fingerprints are joined. A key is first compared with up to three of its
 holders, which joins large groups of near copies in as many rows as they have keys.
-After that, pairs that are already in one class are not made again: members of the
-largest class of a key meet only what is outside of it.
+Keys with more holders are gone through again, but pairs that are in one class by now are
+not made: members of the largest class of a key meet only what is outside of it.
 """
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadglass.llm.common import TEXT_HASH, chosen, text_hash, written
+from loadglass.llm.common import ROWS, TEXT_HASH, chosen, text_hash, written
 from loadglass.llm.components import components
 
 # ---- Fixed values: the published fingerprint and code --------------------------
@@ -43,8 +44,11 @@ GOLAY_GENERATOR = 0b101011100011
 # --------------------------------------------------------------------------------
 
 HASHES_AT_ONCE = 1 << 16
-GOLAY_PAIRS = [(0, 1), (2, 3)]
-EQUAL_PAIRS = [(0, 2), (0, 3), (1, 2), (1, 3)]
+# First bit and width of the segments, and in a segment of its three parts.
+SEGMENTS = [(0, 21), (21, 21), (42, 22)]
+PARTS = [(0, 7), (7, 7), (14, 8)]
+GOLAY_PAIRS = [(0, 1), (0, 2), (1, 2)]
+EQUAL_PAIRS = [(0, 1), (1, 2), (2, 0)]
 
 
 def fingerprint(text: str | None) -> int:
@@ -85,8 +89,8 @@ def fingerprints(texts: pd.Series) -> pd.Series:
 
 @lru_cache(maxsize=1)
 def _golay() -> tuple[np.ndarray, np.ndarray]:
-    """Of each 16-bit segment the syndrome; of each syndrome up to six error patterns
-    of weight 4 or less, the lightest first and filled up with repeats of it."""
+    """Of each segment its syndrome; of each syndrome up to six error patterns of weight 4
+    or less, the lightest first and filled up with repeats of it."""
     unit = []
     for bit in range(GOLAY_BITS):
         rest = 1 << bit
@@ -94,8 +98,9 @@ def _golay() -> tuple[np.ndarray, np.ndarray]:
             if rest >> high & 1:
                 rest ^= GOLAY_GENERATOR << (high - 11)
         unit.append(rest)
-    syndromes = np.zeros(1 << 16, np.int64)
-    for bit in range(16):
+    widest = max(width for _, width in SEGMENTS)
+    syndromes = np.zeros(1 << widest, np.int16)
+    for bit in range(widest):
         syndromes[1 << bit : 2 << bit] = syndromes[: 1 << bit] ^ unit[bit]
     found: dict[int, list[int]] = {}
     for weight in range(5):
@@ -110,12 +115,12 @@ def _golay() -> tuple[np.ndarray, np.ndarray]:
     return syndromes, errors
 
 
-def _segments(values: np.ndarray) -> list[np.ndarray]:
-    return [(values >> (16 * k)) & 0xFFFF for k in range(4)]
+def _bits(values: np.ndarray, first: int, width: int) -> np.ndarray:
+    return (values >> first) & ((1 << width) - 1)
 
 
 def _indices(segment: np.ndarray, near: bool) -> np.ndarray:
-    """Codeword indices of segments: the nearest one, or all six within distance 4."""
+    """Codeword indices of segments: the nearest one, or all within distance 4."""
     syndromes, errors = _golay()
     patterns = errors[syndromes[segment]][:, : 6 if near else 1]
     return (segment[:, None] ^ patterns) >> 11
@@ -123,20 +128,21 @@ def _indices(segment: np.ndarray, near: bool) -> np.ndarray:
 
 def keys_of(values: np.ndarray, near: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (row, key) of 64-bit fingerprints, without repeats."""
-    parts = _segments(values)
+    segments = [_bits(values, first, width) for first, width in SEGMENTS]
+    indices = [_indices(segment, near) for segment in segments]
     rows, keys = [], []
     for kind, (a, b) in enumerate(GOLAY_PAIRS):
-        left, right = _indices(parts[a], near), _indices(parts[b], near)
-        both = (left[:, :, None] << 12 | right[:, None, :]).reshape(len(values), -1)
+        both = indices[a][:, :, None] << 12 | indices[b][:, None, :]
+        both = both.reshape(len(values), -1)
         both.sort(axis=1)
         fresh = np.ones(both.shape, bool)
         fresh[:, 1:] = both[:, 1:] != both[:, :-1]
         row, column = np.nonzero(fresh)
         rows.append(row)
-        keys.append(both[row, column] | kind << 32)
-    for kind, (a, b) in enumerate(EQUAL_PAIRS, len(GOLAY_PAIRS)):
+        keys.append(both[row, column] | kind << 40)
+    for kind, ((a, b), part) in enumerate(product(EQUAL_PAIRS, PARTS), len(GOLAY_PAIRS)):
         rows.append(np.arange(len(values)))
-        keys.append(parts[a] << 16 | parts[b] | kind << 32)
+        keys.append(segments[a] << 8 | _bits(segments[b], *part) | kind << 40)
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -162,19 +168,24 @@ def links(prints: DataFrame) -> DataFrame:
     Every pair within four bits ends in one class; pairs inside a class that other
     edges join already are left out.
     """
-    hubs = (
-        _keyed(prints, near=False)
-        .groupBy("key")
-        .agg(
-            F.array_distinct(
-                F.array(F.min("fp"), F.max("fp"), F.min_by("fp", F.xxhash64("fp")))
-            ).alias("hubs")
-        )
+    holders = written(_keyed(prints, near=False), "simhash-holders")
+    hubs = holders.groupBy("key").agg(
+        F.array_distinct(
+            F.array(F.min("fp"), F.max("fp"), F.min_by("fp", F.xxhash64("fp")))
+        ).alias("hubs"),
+        F.count("*").alias("n"),
     )
     near = F.filter("hubs", lambda hub: (hub != F.col("fp")) & _close(hub, F.col("fp")))
-    met = _keyed(prints, near=True).join(hubs, ["key"]).where(F.size(near) > 0)
+    # The least and the greatest of two holders are both hubs.
+    met = written(
+        _keyed(prints, near=True)
+        .join(hubs, "key")
+        .where((F.col("n") > 2) | (F.size(near) > 0))
+        .select("key", "fp", near.alias("near"), (F.col("n") > 2).alias("crowded")),
+        "simhash-met",
+    )
     edges = written(
-        met.select("fp", F.explode(near).alias("hub"))
+        met.select("fp", F.explode("near").alias("hub"))
         .select(F.greatest("fp", "hub").alias("a"), F.least("fp", "hub").alias("b"))
         .distinct(),
         "simhash-hub-edges",
@@ -182,34 +193,32 @@ def links(prints: DataFrame) -> DataFrame:
 
     # What the hubs do not join: pairs of different classes at keys with other holders.
     classes = components(edges)
-    classed = written(
-        prints.join(classes, prints["fp"] == classes["node"], "left").select(
-            "fp", F.coalesce("component", "fp").alias("class")
-        ),
-        "simhash-classes",
-    )
-    holders = written(_keyed(classed, near=False), "simhash-holders")
-    crowded = written(
-        holders.groupBy("key", "class")
+
+    def classed(frame: DataFrame) -> DataFrame:
+        return frame.join(classes, frame["fp"] == classes["node"], "left").select(
+            "key", "fp", F.coalesce("component", "fp").alias("class")
+        )
+
+    probes = met.where("crowded").select("key", "fp")
+    keys = probes.select("key").distinct()
+    right = written(classed(holders.join(keys, "key", "left_semi")), "simhash-crowded")
+    largest = (
+        right.groupBy("key", "class")
         .agg(F.count("*").alias("n"))
         .groupBy("key")
         .agg(
-            F.sum("n").alias("n"),
             F.max_by("class", F.struct("n", "class")).alias("largest"),
             (F.count("*") > 1).alias("mixed"),
         )
-        .where("n > 2")
-        .drop("n"),
-        "simhash-crowded",
     )
     outside = F.col("class") != F.col("largest")
-    right = holders.join(crowded, "key").select(
+    right = right.join(largest, "key").select(
         "key", F.col("fp").alias("b"), F.col("class").alias("class_b"),
         outside.alias("outside"),
     )
     left = (
-        _keyed(classed, near=True)
-        .join(crowded, "key")
+        classed(probes)
+        .join(largest, "key")
         .where(F.col("mixed") | outside)
         .select(
             "key", F.col("fp").alias("a"), F.col("class").alias("class_a"),
@@ -273,9 +282,9 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
         near_duplicates(documents)
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component", *key)
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias(ROWS))
         .groupBy("component")
-        .agg(F.min(F.struct(*key, "n")).alias("picked"))
+        .agg(F.min(F.struct(*key, ROWS)).alias("picked"))
         .select("picked.*")
     )
     rows = documents.withColumn(TEXT_HASH, text_hash())
