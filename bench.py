@@ -39,7 +39,7 @@ HEADLINE = [
     "expected_vs_observed",
     "expected_error_rate",
     "sample_n",
-    "incident_replay",
+    "sample_fraction",
 ]
 
 

@@ -1,6 +1,6 @@
 """Command line: clean a raw log, roll it up, and write report tables.
 
-    python -m loadglass clean  --raw RAW --clean CLEAN [--rejects REJECTS] [--tables T]
+    python -m loadglass clean  --raw RAW --clean CLEAN [--rejects R] [--csv C] [--tables T]
     python -m loadglass rollup --clean CLEAN --rollup ROLLUP
     python -m loadglass report --rollup ROLLUP --tables T [--set static ...]
 
@@ -32,6 +32,8 @@ def clean(spark, args) -> None:
     logs.write_clean_log(cleaning.clean_log(raw), args.clean)
     if args.rejects:
         cleaning.rejected_log(raw).write.mode("overwrite").parquet(args.rejects)
+    if args.csv:
+        logs.write_sorted_csv_log(logs.read_clean_log(spark, args.clean), args.csv)
     if args.tables:
         written = logs.read_clean_log(spark, args.clean)
         write_tables(bundles.clean_report(raw, written), args.tables)
@@ -57,6 +59,7 @@ def main(argv: list[str] | None = None) -> None:
     command.add_argument("--format", default="csv", choices=["csv", "parquet"])
     command.add_argument("--clean", required=True)
     command.add_argument("--rejects")
+    command.add_argument("--csv", help="also write the clean log as CSV in order of time")
     command.add_argument("--tables")
     command.set_defaults(run=clean)
 

@@ -14,6 +14,7 @@ from loadglass import schema
 from loadglass.functions.numeric import round_half_even
 from loadglass.operators import cleaning, histogram, incidents, quality, sampling
 from loadglass.plans import (
+    bundles,
     endpoints,
     errors,
     expectations,
@@ -57,7 +58,7 @@ def src_raw_log(spark: SparkSession, folder: str) -> DataFrame:
     """The raw log through a CSV file and back."""
     path = scratch_folder(spark, "raw-csv")
     logs.write_csv_log(events.raw_log(spark, folder), path)
-    return logs.read_raw_log(spark, path, event_id=True)
+    return cleaning.whole_numbers(logs.read_raw_log(spark, path, event_id=True))
 
 
 def src_clean_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,6 +106,41 @@ def ensure_dtypes(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_from_text(raw: DataFrame) -> DataFrame:
+    """The clean stage from text in which every hundred rows have each kind of trouble:
+    what is kept, and of the rest the reason."""
+    case = F.col("event_id") % 100
+
+    def changed(name: str, texts: dict[int, str]):
+        column = F.col(name)
+        for number, text in texts.items():
+            column = F.when(case == number, F.lit(text)).otherwise(column)
+        return column
+
+    text = events.as_text(raw).withColumns(
+        {
+            "timestamp": F.when(case == 5, F.concat("timestamp", F.lit("-05:00"))).otherwise(
+                F.col("timestamp")
+            ),
+            "response_time_ms": changed(
+                "response_time_ms",
+                {1: "3000000000", 2: "-0.5", 3: "abc", 4: "12.7", 6: "1e30", 9: "NaN"},
+            ),
+            "status_code": changed("status_code", {8: "200.7", 12: "200.0", 13: "x"}),
+            "error": F.when(case == 15, F.lit("")).otherwise(F.initcap("error")),
+        }
+    )
+    parsed = cleaning.parse_log(text)
+    names = ["event_id", "response_time_ms", "status_code", "error"]
+    kept = cleaning.clean_log(parsed).select(*names, F.lit(None).cast("string").alias("reason"))
+    rest = cleaning.rejected_log(parsed).select(
+        "event_id",
+        *(F.lit(None).cast(kept.schema[name].dataType).alias(name) for name in names[1:]),
+        F.col("reject_reason").alias("reason"),
+    )
+    return kept.unionByName(rest)
+
+
 def derived_columns(raw: DataFrame) -> DataFrame:
     return cleaning.add_derived_columns(raw).select(
         "event_id", "timestamp", *schema.CALENDAR.names
@@ -112,21 +148,38 @@ def derived_columns(raw: DataFrame) -> DataFrame:
 
 
 def sample_n(raw: DataFrame) -> DataFrame:
-    """The two fixed-size samples that are overwritten with defects."""
-    drawn = [
-        sampling.sample(raw, "event_id", sampling.fixed_size(fraction), salt).select(
-            F.lit(name).alias("sample"), "event_id"
-        )
-        for name, salt, fraction in [
-            ("latency", "latency:", schema.BAD_LATENCY_FRACTION),
-            ("status", "status:", schema.BAD_STATUS_FRACTION),
-        ]
-    ]
-    return drawn[0].unionByName(drawn[1])
+    """Two independent samples of a fixed size."""
+    draws = {
+        "latency": sampling.Draw(sampling.fixed_size(0.001), "latency:"),
+        "status": sampling.Draw(sampling.fixed_size(0.0005), "status:"),
+    }
+    return sampling.samples(raw, "event_id", draws).select("sample", "event_id")
+
+
+def sample_fraction(raw: DataFrame) -> DataFrame:
+    """A share of the requests of the incident window."""
+    inside = incidents.incident_window(raw)
+    return sampling.sample(inside, "event_id", sampling.rounded_fraction(0.3), "incident:")
+
+
+def sorted_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The clean log through CSV files in order of time and back."""
+    path = scratch_folder(spark, "sorted-csv")
+    logs.write_sorted_csv_log(cleaning.clean_log(events.raw_log(spark, folder)), path)
+    return logs.read_clean_log(spark, path, fmt="csv", event_id=True)
+
+
+def published_roundtrip(name: str) -> Query:
+    """A published table through the file it is kept in and back."""
 
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        clean = cleaning.clean_log(events.raw_log(spark, folder))
+        table = bundles.published_tables(clean)[name]
+        path = scratch_folder(spark, name)
+        logs.write_table(table, path)
+        return logs.read_table(spark, path, table.schema)
 
-def inject_anomalies(raw: DataFrame) -> DataFrame:
-    return incidents.plant_defects(incidents.replay_incident(raw))
+    return query
 
 
 QUERIES: dict[str, Query] = {
@@ -134,9 +187,14 @@ QUERIES: dict[str, Query] = {
     "src_raw_log": src_raw_log,
     "src_clean_log": src_clean_log,
     "sink_clean_roundtrip": sink_clean_roundtrip,
+    "sorted_csv_roundtrip": sorted_csv_roundtrip,
+    "endpoint_performance_roundtrip": published_roundtrip("endpoint_performance"),
+    "daily_metrics_roundtrip": published_roundtrip("daily_metrics"),
+    "hourly_metrics_roundtrip": published_roundtrip("hourly_metrics"),
     # parsing, cleaning and quality
     "parse_timestamps": over_raw(parse_timestamps),
     "ensure_dtypes": over_raw(ensure_dtypes),
+    "clean_from_text": over_raw(clean_from_text),
     "derived_columns": over_raw(derived_columns),
     "filter_response_time": over_raw(cleaning.drop_invalid_response_times),
     "filter_status": over_raw(cleaning.drop_invalid_status_codes),
@@ -205,7 +263,6 @@ QUERIES: dict[str, Query] = {
     "error_code_mix": over_clean_unrounded(expectations.error_code_mix),
     # incidents and samples
     "incident_window": over_raw(incidents.incident_window),
-    "incident_replay": over_raw(incidents.replay_incident),
     "sample_n": over_raw(sample_n),
-    "inject_anomalies": over_raw(inject_anomalies),
+    "sample_fraction": over_raw(sample_fraction),
 }

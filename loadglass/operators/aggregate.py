@@ -4,14 +4,20 @@ Every function takes either a log (one row per request) or a rollup, whose rows
 stand for ``requests`` requests each. All sums are sums of integers, so results
 do not depend on the order in which partitions are merged.
 
-Percentiles run in two steps. The first groups by the keys and the latency, with
+Percentiles run in three steps. The first groups by the keys and the latency, with
 map-side combining, so each task sends at most one row per key and distinct
 latency, and a key that holds a third of all rows is spread over the shuffle by
-its latencies. The second merges those counts per key. What meets in one task is
-the distinct whole milliseconds of a key, never its rows.
+its latencies. The second counts, per key, latencies cut to their first 11 binary
+digits, of which there are 110,000 or so over the whole 64-bit domain, and finds
+those that hold the ranks asked for. The third merges the counts per key, with
+every latency outside of these cut to its first digits. That moves no rank and
+changes no percentile, and what meets in one task is bounded, never the distinct
+latencies of a key. Latencies up to 2,047 are never cut.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +25,9 @@ from pyspark.sql import functions as F
 LATENCY = "response_time_ms"
 WEIGHT = "requests"
 
+# Binary digits of a latency that the first narrowing keeps.
+DIGITS = 11
+
 MEDIAN = 0.5
 P90 = 0.9
 P95 = 0.95
@@ -90,8 +99,59 @@ def frequency(log: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def _cut(latency: Column) -> Column:
+    """A latency without the binary digits after its first ``DIGITS``. It keeps order,
+    also of negative values."""
+    drop = F.greatest(F.length(F.bin(F.abs(latency))) - DIGITS, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", latency, drop), drop)
+
+
+def narrowed(
+    frequencies: DataFrame, *keys: str, quantiles: Sequence[float] = (MEDIAN, P95)
+) -> DataFrame:
+    """``frequency`` rows with ``narrow``: the latency, cut unless a quantile of its key
+    needs it whole.
+
+    Rows without a latency keep none. The window runs over the cut latencies of a key.
+    """
+    cut = frequencies.filter(F.col(LATENCY).isNotNull()).groupBy(
+        *keys, _cut(F.col(LATENCY)).alias("cut")
+    ).agg(F.sum("requests").alias("n"))
+    per_key = Window.partitionBy(*keys)
+    ranked = cut.withColumns(
+        {
+            "to": F.sum("n").over(per_key.orderBy("cut")),
+            "all": F.sum("n").over(per_key),
+        }
+    )
+
+    def holds(fraction: float) -> Column:
+        position = (F.col("all") - 1) * F.lit(float(fraction))
+        return (F.floor(position) < F.col("to")) & (
+            F.ceil(position) >= F.col("to") - F.col("n")
+        )
+
+    wanted = (
+        ranked.filter(reduce(or_, map(holds, quantiles)))
+        .groupBy(*[F.col(key).alias(f"{key}__wanted") for key in keys])
+        .agg(F.collect_set("cut").alias("whole"))
+    )
+    if keys:
+        condition = reduce(
+            and_, (F.col(key).eqNullSafe(F.col(f"{key}__wanted")) for key in keys)
+        )
+        joined = frequencies.join(wanted, condition, "left")
+    else:
+        joined = frequencies.withColumn("whole", wanted.select("whole").scalar())
+    latency = F.col(LATENCY)
+    return joined.withColumn(
+        "narrow",
+        F.when(F.array_contains("whole", _cut(latency)), latency).otherwise(_cut(latency)),
+    ).drop("whole", *[f"{key}__wanted" for key in keys])
+
+
 def profile_columns(quantiles: Sequence[float] = (MEDIAN, P95)) -> list[Column]:
-    """Aggregates over ``frequency`` rows: totals plus ``quantiles``, an array.
+    """Aggregates over ``narrowed`` rows: totals plus ``quantiles``, an array.
 
     One percentile call for all fractions keeps one count map instead of several.
     """
@@ -101,7 +161,7 @@ def profile_columns(quantiles: Sequence[float] = (MEDIAN, P95)) -> list[Column]:
         F.coalesce(F.sum("errors"), F.lit(0).cast("long")).alias("errors"),
         F.sum(F.when(timed, F.col("requests"))).alias("timed_requests"),
         F.sum(F.col(LATENCY) * F.col("requests")).alias("total_ms"),
-        F.percentile(LATENCY, list(quantiles), F.col("requests")).alias("quantiles"),
+        F.percentile("narrow", list(quantiles), F.col("requests")).alias("quantiles"),
     ]
 
 
@@ -109,9 +169,8 @@ def profile(
     log: DataFrame, *keys: str, quantiles: Sequence[float] = (MEDIAN, P95)
 ) -> DataFrame:
     """``totals`` plus exact, linearly interpolated percentiles per key."""
-    return (
-        frequency(log, *keys).groupBy(*keys).agg(*profile_columns(quantiles))
-    )
+    rows = narrowed(frequency(log, *keys), *keys, quantiles=quantiles)
+    return rows.groupBy(*keys).agg(*profile_columns(quantiles))
 
 
 def sum_of_squares() -> Column:
@@ -140,54 +199,3 @@ def sample_deviation() -> Column:
 def quantile(position: int) -> Column:
     """The percentile at a position of the list given to ``profile``."""
     return F.col("quantiles")[position]
-
-
-def wide_percentiles(
-    log: DataFrame,
-    *keys: str,
-    quantiles: Sequence[float] = (MEDIAN, P95),
-    bucket_bits: int = 16,
-) -> DataFrame:
-    """The same percentiles when latencies may take any 32-bit value.
-
-    ``profile`` keeps the distinct latencies of a key in one task. This splits
-    each key into latency buckets of ``2**bucket_bits`` values: bucket counts give
-    every bucket its first rank, then each bucket ranks its own values. A task
-    holds at most 65,536 values of a bucket or 32,768 buckets of a key. It costs
-    three small shuffles more, so use it where the value domain is not known.
-    """
-    fine = (
-        frequency(log.filter(F.col(LATENCY).isNotNull()), *keys)
-        .drop("errors")
-        .withColumn("bucket", F.shiftright(LATENCY, bucket_bits))
-    )
-    per_key = Window.partitionBy(*keys)
-    buckets = (
-        fine.groupBy(*keys, "bucket")
-        .agg(F.sum("requests").alias("bucket_requests"))
-        .withColumn(
-            "rank_before",
-            F.sum("bucket_requests").over(per_key.orderBy("bucket"))
-            - F.col("bucket_requests"),
-        )
-        .withColumn("key_requests", F.sum("bucket_requests").over(per_key))
-    )
-    in_bucket = Window.partitionBy(*keys, "bucket").orderBy(LATENCY)
-    ranked = fine.join(buckets, [*keys, "bucket"]).withColumn(
-        "rank_to", F.col("rank_before") + F.sum("requests").over(in_bucket)
-    )
-
-    def value_at(rank: Column) -> Column:
-        return F.min(F.when(F.col("rank_to") > rank, F.col(LATENCY)))
-
-    def interpolated(fraction: float) -> Column:
-        position = (F.col("key_requests") - 1) * F.lit(float(fraction))
-        low = value_at(F.floor(position))
-        high = value_at(F.ceil(position))
-        share = F.max(position - F.floor(position))
-        return low + (high - low) * share
-
-    return ranked.groupBy(*keys).agg(
-        F.max("key_requests").alias("requests"),
-        F.array(*[interpolated(fraction) for fraction in quantiles]).alias("quantiles"),
-    )

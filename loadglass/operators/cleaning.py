@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadglass import schema
 from loadglass.functions.calendar import calendar_columns
@@ -10,51 +11,91 @@ INVALID_TIMESTAMP = "invalid_timestamp"
 NEGATIVE_LATENCY = "negative_response_time"
 INVALID_STATUS = "invalid_status_code"
 NULL_LATENCY = "null_response_time"
+UNPARSABLE_LATENCY = "unparsable_response_time"
+
+# From here on a latency is no BIGINT. A double can hold this bound exactly.
+LATENCY_LIMIT = float(2**63)
 
 
 def parse_timestamps(text_log: DataFrame) -> DataFrame:
     """Text timestamps to ``TIMESTAMP_NTZ``; what cannot be parsed becomes NULL.
 
-    The clean stage then rejects those rows, so one bad line does not end a job.
+    The clean stage then rejects those rows, so one bad line does not end a job. Times
+    are local: with a zone or an offset after the time they cannot be compared with the
+    others, so such a text counts as one that does not parse.
     """
+    has_zone = F.rlike("timestamp", F.lit(r":[0-9.]+\s*[^0-9.:\s]"))
     return text_log.withColumn(
-        "timestamp", F.col("timestamp").try_cast("timestamp_ntz")
+        "timestamp",
+        F.when(~has_zone, F.col("timestamp").try_cast("timestamp_ntz")),
     )
 
 
-def _whole_number(text: Column) -> Column:
-    """Text to int, cutting a fraction: '12', '12.0' and '12.7' all give 12.
-
-    NaN and the infinities are numbers to Spark but hold no whole value.
-    """
-    value = text.try_cast("double")
-    return F.when(~F.isnan(value), value).try_cast("int")
+def _number(text: Column) -> Column:
+    """Text to double; NULL stays NULL, and text that is no number becomes NaN."""
+    return F.when(
+        text.isNotNull(), F.coalesce(text.try_cast("double"), F.lit(float("nan")))
+    )
 
 
-def ensure_dtypes(text_log: DataFrame) -> DataFrame:
-    """Text latency, status and error flag to their types.
+def parse_numbers(text_log: DataFrame) -> DataFrame:
+    """Text latency and status to double, so that rules see fractions and large values,
+    and the error flag to boolean; a missing flag stays missing.
 
-    The words for false give false. Any other flag, also an empty one, counts as
-    an error: a request is only fine when the log says so.
+    The words for false give false, any other word counts as an error.
     """
+    flag = F.trim("error")
     return text_log.withColumns(
         {
-            "response_time_ms": _whole_number(F.col("response_time_ms")),
-            "status_code": _whole_number(F.col("status_code")),
-            "error": F.coalesce(F.trim("error").try_cast("boolean"), F.lit(True)),
+            "response_time_ms": _number(F.col("response_time_ms")),
+            "status_code": _number(F.col("status_code")),
+            "error": F.when(
+                flag != "", F.coalesce(flag.try_cast("boolean"), F.lit(True))
+            ),
         }
     )
 
 
+def whole_numbers(log: DataFrame) -> DataFrame:
+    """Latency and status to BIGINT, cutting fractions; no number gives NULL. A missing
+    error flag counts as an error: a request is only fine when the log says so."""
+
+    def whole(name: str) -> Column:
+        value = F.col(name)
+        if log.schema[name].dataType == T.DoubleType():
+            value = F.when(~F.isnan(name), value)
+        return value.try_cast("bigint")
+
+    return log.withColumns(
+        {
+            "response_time_ms": whole("response_time_ms"),
+            "status_code": whole("status_code"),
+            "error": F.coalesce("error", F.lit(True)),
+        }
+    )
+
+
+def ensure_dtypes(text_log: DataFrame) -> DataFrame:
+    """Text latency, status and error flag to their final types."""
+    return whole_numbers(parse_numbers(text_log))
+
+
 def parse_log(text_log: DataFrame) -> DataFrame:
-    """All-text rows, as a CSV file holds them, to the raw log schema."""
-    return ensure_dtypes(parse_timestamps(text_log))
+    """All-text rows, as a CSV file holds them, with values that the rules can judge."""
+    return parse_numbers(parse_timestamps(text_log))
 
 
 def has_valid_latency() -> Column:
     return F.col("response_time_ms") >= 0
 
 
+def _has_whole_latency(raw: DataFrame) -> Column:
+    """Parsed latencies may be NaN, which Spark sorts above all numbers."""
+    if raw.schema["response_time_ms"].dataType == T.DoubleType():
+        return F.col("response_time_ms") < LATENCY_LIMIT
+    return F.lit(True)
+
+
 def has_valid_status() -> Column:
     return F.expr(f"status_code IN {tuple(schema.VALID_STATUS_CODES)}")
 
@@ -70,13 +111,17 @@ def drop_invalid_status_codes(raw: DataFrame) -> DataFrame:
 def reject_reason() -> Column:
     """The first rule a raw row breaks, NULL for a good row.
 
-    The rules run in this order, so a row breaking two of them counts once.
+    The rules run in this order, so a row breaking two of them counts once. They see
+    values as parsed: -0.5 is negative, 200.7 is no status.
     """
     return (
         F.when(F.col("timestamp").isNull(), INVALID_TIMESTAMP)
         .when(F.col("response_time_ms") < 0, NEGATIVE_LATENCY)
         .when(~F.coalesce(has_valid_status(), F.lit(False)), INVALID_STATUS)
         .when(F.col("response_time_ms").isNull(), NULL_LATENCY)
+        .when(
+            F.col("response_time_ms").cast("double") >= LATENCY_LIMIT, UNPARSABLE_LATENCY
+        )
     )
 
 
@@ -87,16 +132,19 @@ def add_derived_columns(log: DataFrame) -> DataFrame:
 def keep_valid(raw: DataFrame) -> DataFrame:
     """Rows that break no rule, as plain predicates the scan can push down."""
     return raw.filter(
-        F.col("timestamp").isNotNull() & has_valid_latency() & has_valid_status()
+        F.col("timestamp").isNotNull()
+        & has_valid_latency()
+        & has_valid_status()
+        & _has_whole_latency(raw)
     )
 
 
 def clean_log(raw: DataFrame) -> DataFrame:
-    """The clean stage: valid rows with their calendar columns.
+    """The clean stage: valid rows, then their final types and calendar columns.
 
-    It does not sort. Order is a property of the files, see ``sinks``.
+    It does not sort. Order is a property of the files, see ``sources``.
     """
-    return add_derived_columns(keep_valid(raw))
+    return add_derived_columns(whole_numbers(keep_valid(raw)))
 
 
 def rejected_log(raw: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadglass import schema
-from loadglass.operators.aggregate import LATENCY, request_count
+from loadglass.operators.aggregate import LATENCY, frequency
 from loadglass.operators.spines import fit_to
 
 
@@ -14,11 +14,14 @@ def latency_histogram(log: DataFrame, bins: int = schema.HISTOGRAM_BINS) -> Data
     The last bin is closed. Bin numbers come from whole-number division, which
     puts values on a bin edge exactly. With a single latency the range is widened
     by half a millisecond on each side, so all requests fall in the middle.
+
+    The log is read once: limits and bins both come from its latency frequencies.
     """
     spark = log.sparkSession
-    low, high = F.min(LATENCY).cast("long"), F.max(LATENCY).cast("long")
+    frequencies = frequency(log)
+    low, high = F.min(LATENCY), F.max(LATENCY)
     # Twice the latency keeps the half milliseconds of the widened range whole.
-    limits = log.agg(
+    limits = frequencies.agg(
         F.struct(
             F.when(low == high, low * 2 - 1).otherwise(low * 2).alias("start"),
             F.when(low == high, high * 2 + 1).otherwise(high * 2).alias("end"),
@@ -29,11 +32,11 @@ def latency_histogram(log: DataFrame, bins: int = schema.HISTOGRAM_BINS) -> Data
         f"(2L * {LATENCY} - limits.start) * {bins} DIV (limits.end - limits.start)"
     )
     counts = (
-        log.filter(F.col(LATENCY).isNotNull())
+        frequencies.filter(F.col(LATENCY).isNotNull())
         .withColumn("limits", limits)
         .withColumn("bucket", F.least(bin_number + 1, F.lit(bins)).cast("int"))
         .groupBy("bucket")
-        .agg(request_count(log).alias("requests"))
+        .agg(F.sum("requests").alias("requests"))
     )
     spine = spark.range(1, bins + 1, numPartitions=1).select(
         F.col("id").cast("int").alias("bucket")

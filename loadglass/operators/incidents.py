@@ -1,66 +1,10 @@
-"""Conditional rewrites of a raw log: replay an incident, plant known defects."""
+"""Requests of a known incident."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadglass import schema
 from loadglass.functions.calendar import in_incident_window
-from loadglass.operators.aggregate import LATENCY
-from loadglass.operators.sampling import (
-    fixed_size,
-    id_hash,
-    last_hash,
-    rounded_fraction,
-)
 
 
 def incident_window(raw: DataFrame) -> DataFrame:
     return raw.filter(in_incident_window(F.col("timestamp")))
-
-
-def replay_incident(raw: DataFrame, id_column: str = "event_id") -> DataFrame:
-    """Slow every request of the window down and fail a fixed share of them."""
-    salt = "incident:"
-    inside = F.coalesce(in_incident_window(F.col("timestamp")), F.lit(False))
-    failing = inside & (
-        id_hash(F.col(id_column), salt)
-        <= last_hash(
-            incident_window(raw),
-            id_column,
-            rounded_fraction(schema.INCIDENT_FRACTION),
-            salt,
-        )
-    )
-    return raw.withColumns(
-        {
-            LATENCY: F.when(
-                inside, F.col(LATENCY) * schema.INCIDENT_LATENCY_FACTOR
-            ).otherwise(F.col(LATENCY)),
-            "status_code": F.when(failing, schema.INCIDENT_STATUS).otherwise(
-                F.col("status_code")
-            ),
-            "error": F.when(failing, True).otherwise(F.col("error")),
-        }
-    )
-
-
-def plant_defects(raw: DataFrame, id_column: str = "event_id") -> DataFrame:
-    """Overwrite fixed-size samples with an invalid latency or status."""
-    chosen = {
-        salt: id_hash(F.col(id_column), salt)
-        <= last_hash(raw, id_column, fixed_size(fraction), salt)
-        for salt, fraction in [
-            ("latency:", schema.BAD_LATENCY_FRACTION),
-            ("status:", schema.BAD_STATUS_FRACTION),
-        ]
-    }
-    return raw.withColumns(
-        {
-            LATENCY: F.when(chosen["latency:"], schema.BAD_LATENCY).otherwise(
-                F.col(LATENCY)
-            ),
-            "status_code": F.when(chosen["status:"], schema.BAD_STATUS).otherwise(
-                F.col("status_code")
-            ),
-        }
-    )

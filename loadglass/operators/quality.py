@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from loadglass.functions.numeric import percent
 from loadglass.operators.aggregate import LATENCY
 from loadglass.operators.cleaning import (
-    has_valid_status,
+    INVALID_STATUS,
     reject_reason,
 )
 
@@ -23,14 +23,10 @@ def reject_report(raw: DataFrame) -> DataFrame:
 
 
 def invalid_codes(raw: DataFrame) -> DataFrame:
-    """Distinct status codes the status rule removes. It runs after the latency
-
-    rule, and a missing code is invalid too.
-    """
-    # ~(x >= 0) would lose the NULL latencies, which that rule lets pass.
-    kept = raw.filter(~F.coalesce(F.col(LATENCY) < 0, F.lit(False)))
+    """Distinct status codes of the rows that ``reject_report`` counts as such. A missing
+    code is invalid too."""
     return (
-        kept.filter(~F.coalesce(has_valid_status(), F.lit(False)))
+        raw.filter(reject_reason() == INVALID_STATUS)
         .select("status_code")
         .distinct()
         .orderBy("status_code")

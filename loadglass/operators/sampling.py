@@ -1,22 +1,26 @@
 """Samples of an exact size, repeatable because they are chosen by hash.
 
-The n rows with the smallest hash of their id are a uniform sample. To find them
-without sorting the table or sending n rows anywhere, the hash of the n-th row is
-narrowed down digit by digit: rows are counted per short prefix, which leaves one
-prefix that the n-th row falls into; its rows are counted per longer prefix; the
-few rows left are ranked. The sample is then one comparison with that hash. Each
-step reads the id column only. Ids must be unique; rows without one are left out.
+The n rows with the smallest hash of their id are a uniform sample. Two passes find
+them, for any number of samples at once. The first counts, per sample, the rows of each
+hash prefix, nearly all of it before the shuffle; the counts tell which prefix the n-th
+row falls into. The second keeps the rows of smaller prefixes and ranks those of that
+prefix alone, one in a million. The table is not sorted; the rows of the samples go
+through one shuffle.
+
+Ids should be unique. A sample has its exact size all the same: rows of equal hash are
+cut off at the last rank. Rows without an id are no part of the population.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Hex digits of the hash after each step. The first keeps 4,096 counts per task, so
-# nearly all counting happens before the shuffle; the second counts 1 / 4,096 of the
-# rows in 65,536 groups; the rows left to rank are one in 268 million.
-STEPS = [3, 7]
+# Hex digits of the hash that are counted: 1,048,576 prefixes, found in two steps so
+# that no window runs over more than 4,096 counts of a sample.
+PREFIX = 5
+FIRST_STEP = 2
 
 
 def id_hash(id_column: Column, salt: str = "") -> Column:
@@ -37,62 +41,81 @@ def rounded_fraction(fraction: float) -> Callable[[Column], Column]:
     return lambda rows: F.rint(rows * F.lit(float(fraction))).cast("long")
 
 
-def _prefix_counts(rows: DataFrame, digits: int, *carried: Column) -> DataFrame:
-    return rows.groupBy(F.substring("hash", 1, digits).alias("prefix")).agg(
-        F.count(F.lit(1)).alias("n"), *carried
-    )
+@dataclass(frozen=True)
+class Draw:
+    """How a sample is drawn: its size from the number of rows, and its salt."""
 
+    size: Callable[[Column], Column]
+    salt: str = ""
 
-def _edge(counts: DataFrame) -> DataFrame:
-    """One row: the prefix the row ranked ``wanted`` falls into, and its rank there.
 
-    The windows run over the counts of one step, 65,536 at most.
-    """
-    before = F.sum("n").over(Window.orderBy("prefix")) - F.col("n")
+def _edge(counts: DataFrame) -> DataFrame:
+    """Of each sample the prefix that its last row falls into, and the rank there."""
+    within = Window.partitionBy("sample").orderBy("prefix")
+    before = F.sum("n").over(within) - F.col("n")
     return (
         counts.withColumn("before", before)
         .filter(
             (F.col("wanted") > F.col("before"))
             & (F.col("wanted") <= F.col("before") + F.col("n"))
         )
-        .select("prefix", (F.col("wanted") - F.col("before")).alias("rank"))
+        .select("sample", "prefix", (F.col("wanted") - F.col("before")).alias("rank"))
     )
 
 
-def _within(rows: DataFrame, edge: DataFrame, digits: int) -> DataFrame:
-    """The rows of the prefix, with the rank; ``edge`` is a single row."""
-    return rows.withColumn("prefix", F.substring("hash", 1, digits)).join(
-        F.broadcast(edge), "prefix"
+def _edges(hashed: DataFrame, draws: Mapping[str, Draw]) -> DataFrame:
+    """(sample, edge, rank): one row for each sample that has any rows."""
+    fine = hashed.groupBy("sample", F.substring("hash", 1, PREFIX).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-
-
-def last_hash(
-    rows: DataFrame,
-    id_column: str,
-    size: Callable[[Column], Column],
-    salt: str = "",
-) -> Column:
-    """The hash of the last row of the sample, as a scalar subquery.
-
-    A row belongs to the sample when its hash is not greater.
-    """
-    first, *more = STEPS
-    # As a hash that cannot be NULL, it is computed once per row. Otherwise the joins
-    # below would first filter on it.
-    hashed = rows.filter(F.col(id_column).isNotNull()).select(
-        F.coalesce(id_hash(F.col(id_column), salt), F.lit("")).alias("hash")
+    coarse = fine.groupBy("sample", F.substring("prefix", 1, FIRST_STEP).alias("prefix")).agg(
+        F.sum("n").alias("n")
+    )
+    rows = F.sum("n").over(Window.partitionBy("sample"))
+    wanted = F.lit(None).cast("long")
+    for name, draw in draws.items():
+        wanted = F.when(F.col("sample") == name, draw.size(F.col("rows"))).otherwise(wanted)
+    first = _edge(coarse.withColumn("rows", rows).withColumn("wanted", wanted)).select(
+        "sample", F.col("prefix").alias("first"), F.col("rank").alias("wanted")
+    )
+    inside = fine.join(F.broadcast(first), "sample").filter(
+        F.col("prefix").startswith(F.col("first"))
     )
-    all_rows = F.sum("n").over(Window.partitionBy())
-    edge = _edge(_prefix_counts(hashed, first).withColumn("wanted", size(all_rows)))
-    left = _within(hashed, edge, first)
-    for digits in more:
-        edge = _edge(_prefix_counts(left, digits, F.max("rank").alias("wanted")))
-        left = _within(hashed, edge, digits)
+    return _edge(inside).withColumnRenamed("prefix", "edge")
+
+
+def samples(rows: DataFrame, id_column: str, draws: Mapping[str, Draw]) -> DataFrame:
+    """The rows of each sample, with its name in ``sample``."""
+    # As hashes that cannot be NULL the joins below add no filter on them, and both uses
+    # of the counts share one shuffle.
+    drawn = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("sample"),
+                    F.coalesce(id_hash(F.col(id_column), draw.salt), F.lit("")).alias("hash"),
+                )
+                for name, draw in draws.items()
+            ]
+        )
+    ).alias("drawn")
+    hashed = rows.filter(F.col(id_column).isNotNull()).select("*", drawn)
+    hashed = hashed.select(*rows.columns, "drawn.*")
+    # One row for each sample, as many as the caller named.
+    edges = F.broadcast(_edges(hashed.select("sample", "hash"), draws))
+    near = hashed.join(edges, "sample").withColumn("prefix", F.substring("hash", 1, PREFIX))
+    last = F.col("prefix") == F.col("edge")
+    # Only rows of the last prefix are ranked together; any other is on its own.
+    group = F.when(last, F.lit(-1).cast("long")).otherwise(F.monotonically_increasing_id())
     return (
-        left.withColumn("position", F.row_number().over(Window.orderBy("hash")))
-        .filter(F.col("position") == F.col("rank"))
-        .select("hash")
-        .scalar()
+        near.filter("prefix <= edge")
+        .withColumn("group", group)
+        .withColumn(
+            "position",
+            F.row_number().over(Window.partitionBy("sample", "group").orderBy("hash")),
+        )
+        .filter((F.col("group") >= 0) | (F.col("position") <= F.col("rank")))
+        .select("sample", *rows.columns)
     )
 
 
@@ -102,7 +125,5 @@ def sample(
     size: Callable[[Column], Column],
     salt: str = "",
 ) -> DataFrame:
-    """Exactly ``size(number of rows)`` rows."""
-    return rows.filter(
-        id_hash(F.col(id_column), salt) <= last_hash(rows, id_column, size, salt)
-    )
+    """Exactly ``size(number of rows)`` rows, or all that have an id if there are fewer."""
+    return samples(rows, id_column, {"only": Draw(size, salt)}).drop("sample")

@@ -1,8 +1,8 @@
 """Observed load against what the load model expects of it.
 
 The log is joined with the model's 12 endpoints while it is read (a broadcast of
-constants), reduced to counts per model cell, and weighted from there. Requests
-of unknown services or endpoints have no expectation and are left out.
+constants), reduced to counts per model cell, and weighted from there. Requests of
+services, endpoints or codes that the model does not know stay, without expectation.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -55,7 +55,7 @@ def expected_vs_observed(log: DataFrame) -> DataFrame:
     expected = load_model.expected_latency(F.col("base_ms"), _multiplier())
     return (
         totals(log, "service", "endpoint", "hour", "day_of_week_num")
-        .join(F.broadcast(endpoints), ["service", "endpoint"])
+        .join(F.broadcast(endpoints), ["service", "endpoint"], "left")
         .groupBy("service", "endpoint", "hour")
         .agg(
             F.sum("requests").alias("requests"),
@@ -76,14 +76,19 @@ def expected_error_rate(log: DataFrame) -> DataFrame:
     grouping has one row per endpoint, hour, weekday and factor.
     """
     endpoints = schema.endpoint_dim(log.sparkSession)
+    slowness = load_model.slow_factor(F.col(LATENCY), F.col("base_ms"))
     cells = totals(
-        log.join(F.broadcast(endpoints), ["service", "endpoint"]).withColumn(
-            "slowness", load_model.slow_factor(F.col(LATENCY), F.col("base_ms"))
+        log.join(F.broadcast(endpoints), ["service", "endpoint"], "left").withColumn(
+            "slowness", F.coalesce(slowness, F.lit(1.0))
+        ),
+        "service", "endpoint", "hour", "day_of_week_num", "slowness",
+    ).join(F.broadcast(endpoints), ["service", "endpoint"], "left")
+    # The model caps rates with ``least``, which would take NULL for the cap.
+    expected = F.when(
+        F.col("base_error_rate").isNotNull(),
+        load_model.expected_error_rate(
+            F.col("base_error_rate"), _multiplier(), F.col("slowness")
         ),
-        "service", "endpoint", "base_error_rate", "hour", "day_of_week_num", "slowness",
-    )
-    expected = load_model.expected_error_rate(
-        F.col("base_error_rate"), _multiplier(), F.col("slowness")
     )
     return (
         cells.groupBy("service", "endpoint")
@@ -107,7 +112,7 @@ def expected_traffic(log: DataFrame) -> DataFrame:
     expected = load_model.expected_requests(F.col("base_requests"), _multiplier())
     return (
         requests_per(log, "service", "date", "hour", "day_of_week_num")
-        .join(F.broadcast(services), "service")
+        .join(F.broadcast(services), "service", "left")
         .groupBy("service", "hour")
         .agg(
             F.count(F.lit(1)).alias("days"),
@@ -125,7 +130,9 @@ def endpoint_mix(log: DataFrame) -> DataFrame:
         requests_per(log, "service", "endpoint")
         .withColumn("observed_share", ratio(F.col("requests"), whole))
         .join(
-            F.broadcast(schema.endpoint_dim(log.sparkSession)), ["service", "endpoint"]
+            F.broadcast(schema.endpoint_dim(log.sparkSession)),
+            ["service", "endpoint"],
+            "left",
         )
         .select(
             "service",
@@ -144,7 +151,9 @@ def error_code_mix(log: DataFrame) -> DataFrame:
     return (
         requests_per(log.filter("error"), "status_code")
         .withColumn("observed_share", ratio(F.col("requests"), whole))
-        .join(F.broadcast(schema.error_code_dim(log.sparkSession)), "status_code")
+        .join(
+            F.broadcast(schema.error_code_dim(log.sparkSession)), "status_code", "left"
+        )
         .select(
             "status_code",
             "requests",

@@ -12,6 +12,7 @@ from loadglass.operators.aggregate import (
     P99,
     frequency,
     mean_latency,
+    narrowed,
     profile,
     profile_columns,
     quantile,
@@ -23,10 +24,11 @@ from loadglass.operators.order import in_order
 
 def response_time_stats(log: DataFrame) -> DataFrame:
     """Mean, median, sample deviation, percentiles and maximum of all requests."""
+    quantiles = [MEDIAN, P90, P95, P99]
     return (
-        frequency(log)
+        narrowed(frequency(log), quantiles=quantiles)
         .agg(
-            *profile_columns([MEDIAN, P90, P95, P99]),
+            *profile_columns(quantiles),
             sum_of_squares().alias("squares"),
             F.max(LATENCY).alias("max_ms"),
         )

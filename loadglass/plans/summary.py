@@ -12,10 +12,12 @@ from loadglass.operators.aggregate import (
     P99,
     error_count,
     mean_latency,
+    narrowed,
     profile_columns,
     quantile,
     request_count,
 )
+from loadglass.operators.cleaning import whole_numbers
 from loadglass.plans.errors import error_percent
 
 
@@ -95,7 +97,7 @@ def _days() -> Column:
 def _whole_log(log: DataFrame) -> DataFrame:
     """Everything the two dashboards' figures need, in one row."""
     return (
-        _latency_and_time(log, "date", "hour")
+        narrowed(_latency_and_time(log, "date", "hour"), quantiles=[P95])
         .agg(
             *profile_columns([P95]),
             _days().alias("total_days"),
@@ -137,7 +139,7 @@ def summary_dashboard(log: DataFrame) -> DataFrame:
 def clean_summary(log: DataFrame) -> DataFrame:
     """What the clean stage prints about its result."""
     return (
-        _latency_and_time(log, "date")
+        narrowed(_latency_and_time(log, "date"), quantiles=[MEDIAN, P95, P99])
         .agg(
             *profile_columns([MEDIAN, P95, P99]),
             F.min("date").alias("first_date"),
@@ -160,13 +162,14 @@ def clean_summary(log: DataFrame) -> DataFrame:
 
 def raw_summary(raw: DataFrame) -> DataFrame:
     """The same quick look before cleaning, so invalid latencies count."""
+    raw = whole_numbers(raw)
     per_group = raw.groupBy("service", LATENCY).agg(
         request_count(raw).alias("requests"),
         error_count(raw).alias("errors"),
         F.min("timestamp").alias("first_request"),
         F.max("timestamp").alias("last_request"),
     )
-    return per_group.agg(
+    return narrowed(per_group, quantiles=[P95]).agg(
         *profile_columns([P95]),
         F.min("first_request").alias("first_request"),
         F.max("last_request").alias("last_request"),

@@ -13,8 +13,8 @@ RAW_LOG = T.StructType(
         T.StructField("timestamp", T.TimestampNTZType()),
         T.StructField("service", T.StringType()),
         T.StructField("endpoint", T.StringType()),
-        T.StructField("response_time_ms", T.IntegerType()),
-        T.StructField("status_code", T.IntegerType()),
+        T.StructField("response_time_ms", T.LongType()),
+        T.StructField("status_code", T.LongType()),
         T.StructField("error", T.BooleanType()),
     ]
 )
@@ -108,14 +108,8 @@ ERROR_CODE_WEIGHTS = [
 INCIDENT_DAY = 5
 INCIDENT_FIRST_HOUR = 14
 INCIDENT_LAST_HOUR = 14
-INCIDENT_LATENCY_FACTOR = 3
-INCIDENT_STATUS = 503
-INCIDENT_FRACTION = 0.3
-
 BAD_LATENCY = -1
-BAD_LATENCY_FRACTION = 0.001
 BAD_STATUS = 999
-BAD_STATUS_FRACTION = 0.0005
 
 HISTOGRAM_BINS = 50
 

@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import os
 import tempfile
 import uuid
 
@@ -24,6 +25,8 @@ LOCAL_SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+LOCAL_SCRATCH = os.path.join(tempfile.gettempdir(), "loadglass-scratch")
+
 
 def session(
     name: str = "loadglass",
@@ -46,12 +49,12 @@ def session(
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the one the cluster shares in ``spark.checkpoint.dir``.
 
-    Without that setting only a local session may fall back to a temporary folder:
+    Without that setting only a local session has a folder of its own, ``LOCAL_SCRATCH``:
     executors of a cluster could not see it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="loadglass-")
+        shared = LOCAL_SCRATCH
     return f"{shared.rstrip('/')}/loadglass/{purpose}-{uuid.uuid4().hex}"

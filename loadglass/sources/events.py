@@ -52,13 +52,13 @@ def to_raw_log(events: DataFrame) -> DataFrame:
         "ts AS timestamp",
         f"element_at({_constants(schema.SERVICES)}, service_no + 1) AS service",
         f"element_at({endpoints}, service_no * 4 + pmod(k, 4) + 1) AS endpoint",
-        f"""CASE WHEN event_id % 1000 = 7 THEN {schema.BAD_LATENCY}
-            ELSE greatest(10, CAST(floor(value * 3) AS INT)) END AS response_time_ms""",
-        f"""CASE WHEN event_id % 2000 = 11 THEN {schema.BAD_STATUS}
+        f"""CASE WHEN event_id % 1000 = 7 THEN {schema.BAD_LATENCY}L
+            ELSE greatest(10L, CAST(floor(value * 3) AS BIGINT)) END AS response_time_ms""",
+        f"""CAST(CASE WHEN event_id % 2000 = 11 THEN {schema.BAD_STATUS}
             WHEN event_type = 'error' AND k % 5 = 0
               THEN element_at({_constants(ERROR_CODES)}, CAST(pmod(k DIV 5, 7) AS INT) + 1)
             WHEN event_type = 'signup' THEN 201
-            ELSE 200 END AS status_code""",
+            ELSE 200 END AS BIGINT) AS status_code""",
         "event_type = 'error' AND k % 5 = 0 AS error",
     )
 

@@ -34,9 +34,9 @@ def read_raw_text(
 def read_raw_log(
     spark: SparkSession, path: str, fmt: str = "csv", event_id: bool = False
 ) -> DataFrame:
-    """A typed raw log. From CSV, values that do not parse come out as NULL and are
-
-    rejected, with the reason, by the clean stage.
+    """A raw log. From CSV, latency and status are doubles, and values that do not parse
+    are rejected, with the reason, by the clean stage. Integer columns of Parquet files
+    of any width are read as BIGINT.
     """
     if fmt == "csv":
         typed = parse_log(read_raw_text(spark, path, event_id))
@@ -47,6 +47,17 @@ def read_raw_log(
     return spark.read.schema(columns).format(fmt).load(path)
 
 
+def read_strict_raw_log(spark: SparkSession, path: str) -> DataFrame:
+    """A raw CSV log that ends the job at the first value that does not parse."""
+    return (
+        spark.read.schema(schema.RAW_LOG)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(path)
+    )
+
+
 def read_clean_log(
     spark: SparkSession, path: str, fmt: str = "parquet", event_id: bool = False
 ) -> DataFrame:
@@ -101,3 +112,10 @@ def write_table(report: DataFrame, path: str) -> None:
     For reports whose size is bounded by the clock, the calendar or the endpoints.
     """
     report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_table(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
+    """A report as ``write_table`` leaves it."""
+    return (
+        spark.read.schema(columns).option("header", True).option("mode", "FAILFAST").csv(path)
+    )

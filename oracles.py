@@ -23,13 +23,13 @@ keyed AS (
 raw AS (
   SELECT e.event_id, e.ts AS "timestamp", d.service, d.endpoint,
     CAST(CASE WHEN e.event_id % 1000 = 7 THEN -1
-              ELSE greatest(10, CAST(floor(e."value" * 3) AS INT)) END AS INT)
+              ELSE greatest(10, CAST(floor(e."value" * 3) AS BIGINT)) END AS BIGINT)
       AS response_time_ms,
     CAST(CASE WHEN e.event_id % 2000 = 11 THEN 999
               WHEN e.event_type = 'error' AND e.k % 5 = 0
                 THEN ([400, 401, 403, 404, 500, 502, 503])[(e.k // 5) % 7 + 1]
               WHEN e.event_type = 'signup' THEN 201
-              ELSE 200 END AS INT) AS status_code,
+              ELSE 200 END AS BIGINT) AS status_code,
     (e.event_type = 'error' AND e.k % 5 = 0) AS error
   FROM keyed e JOIN dim d ON e.user_id % 3 = d.service_no AND e.k % 4 = d.slot),
 dated AS (
@@ -83,30 +83,11 @@ LONG_PERIOD = "CASE WHEN is_peak_hour THEN 'Peak (6-10 PM)' ELSE 'Off-Peak' END"
 
 INCIDENT = 'dayofmonth("timestamp") = 5 AND hour("timestamp") = 14'
 
-REPLAYED = f"""
-, marked AS (
-  SELECT *, {INCIDENT} AS inside FROM raw),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY inside
-                               ORDER BY md5('incident:' || event_id)) AS pos,
-    count(*) OVER (PARTITION BY inside) AS n
-  FROM marked),
-replayed AS (
-  SELECT event_id, "timestamp", service, endpoint,
-    CAST(CASE WHEN inside THEN response_time_ms * 3 ELSE response_time_ms END AS INT)
-      AS response_time_ms,
-    CAST(CASE WHEN inside AND pos <= round_even(n * 0.3::DOUBLE, 0) THEN 503
-              ELSE status_code END AS INT) AS status_code,
-    (inside AND pos <= round_even(n * 0.3::DOUBLE, 0)) OR error AS error
-  FROM ranked)
-"""
-
-
-def defect_rank(salt: str) -> str:
+def sample_rank(salt: str) -> str:
     return f"row_number() OVER (ORDER BY md5('{salt}' || event_id))"
 
 
-def defect_size(fraction: str) -> str:
+def sample_size(fraction: str) -> str:
     return f"greatest(1, floor(count(*) OVER () * {fraction}::DOUBLE))"
 
 
@@ -130,6 +111,23 @@ REPORTS = {
                    || CAST("timestamp" AS VARCHAR) AS TIMESTAMP) AS "timestamp"
         FROM raw""",
     "ensure_dtypes": "SELECT event_id, response_time_ms, status_code, error FROM raw",
+    "clean_from_text": """
+        SELECT event_id, CASE WHEN reason IS NULL THEN ms END AS response_time_ms,
+          CASE WHEN reason IS NULL THEN status_code END AS status_code,
+          CASE WHEN reason IS NULL THEN error OR c = 15 END AS error, reason
+        FROM (
+          SELECT event_id, event_id % 100 AS c, error,
+            CASE event_id % 100 WHEN 1 THEN 3000000000 WHEN 4 THEN 12
+              ELSE response_time_ms END AS ms,
+            CASE event_id % 100 WHEN 12 THEN 200 ELSE status_code END AS status_code,
+            CASE WHEN event_id % 100 = 5 THEN 'invalid_timestamp'
+              WHEN event_id % 100 = 2
+                OR (response_time_ms < 0 AND event_id % 100 NOT IN (1, 3, 4, 6, 9))
+                THEN 'negative_response_time'
+              WHEN event_id % 100 IN (8, 13) OR (status_code = 999 AND event_id % 100 <> 12)
+                THEN 'invalid_status_code'
+              WHEN event_id % 100 IN (3, 6, 9) THEN 'unparsable_response_time' END AS reason
+          FROM raw)""",
     "derived_columns": """
         SELECT event_id, "timestamp", "hour", day_of_week, day_of_week_num, "date",
           is_weekend, is_peak_hour FROM dated""",
@@ -443,23 +441,20 @@ REPORTS = {
               GROUP BY 1) JOIN w USING (status_code)""",
     # incidents and samples
     "incident_window": f"SELECT {RAW_COLUMNS} FROM raw WHERE {INCIDENT}",
-    "incident_replay": f"{REPLAYED} SELECT {RAW_COLUMNS} FROM replayed",
     "sample_n": f"""
         SELECT 'latency' AS "sample", event_id FROM raw
-        QUALIFY {defect_rank('latency:')} <= {defect_size('0.001')}
+        QUALIFY {sample_rank('latency:')} <= {sample_size('0.001')}
         UNION ALL
         SELECT 'status' AS "sample", event_id FROM raw
-        QUALIFY {defect_rank('status:')} <= {defect_size('0.0005')}""",
-    "inject_anomalies": f"""{REPLAYED}
-        SELECT event_id, "timestamp", service, endpoint,
-          CASE WHEN {defect_rank('latency:')} <= {defect_size('0.001')} THEN -1
-               ELSE response_time_ms END AS response_time_ms,
-          CASE WHEN {defect_rank('status:')} <= {defect_size('0.0005')} THEN 999
-               ELSE status_code END AS status_code,
-          error
-        FROM replayed""",
+        QUALIFY {sample_rank('status:')} <= {sample_size('0.0005')}""",
+    "sample_fraction": f"""
+        SELECT {RAW_COLUMNS} FROM raw WHERE {INCIDENT}
+        QUALIFY {sample_rank('incident:')} <= round_even(count(*) OVER () * 0.3::DOUBLE, 0)""",
 }
 
 REPORTS["daily_metrics_via_rollup"] = REPORTS["daily_metrics"]
+REPORTS["sorted_csv_roundtrip"] = REPORTS["clean_log"]
+for table in ["endpoint_performance", "daily_metrics", "hourly_metrics"]:
+    REPORTS[f"{table}_roundtrip"] = REPORTS[table]
 
 ORACLES = {name: f"{BASE}{sql}" for name, sql in REPORTS.items()}

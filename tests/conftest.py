@@ -28,6 +28,13 @@ def spark(tmp_path_factory):
     active.stop()
 
 
+def executed_scans(frame):
+    """File scans in the plan that ran; what is reused is not scanned again."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0].count("FileScan ")
+
+
 @pytest.fixture(scope="session")
 def folder():
     return "/root/testdata/sf0.001"

@@ -104,7 +104,8 @@ def test_text_values_become_typed(spark):
         "timestamp string, response_time_ms string, status_code string, error string",
     )
     second = datetime.datetime(2026, 1, 1, 0, 0, 3)
-    assert [tuple(row) for row in cleaning.parse_log(text).collect()] == [
+    typed = cleaning.ensure_dtypes(cleaning.parse_timestamps(text))
+    assert [tuple(row) for row in typed.collect()] == [
         (second, 12, 200, False),
         (second, 12, 200, True),
         (None, 12, None, True),
@@ -123,7 +124,8 @@ def test_broken_csv_lines_are_rejected_and_not_lost(spark, tmp_path):
         "2026-01-01 00:00:05,auth\n"
     )
     raw = logs.read_raw_log(spark, str(path))
-    assert [f.dataType for f in raw.schema] == [f.dataType for f in schema.RAW_LOG]
+    clean = cleaning.clean_log(raw)
+    assert [f.dataType for f in clean.schema] == [f.dataType for f in schema.CLEAN_LOG]
     assert cleaning.clean_log(raw).select("response_time_ms", "error").collect() == [
         (87, False), (90, True),
     ]
@@ -140,4 +142,69 @@ def test_clean_filters_reach_the_scan(spark, make_raw, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(response_time_ms,0)" in plan
     assert ", In(st" in plan  # the plan text is cut here
-    assert "ReadSchema: struct<timestamp:timestamp_ntz,response_time_ms:int,status_code:int>" in plan
+    assert "ReadSchema: struct<timestamp:timestamp_ntz,response_time_ms:bigint,status_code:bigint" in plan
+
+
+def write_lines(path, *lines):
+    path.write_text(
+        "\n".join(["timestamp,service,endpoint,response_time_ms,status_code,error", *lines])
+    )
+    return str(path)
+
+
+def test_rules_see_values_before_they_are_cut(spark, tmp_path):
+    raw = logs.read_raw_log(
+        spark,
+        write_lines(
+            tmp_path / "raw.csv",
+            "2026-01-01 00:00:01,auth,/login,3000000000,200,False",
+            "2026-01-01 00:00:02,auth,/login,-0.5,200,False",
+            "2026-01-01 00:00:03,auth,/login,20,200.7,False",
+            "2026-01-01 00:00:04,auth,/login,abc,200,False",
+            "2026-01-01 00:00:05,auth,/login,,200,False",
+            "2026-01-01 00:00:06-05:00,auth,/login,20,200,False",
+            "2026-01-01T00:00:07Z,auth,/login,20,200,False",
+            "2026-01-01 00:00:08,auth,/login,12.7,200.0,",
+            "2026-01-01 00:00:09,auth,/login,1e19,200,False",
+        ),
+    )
+    clean = cleaning.clean_log(raw).orderBy("timestamp")
+    assert clean.select("response_time_ms", "status_code", "error").collect() == [
+        (3_000_000_000, 200, False), (12, 200, True),
+    ]
+    reasons = [row.reject_reason for row in cleaning.rejected_log(raw).collect()]
+    assert sorted(reasons) == sorted(
+        [
+            "negative_response_time", "invalid_status_code", "unparsable_response_time",
+            "null_response_time", "invalid_timestamp", "invalid_timestamp",
+            "unparsable_response_time",
+        ]
+    )
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_integers_of_either_width_are_read(spark, make_raw, tmp_path, kind):
+    path = str(tmp_path / "raw")
+    make_raw([GOOD, (*GOOD[:5], None)]).withColumns(
+        {
+            "response_time_ms": F.col("response_time_ms").cast(kind),
+            "status_code": F.col("status_code").cast(kind),
+        }
+    ).write.parquet(path)
+    raw = logs.read_raw_log(spark, path, "parquet")
+    clean = cleaning.clean_log(raw).select("response_time_ms", "status_code", "error")
+    # A missing flag counts as an error, from any format.
+    assert sorted(clean.collect()) == [(20, 200, False), (20, 200, True)]
+
+
+def test_strict_reading_stops_at_the_first_bad_value(spark, tmp_path):
+    path = write_lines(tmp_path / "raw.csv", "soon,auth,/login,87,200,False")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        logs.read_strict_raw_log(spark, path).collect()
+
+
+def test_invalid_codes_are_those_that_the_report_counts(make_raw):
+    raw = make_raw([(None, "auth", "/login", 20, 999, True), (*GOOD[:4], 998, True)])
+    assert [row.status_code for row in quality.invalid_codes(raw).collect()] == [998]
+    reasons = {row.reject_reason: row.rejected for row in quality.reject_report(raw).collect()}
+    assert reasons == {"invalid_timestamp": 1, "invalid_status_code": 1}

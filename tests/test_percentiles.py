@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadglass.functions.numeric import round_half_even
-from loadglass.operators.aggregate import profile, totals, wide_percentiles
+from loadglass.operators.aggregate import frequency, narrowed, profile, totals
 from loadglass.plans import latency
 
 FRACTIONS = [0.0, 0.5, 0.9, 0.95, 0.99, 1.0]
@@ -32,12 +32,11 @@ def expected(rows):
     }
 
 
-@pytest.mark.parametrize("percentiles", [profile, wide_percentiles])
-def test_exact_percentiles(skewed, percentiles):
+def test_exact_percentiles(skewed):
     log, rows = skewed
     found = {
         row.service: row
-        for row in percentiles(log, "service", quantiles=FRACTIONS).collect()
+        for row in profile(log, "service", quantiles=FRACTIONS).collect()
     }
     groups = expected(rows)
     assert set(found) == set(groups)
@@ -48,14 +47,38 @@ def test_exact_percentiles(skewed, percentiles):
         )
 
 
-def test_wide_percentiles_of_the_whole_log(skewed):
+def test_percentiles_of_the_whole_log(skewed):
     log, rows = skewed
-    found = wide_percentiles(log, quantiles=FRACTIONS, bucket_bits=3).first()
+    found = profile(log, quantiles=FRACTIONS).first()
     assert found.quantiles == pytest.approx(
         np.quantile([row[1] for row in rows], FRACTIONS).tolist(), rel=1e-12
     )
 
 
+def test_percentiles_of_negative_and_huge_latencies(spark):
+    values = [-(2**40) - 3, -5000, -4097, -4096, -4095, -1, 0, 2047, 2048, 2**52 + 1, 2**52 + 3]
+    log = spark.createDataFrame(
+        [(v, False) for v in values], "response_time_ms long, error boolean"
+    )
+    found = profile(log, quantiles=FRACTIONS).first()
+    assert found.quantiles == pytest.approx(np.quantile(values, FRACTIONS).tolist(), rel=1e-12)
+
+
+def test_millions_of_latencies_in_one_key(spark):
+    """The final percentile holds cut latencies only, not the distinct ones."""
+    rows = 3_000_000
+    log = spark.range(rows).select(
+        F.lit("auth").alias("service"),
+        (F.col("id") * 2_654_435_761 % 2_000_000_011).alias("response_time_ms"),
+        F.lit(False).alias("error"),
+    )
+    found = profile(log, "service", quantiles=[0.5, 0.95]).first()
+    values = np.arange(rows, dtype=np.int64) * 2_654_435_761 % 2_000_000_011
+    assert found.quantiles == pytest.approx(np.quantile(values, [0.5, 0.95]).tolist(), rel=1e-12)
+    counted = narrowed(frequency(log, "service"), "service", quantiles=[0.5, 0.95])
+    assert counted.select("narrow").distinct().count() < 60_000
+
+
 def test_totals_are_exact_and_leave_out_missing_keys(skewed):
     log, rows = skewed
     for row in totals(log, "service").collect():
@@ -90,9 +113,6 @@ def test_a_rollup_gives_the_same_profile(skewed):
     assert sorted(profile(weighted, "service").collect()) == sorted(
         profile(log, "service").collect()
     )
-    assert sorted(wide_percentiles(weighted, "service").collect()) == sorted(
-        wide_percentiles(log, "service").collect()
-    )
 
 
 def test_rounding_is_half_even(spark):

@@ -2,6 +2,7 @@ import datetime
 
 import numpy as np
 import pytest
+from conftest import executed_scans
 
 from loadglass.operators.histogram import latency_histogram
 from loadglass.plans import bundles, endpoints, errors, expectations, peak, summary, traffic
@@ -182,17 +183,45 @@ def test_expectations(make_clean):
     )
     load = 2.5 * 1.1
     found = expectations.expected_vs_observed(log).collect()
-    assert len(found) == 1
+    assert [row.service for row in found] == ["auth", "other"]
+    assert (found[1].expected_ms, found[1].observed_ms) == (None, 300.0)
     assert found[0].expected_ms == pytest.approx(80 * (1 + (load - 1) * 0.4))
     assert found[0].observed_ms == 200.0
     rate = 0.03 * (1 + (load - 1) * 0.5)
-    found = expectations.expected_error_rate(log).first()
+    found, unknown = expectations.expected_error_rate(log).collect()
+    assert (unknown.expected_error_rate, unknown.observed_error_rate) == (None, 100.0)
     assert found.expected_error_rate == pytest.approx(rate * (1 + 1.2 + 1.5) / 3 * 100)
     assert found.observed_error_rate == pytest.approx(100 / 3)
-    found = expectations.expected_traffic(log).first()
+    found, unknown = expectations.expected_traffic(log).collect()
+    assert (unknown.expected_requests, unknown.observed_requests) == (None, 1.0)
     assert (found.days, found.expected_requests, found.observed_requests) == (1, 412.0, 3.0)
 
 
+def test_shares_add_up_with_unknown_endpoints_and_codes(make_clean):
+    log = make_clean(
+        [
+            ("2026-01-05 19:00:00", "auth", "/login", 100, 201, True),
+            ("2026-01-05 19:01:00", "auth", "/other", 200, 500, True),
+            ("2026-01-05 19:02:00", "new", "/new", 300, 404, True),
+        ]
+    )
+    mix = {(r.service, r.endpoint): r for r in expectations.endpoint_mix(log).collect()}
+    assert mix["auth", "/login"].observed_share + mix["auth", "/other"].observed_share == 1
+    assert mix["new", "/new"].configured_share is None
+    codes = expectations.error_code_mix(log).collect()
+    assert sum(row.observed_share for row in codes) == pytest.approx(1)
+    assert [row.configured_share is None for row in codes] == [True, False, False]
+
+
+def test_histogram_reads_the_log_once(spark, make_clean, tmp_path):
+    path = str(tmp_path / "log")
+    make_clean(
+        [("2026-01-05 19:00:00", "auth", "/a", ms, 200, False) for ms in range(1, 90)]
+    ).write.parquet(path)
+    log = spark.read.parquet(path)
+    assert executed_scans(latency_histogram(log)) == 1
+
+
 def test_daily_rows_are_in_calendar_order(make_clean):
     log = make_clean(
         [(f"2026-01-{day:02d} 10:00:00", "auth", "/a", day, 200, False) for day in [9, 3, 7, 1]]

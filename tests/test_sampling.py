@@ -1,8 +1,7 @@
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
-
+from conftest import executed_scans
 from loadglass.operators import incidents, sampling
 
 
@@ -32,12 +31,33 @@ def test_exact_size_and_members(spark, rows, size, wanted):
 
 
 def test_edge_of_a_crowded_prefix(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "STEPS", [1, 2])
+    monkeypatch.setattr(sampling, "PREFIX", 2)
+    monkeypatch.setattr(sampling, "FIRST_STEP", 1)
     ids = spark.range(1000).withColumnRenamed("id", "event_id")
     found = sampling.sample(ids, "event_id", sampling.rounded_fraction(0.3)).collect()
     assert {row.event_id for row in found} == smallest(range(1000), 300)
 
 
+def test_repeated_and_missing_ids_keep_the_exact_size(spark):
+    ids = spark.createDataFrame([(7,)] * 1000 + [(None,)] * 50, "event_id int")
+    found = sampling.sample(ids, "event_id", sampling.rounded_fraction(0.1)).collect()
+    assert [row.event_id for row in found] == [7] * 100
+
+
+def test_samples_read_the_table_twice_however_many_they_are(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    spark.range(5000).withColumnRenamed("id", "event_id").write.parquet(path)
+    draws = {
+        name: sampling.Draw(sampling.fixed_size(0.01), name) for name in ["a", "b", "c"]
+    }
+    found = sampling.samples(spark.read.parquet(path), "event_id", draws)
+    rows = found.collect()
+    for name in draws:
+        members = {row.event_id for row in rows if row["sample"] == name}
+        assert members == smallest(range(5000), 50, name)
+    assert executed_scans(found) == 2
+
+
 def test_empty_table_gives_an_empty_sample(spark):
     ids = spark.range(0).withColumnRenamed("id", "event_id")
     assert sampling.sample(ids, "event_id", sampling.fixed_size(0.1)).collect() == []
@@ -63,28 +83,3 @@ def raw(make_raw):
 
 def test_incident_window(raw):
     assert {row.event_id for row in incidents.incident_window(raw).collect()} == set(range(10))
-
-
-def test_replay_rewrites_the_window_and_nothing_else(raw):
-    before = {row.event_id: row for row in raw.collect()}
-    after = {row.event_id: row for row in incidents.replay_incident(raw).collect()}
-    assert set(after) == set(before)
-    failing = smallest(range(10), 3, "incident:")
-    for number, row in after.items():
-        old = before[number]
-        if number >= 10:
-            assert row == old
-            continue
-        assert row.response_time_ms == old.response_time_ms * 3
-        assert (row.status_code, row.error) == (
-            (503, True) if number in failing else (old.status_code, old.error)
-        )
-
-
-def test_defects_have_their_exact_numbers(spark, make_raw):
-    raw = make_raw([("2026-01-05 14:00:00", "auth", "/login", 20, 200, False)]).drop("event_id")
-    many = raw.crossJoin(spark.range(4000).withColumnRenamed("id", "event_id"))
-    found = incidents.plant_defects(many).groupBy().agg(
-        F.count_if(F.col("response_time_ms") == -1), F.count_if(F.col("status_code") == 999)
-    )
-    assert tuple(found.first()) == (4, 2)
