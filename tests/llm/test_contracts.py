@@ -4,9 +4,9 @@ from collections import Counter
 
 import brute
 import pytest
+from awkward import PASSAGE
 from pyspark.sql import functions as F
 
-from conftest import PASSAGE
 from loadglass.llm import (
     chat,
     decontamination,
