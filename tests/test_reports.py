@@ -2,7 +2,7 @@ import datetime
 
 import numpy as np
 import pytest
-from conftest import executed_scans
+from plan_text import executed_scans
 
 from loadglass.operators.histogram import latency_histogram
 from loadglass.plans import bundles, endpoints, errors, expectations, peak, summary, traffic

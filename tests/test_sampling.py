@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from conftest import executed_scans
+from plan_text import executed_scans
 from loadglass.operators import incidents, sampling
 
 
