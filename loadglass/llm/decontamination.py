@@ -387,3 +387,39 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFram
     bad = decontaminate(documents, benchmark).where("contaminated").select(*key).distinct()
     rows = documents.withColumn(TEXT_HASH, text_hash())
     return match(rows, written(bad, "contaminated"), key, "left_anti").select(*documents.columns)
+
+
+def decontaminate_sql(documents: str = "documents", benchmark: str = "benchmark") -> str:
+    """What :func:`decontaminate` counts, in DuckDB's SQL, by all windows of all documents."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = (
+        f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+    return f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rn, doc_id, {words} AS words FROM {documents}
+), items AS (
+    SELECT item_id, words, least({WINDOW_WORDS}, len(words)) AS size
+    FROM (SELECT item_id, {words} AS words FROM {benchmark}) WHERE len(words) > 0
+), windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[s:s + size - 1], ' ') AS win
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS s FROM items)
+), places AS (
+    SELECT rn, s, size, array_to_string(words[s:s + size - 1], ' ') AS win
+    FROM (SELECT rn, words, size, unnest(range(1, len(words) - size + 2)) AS s
+          FROM docs, (SELECT DISTINCT size FROM windows))
+), hits AS (
+    SELECT rn, s, size, item_id FROM places JOIN windows USING (size, win)
+), covered AS (
+    SELECT rn, count(DISTINCT p) AS n_hit
+    FROM (SELECT rn, unnest(range(s, s + size)) AS p FROM hits) GROUP BY rn
+), found AS (
+    SELECT rn, count(DISTINCT item_id) AS n_items,
+        string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+    FROM hits GROUP BY rn
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND {HIT_SHARE} * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN covered USING (rn) LEFT JOIN found USING (rn)"""

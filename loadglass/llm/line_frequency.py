@@ -65,9 +65,9 @@ def normalised(line: bytes) -> bytes:
     return b" ".join(line.lower().translate(_DIGITS).split())
 
 
-def line_hash(line: bytes) -> int:
-    """As Spark's ``xxhash64`` of the normalised line."""
-    return int(np.uint64(xxhash.xxh64_intdigest(normalised(line), 42)).view(np.int64))
+def line_hash(normal: bytes) -> int:
+    """As Spark's ``xxhash64`` of a normalised line."""
+    return int(np.uint64(xxhash.xxh64_intdigest(normal, 42)).view(np.int64))
 
 
 def measures(text: str | None) -> tuple:
@@ -77,24 +77,24 @@ def measures(text: str | None) -> tuple:
     words = data.split()
     lines: dict[int, int] = {}
     seen: set[bytes] = set()
-    repeats, longest, owner = 0, -1, 0
+    repeats, longest = 0, (0, b"")
     for line in data.split(b"\n"):
         size = len(line.split())
         if not size:
             continue
         repeats += line in seen
         seen.add(line)
-        digest = line_hash(line)
+        normal = normalised(line)
+        digest = line_hash(normal)
         lines[digest] = lines.get(digest, 0) + size
-        if (len(line), digest) > (longest, owner):
-            longest, owner = len(line), digest
+        longest = max(longest, (len(line), normal))
     return (
         len(words),
         len(text or "") - (len(data) - len(data.translate(None, SPACES))),
         len(data) - len(data.translate(None, SYMBOLS)),
         repeats,
         repeated_words(words),
-        owner,
+        line_hash(longest[1]),
         [{"line": line, "words": size} for line, size in lines.items()],
     )
 
@@ -246,3 +246,71 @@ def cleaned(
         n_chars = F.length("text").cast(documents.schema["n_chars"].dataType)
         kept = kept.withColumn("n_chars", F.when(touched, n_chars).otherwise(F.col("n_chars")))
     return kept.select(*documents.columns)
+
+
+def judge_sql(
+    documents: str = "documents",
+    max_documents: int = MAX_DOCUMENTS,
+    max_share: float = MAX_DOCUMENT_SHARE,
+) -> str:
+    """:func:`judge` by source in DuckDB's SQL, with lines themselves in place of hashes."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    space = r"[\x20\x09-\x0D]"
+    normal = (
+        f"trim(regexp_replace(translate(line, '{upper}123456789', '{upper.lower()}000000000'), "
+        f"'{space}+', ' ', 'g'))"
+    )
+    return f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rn, doc_id, source AS host, coalesce(text, '') AS body,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM {documents}
+), windows AS (
+    SELECT rn, s, array_to_string(words[s:s + {REPEAT_WINDOW - 1}], ' ') AS win
+    FROM (SELECT rn, words, unnest(range(1, len(words) - {REPEAT_WINDOW - 2})) AS s FROM docs)
+), repeated AS (
+    SELECT rn, count(DISTINCT p) AS n FROM (
+        SELECT rn, unnest(range(s, s + {REPEAT_WINDOW})) AS p FROM (
+            SELECT rn, s, count(*) OVER (PARTITION BY rn, win) AS n FROM windows)
+        WHERE n > 1)
+    GROUP BY rn
+), lines AS (
+    SELECT rn, host, line, {normal} AS normal,
+        len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
+    FROM (SELECT rn, host, unnest(string_split(body, chr(10))) AS line FROM docs)
+), counted AS (
+    SELECT rn, count(*) - count(DISTINCT line) AS repeats,
+        arg_max(normal, (strlen(line), normal)) AS owner
+    FROM lines WHERE n > 0 GROUP BY rn
+), owners AS (
+    SELECT rn, host, coalesce(owner, '') AS owner FROM docs LEFT JOIN counted USING (rn)
+), hosts AS (
+    SELECT host, count(DISTINCT owner) AS documents FROM owners GROUP BY host
+), boilerplate AS (
+    SELECT l.host, l.normal FROM lines l JOIN owners o USING (rn)
+    JOIN hosts h ON h.host IS NOT DISTINCT FROM l.host
+    WHERE l.n > 0 GROUP BY l.host, l.normal
+    HAVING count(DISTINCT o.owner) > greatest({max_documents}, {max_share} * any_value(documents))
+), removed AS (
+    SELECT rn, sum(n) AS n FROM lines l
+    JOIN boilerplate b ON b.host IS NOT DISTINCT FROM l.host AND b.normal = l.normal
+    GROUP BY rn
+), judged AS (
+    SELECT doc_id, len(words) AS n_words,
+        length(body) - length(regexp_replace(body, '[^\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+        length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(repeats, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
+        len(words) - coalesce(removed.n, 0) AS words_left
+    FROM docs LEFT JOIN counted USING (rn) LEFT JOIN repeated USING (rn)
+    LEFT JOIN removed USING (rn)
+), failed AS (
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words
+        AS base_failed
+    FROM judged
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+    CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+    CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(words_left AS BIGINT) AS words_left,
+    base_failed, NOT base_failed AND words_left >= {MIN_WORDS_LEFT}
+        AND words_left >= {MIN_SHARE_LEFT}::DOUBLE * n_words AS kept
+FROM failed"""

@@ -143,7 +143,9 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_sharding": sharding.assign_sql(),
+    "op2_decontamination": decontamination.decontaminate_sql(),
     "op3_licenses": licenses.scan_sql(),
+    "op9_line_frequency": line_frequency.judge_sql(),
     "op10_chat": """
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text

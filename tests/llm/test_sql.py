@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from loadglass.llm import queries, sharding
+from loadglass.llm import line_frequency, queries, sharding
 
 SPARK_TO_SQL = {
     "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
@@ -40,3 +40,13 @@ def test_matches_sql(spark, folder, tables, name):
 
 def test_small_shards_match_sql(spark, documents, tables):
     same(sharding.assign(documents, 5000), tables.sql(sharding.assign_sql(5000)))
+
+
+def test_lower_line_limits_match_sql(spark, documents, tables):
+    judged = line_frequency.judge(documents, max_documents=2, max_share=0.01)
+    assert judged.where("removed_lines IS NOT NULL").count()
+    columns = queries.op9_line_frequency(spark, "/root/testdata/sf0.001").columns
+    same(
+        judged.select(*columns),
+        tables.sql(line_frequency.judge_sql(max_documents=2, max_share=0.01)),
+    )
