@@ -11,7 +11,7 @@ import argparse
 
 from loadglass.operators import cleaning
 from loadglass.plans import bundles, rollup
-from loadglass.session import session
+from loadglass.session import scratch_folder, session
 from loadglass.sources import logs
 
 SETS = {
@@ -27,8 +27,16 @@ def write_tables(tables: dict, folder: str) -> None:
         logs.write_table(table, f"{folder.rstrip('/')}/{name}")
 
 
+def staged(raw, path):
+    """Parsed rows as Parquet: all that follows reads columns of these, not text again."""
+    raw.write.parquet(path)
+    return raw.sparkSession.read.schema(raw.schema).parquet(path)
+
+
 def clean(spark, args) -> None:
     raw = logs.read_raw_log(spark, args.raw, args.format)
+    if args.format == "csv":
+        raw = staged(raw, scratch_folder(spark, "staged"))
     logs.write_clean_log(cleaning.clean_log(raw), args.clean)
     if args.rejects:
         cleaning.rejected_log(raw).write.mode("overwrite").parquet(args.rejects)

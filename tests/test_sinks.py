@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadglass import schema
+import loadglass.__main__ as command_line
 from loadglass.__main__ import main
 from loadglass.operators.cleaning import clean_log
 from loadglass.plans import bundles, latency, rollup
@@ -152,3 +153,27 @@ def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert first.startswith(shared) and first != second
+
+
+def test_clean_reads_the_text_once(spark, folder, tmp_path, monkeypatch):
+    """After the rows are staged the raw text may be gone."""
+    raw = str(tmp_path / "raw")
+    logs.write_csv_log(events.raw_log(spark, folder).drop("event_id"), raw)
+    stage = command_line.staged
+
+    def stage_and_remove(*args):
+        found = stage(*args)
+        for path in glob.glob(f"{raw}/part-*"):
+            os.remove(path)
+        return found
+
+    monkeypatch.setattr(command_line, "staged", stage_and_remove)
+    at = {name: str(tmp_path / name) for name in ["clean", "rejects", "tables", "csv"]}
+    main(["clean", "--raw", raw, "--clean", at["clean"], "--rejects", at["rejects"],
+          "--tables", at["tables"], "--csv", at["csv"]])
+    expected = events.raw_log(spark, folder)
+    assert spark.read.parquet(at["clean"]).count() == clean_log(expected).count()
+    assert len(read_csv(at["csv"])[2]) == clean_log(expected).count()
+    assert {line[0]: int(line[1]) for line in read_csv(f"{at['tables']}/reject_report")[2]} == {
+        "invalid_status_code": 1, "negative_response_time": 1,
+    }
