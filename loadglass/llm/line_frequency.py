@@ -34,8 +34,8 @@ MAX_REPEAT_PERCENT = 50
 # share of them.
 MAX_DOCUMENTS = 20
 MAX_DOCUMENT_SHARE = 0.05
-# A document is depleted with fewer words left, or a smaller share of its words.
-MIN_WORDS_LEFT = 50
+# A document is depleted with a smaller share of its words left. How many words it needs
+# is judged by the base rules, before lines go: a short text is not worse for a menu line.
 MIN_SHARE_LEFT = 0.3
 
 _DIGITS = bytes(48 if 48 <= byte <= 57 else byte for byte in range(256))
@@ -200,7 +200,6 @@ def judge(
         .withColumn(
             "kept",
             ~F.col("base_failed")
-            & (F.col("words_left") >= MIN_WORDS_LEFT)
             & (F.col("words_left") >= MIN_SHARE_LEFT * F.col("n_words")),
         )
         .drop("removed")
@@ -311,6 +310,6 @@ WITH docs AS (
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
     CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
     CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(words_left AS BIGINT) AS words_left,
-    base_failed, NOT base_failed AND words_left >= {MIN_WORDS_LEFT}
-        AND words_left >= {MIN_SHARE_LEFT}::DOUBLE * n_words AS kept
+    base_failed,
+    NOT base_failed AND words_left >= {MIN_SHARE_LEFT}::DOUBLE * n_words AS kept
 FROM failed"""
