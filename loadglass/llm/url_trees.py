@@ -113,7 +113,7 @@ def lexical(urls: DataFrame) -> DataFrame:
 def labelled_sample(labelled: DataFrame, bound: int = MAX_LABELLED) -> DataFrame:
     """About ``bound`` distinct rows (url, label) of each label, by the hash of the URL: a
     whole label if it has no more."""
-    rows = labelled.where("url IS NOT NULL AND label IS NOT NULL").groupBy("url").agg(
+    rows = labelled.where("url IS NOT NULL AND label IN (0, 1)").groupBy("url").agg(
         F.max("label").alias("label")
     )
     rows = written(rows, "url-labels")
@@ -159,7 +159,8 @@ class UrlModel:
 def train(labelled: DataFrame, bound: int = MAX_LABELLED) -> UrlModel:
     """Trees from rows (url, label); label 1 is to be blocked.
 
-    A URL with several labels counts as blocked. Rows without URL or label are left out.
+    A URL with several labels counts as blocked. Rows without URL, or with another label
+    than 0 or 1, are left out.
     With one label only every URL gets it; without labelled rows none is blocked.
     """
     sample = labelled_sample(labelled, bound)
