@@ -124,11 +124,15 @@ def expected_traffic(log: DataFrame) -> DataFrame:
 
 
 def endpoint_mix(log: DataFrame) -> DataFrame:
-    """Share of each endpoint within its service against the configured weight."""
-    whole = F.sum("requests").over(Window.partitionBy("service"))
+    """Share of each endpoint within its service against the configured weight.
+
+    Endpoints are an open set, so services are summed from their counts, no window.
+    """
+    counts = requests_per(log, "service", "endpoint")
+    services = counts.groupBy("service").agg(F.sum("requests").alias("whole"))
     return (
-        requests_per(log, "service", "endpoint")
-        .withColumn("observed_share", ratio(F.col("requests"), whole))
+        counts.join(services, "service")
+        .withColumn("observed_share", ratio(F.col("requests"), F.col("whole")))
         .join(
             F.broadcast(schema.endpoint_dim(log.sparkSession)),
             ["service", "endpoint"],

@@ -6,6 +6,9 @@ own and replaced on its own, and the reports read the rollup instead of the log:
 one scan of the log instead of one per report.
 """
 
+import datetime
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,7 @@ from pyspark.sql import types as T
 from loadglass import schema
 from loadglass.functions.calendar import day_name, is_peak
 from loadglass.operators.aggregate import request_count
+from loadglass.sources.logs import empty_days
 
 KEYS = [
     "date", "hour", "service", "endpoint", "status_code", "error", "response_time_ms",
@@ -42,19 +46,23 @@ def with_calendar(rollup: DataFrame) -> DataFrame:
     )
 
 
-def write_rollup(log: DataFrame, path: str) -> None:
-    """Write the rollup by date, replacing only the days the log covers.
+def write_rollup(
+    log: DataFrame, path: str, days: Sequence[datetime.date] = ()
+) -> None:
+    """Write the rollup by date, replacing only the days the log covers and those in
+    ``days``, which become empty if the log has no rows for them.
 
     Writing a day again therefore gives the same table.
     """
+    rolled = roll_up(log)
     (
-        roll_up(log)
-        .hint("rebalance", "date")
+        rolled.hint("rebalance", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
         .parquet(path)
     )
+    empty_days(rolled, path, days)
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:

@@ -39,11 +39,12 @@ def status_counts(log: DataFrame) -> DataFrame:
 def service_share(log: DataFrame) -> DataFrame:
     """Requests per service and the percentage of all of them.
 
-    The window runs over the grouped rows, one per service.
+    Services are an open set, so the total is a sum over their counts, no window.
     """
-    whole = F.sum("requests").over(Window.partitionBy())
+    counts = requests_per(log, "service")
+    whole = counts.agg(F.sum("requests")).scalar()
     return (
-        requests_per(log, "service")
+        counts
         .withColumn("share_percent", percent(F.col("requests"), whole))
         .orderBy(F.desc("requests"), "service")
     )

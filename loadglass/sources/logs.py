@@ -1,5 +1,8 @@
 """Request logs in CSV or Parquet, always read with a fixed schema."""
 
+import datetime
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,10 +92,31 @@ def write_sorted_csv_log(log: DataFrame, path: str) -> None:
     write_csv_log(log.orderBy("timestamp"), path)
 
 
-def write_clean_log(log: DataFrame, path: str, keep_other_days: bool = False) -> None:
+def empty_days(log: DataFrame, path: str, days: Sequence[datetime.date]) -> None:
+    """Empty those of the named days at ``path`` that the log has no rows for.
+
+    Writing by date replaces only days with rows, so a day that lost its last row would
+    keep its old ones. The driver sees no more days than it was given.
+    """
+    if not days:
+        return
+    present = log.filter(F.col("date").isin(list(days))).select("date").distinct().collect()
+    for day in sorted(set(days) - {row["date"] for row in present}):
+        log.limit(0).drop("date").write.mode("overwrite").parquet(
+            f"{path.rstrip('/')}/date={day.isoformat()}"
+        )
+
+
+def write_clean_log(
+    log: DataFrame,
+    path: str,
+    keep_other_days: bool = False,
+    days: Sequence[datetime.date] = (),
+) -> None:
     """A clean log as Parquet by date, sorted by time within each file.
 
-    ``keep_other_days`` replaces only the days in ``log``, for daily runs.
+    ``keep_other_days`` replaces only the days in ``log``, for daily runs, and those in
+    ``days``, which become empty if the log has no rows for them.
     ``rebalance`` lets adaptive execution cut a day that holds much of the log
     into several tasks of even size, and merge small days.
     """
@@ -104,6 +128,7 @@ def write_clean_log(log: DataFrame, path: str, keep_other_days: bool = False) ->
         .partitionBy("date")
         .parquet(path)
     )
+    empty_days(log, path, days if keep_other_days else ())
 
 
 def write_table(report: DataFrame, path: str) -> None:

@@ -177,3 +177,18 @@ def test_clean_reads_the_text_once(spark, folder, tmp_path, monkeypatch):
     assert {line[0]: int(line[1]) for line in read_csv(f"{at['tables']}/reject_report")[2]} == {
         "invalid_status_code": 1, "negative_response_time": 1,
     }
+
+
+def test_a_day_that_becomes_empty_is_emptied(spark, make_clean, tmp_path):
+    rows = [
+        (f"2026-01-0{day} 10:00:00", "auth", "/a", 10 * day, 200, False) for day in [1, 2, 3]
+    ]
+    log, again = make_clean(rows), make_clean(rows[:1])
+    days = [datetime.date(2026, 1, 1), datetime.date(2026, 1, 2)]
+    at, rolled = str(tmp_path / "log"), str(tmp_path / "rollup")
+    logs.write_clean_log(log.drop("event_id"), at)
+    logs.write_clean_log(again.drop("event_id"), at, keep_other_days=True, days=days)
+    rollup.write_rollup(log, rolled)
+    rollup.write_rollup(again, rolled, days)
+    for found in (logs.read_clean_log(spark, at), rollup.read_rollup(spark, rolled)):
+        assert sorted(row.date.day for row in found.select("date").collect()) == [1, 3]
