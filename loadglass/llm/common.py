@@ -9,11 +9,16 @@ from functools import reduce
 from operator import and_
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import loadglass
 from loadglass.session import scratch_folder
 
+# Functions reach the Python workers as they are, so that no worker needs this package.
+cloudpickle.register_pickle_by_value(loadglass)
+
 # Texts that a Python worker turns into objects at a time.
 ROWS_AT_ONCE = 256
 

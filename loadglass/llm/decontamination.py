@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from loadglass.llm.common import TEXT_HASH, match, slices, text_hash, written
 
@@ -40,9 +41,9 @@ SHINGLE_WORDS = 3
 BITMAP_BITS = 1 << 24
 PIECE_BITS = 1 << 15
 
+# Of each byte what it counts as: A-Z as a-z, other ASCII that is no word as a space.
 _TO_WORDS = bytes(
-    ord(chr(byte).lower()) if 65 <= byte <= 90 else byte if byte >= 128 or byte in _KEPT
-    else 32
+    byte + 32 if 65 <= byte <= 90 else byte if byte >= 128 or byte in _KEPT else 32
     for byte in range(256)
 )
 
@@ -100,16 +101,10 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
             T.StructField("length", T.IntegerType()),
         ]
     )
-    arrow = _arrow(schema)
+    arrow = to_arrow_schema(schema)
     return benchmark.select("item_id", "text").mapInArrow(cut, schema)
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)
-
-
 def _bitmap(spark: SparkSession, hashes: DataFrame) -> bytes:
     """One bit per slot of the hashes ``shingle``: BITMAP_BITS in all, at most
     BITMAP_BITS / PIECE_BITS rows to the driver."""
@@ -225,7 +220,7 @@ def _scan(documents: DataFrame, bitmap, widths: list[int]) -> DataFrame:
             T.StructField("places", T.ArrayType(place)),
         ]
     )
-    arrow = _arrow(schema)
+    arrow = to_arrow_schema(schema)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)

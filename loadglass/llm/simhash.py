@@ -22,7 +22,6 @@ not made: members of the largest class of a key meet only what is outside of it.
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations, product
 
 import numpy as np
@@ -87,7 +86,6 @@ def fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series([fingerprint(text) for text in texts], dtype="int64")
 
 
-@lru_cache(maxsize=1)
 def _golay() -> tuple[np.ndarray, np.ndarray]:
     """Of each segment its syndrome; of each syndrome up to six error patterns of weight 4
     or less, the lightest first and filled up with repeats of it."""
@@ -119,17 +117,19 @@ def _bits(values: np.ndarray, first: int, width: int) -> np.ndarray:
     return (values >> first) & ((1 << width) - 1)
 
 
-def _indices(segment: np.ndarray, near: bool) -> np.ndarray:
+def _indices(segment: np.ndarray, near: bool, code: tuple) -> np.ndarray:
     """Codeword indices of segments: the nearest one, or all within distance 4."""
-    syndromes, errors = _golay()
+    syndromes, errors = code
     patterns = errors[syndromes[segment]][:, : 6 if near else 1]
     return (segment[:, None] ^ patterns) >> 11
 
 
-def keys_of(values: np.ndarray, near: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row, key) of 64-bit fingerprints, without repeats."""
+def keys_of(
+    values: np.ndarray, near: bool, code: tuple
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, key) of 64-bit fingerprints, without repeats; ``code`` is ``_golay()``."""
     segments = [_bits(values, first, width) for first, width in SEGMENTS]
-    indices = [_indices(segment, near) for segment in segments]
+    indices = [_indices(segment, near, code) for segment in segments]
     rows, keys = [], []
     for kind, (a, b) in enumerate(GOLAY_PAIRS):
         both = indices[a][:, :, None] << 12 | indices[b][:, None, :]
@@ -151,8 +151,9 @@ def _keyed(prints: DataFrame, near: bool) -> DataFrame:
     schema = T.StructType([T.StructField("key", T.LongType()), *prints.schema.fields])
 
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        code = _golay()
         for frame in frames:
-            rows, keys = keys_of(frame["fp"].to_numpy(np.int64), near)
+            rows, keys = keys_of(frame["fp"].to_numpy(np.int64), near, code)
             yield frame.iloc[rows].assign(key=keys)[schema.names]
 
     return prints.mapInPandas(emit, schema)

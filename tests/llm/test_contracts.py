@@ -76,16 +76,16 @@ def test_simhash(docs):
 def test_golay_keys_meet_within_four_bits():
     import numpy as np
 
-    draw = np.random.default_rng(5)
+    draw, code = np.random.default_rng(5), simhash._golay()
     for bits in (1, 2, 3, 4):
         values = draw.integers(-(2**63), 2**63 - 1, 400)
         flips = [draw.choice(64, bits, replace=False) for _ in values]
         masks = np.array([sum(1 << int(b) for b in f) for f in flips], np.uint64).view(np.int64)
         held = [set() for _ in values]
-        for row, key in zip(*simhash.keys_of(values, near=False)):
+        for row, key in zip(*simhash.keys_of(values, False, code)):
             held[row].add(key)
         sought = [set() for _ in values]
-        for row, key in zip(*simhash.keys_of(values ^ masks, near=True)):
+        for row, key in zip(*simhash.keys_of(values ^ masks, True, code)):
             sought[row].add(key)
         assert all(a & b for a, b in zip(held, sought))
 
