@@ -5,9 +5,9 @@ for each host the distinct documents that hold a line are counted. A line in mor
 them than the limit is boilerplate: it is removed. A document that keeps too few of its
 words is rejected, as is one that fails the base rules (too short, or made of repeats).
 
-Copies of a document are one document here: they are told by their longest line, which
-an exact copy shares and a near copy mostly does. So a text that was copied often does
-not look like boilerplate; dropping copies is left to de-duplication.
+Exact copies of a text are one document here, told by the hash of the whole text. So a
+text that was copied often does not look like boilerplate; dropping copies is left to
+de-duplication. Texts that differ anywhere are different documents, whatever they share.
 """
 
 from collections.abc import Iterator
@@ -77,24 +77,21 @@ def measures(text: str | None) -> tuple:
     words = data.split()
     lines: dict[int, int] = {}
     seen: set[bytes] = set()
-    repeats, longest = 0, (0, b"")
+    repeats = 0
     for line in data.split(b"\n"):
         size = len(line.split())
         if not size:
             continue
         repeats += line in seen
         seen.add(line)
-        normal = normalised(line)
-        digest = line_hash(normal)
+        digest = line_hash(normalised(line))
         lines[digest] = lines.get(digest, 0) + size
-        longest = max(longest, (len(line), normal))
     return (
         len(words),
         len(text or "") - (len(data) - len(data.translate(None, SPACES))),
         len(data) - len(data.translate(None, SYMBOLS)),
         repeats,
         repeated_words(words),
-        line_hash(longest[1]),
         [{"line": line, "words": size} for line, size in lines.items()],
     )
 
@@ -107,7 +104,7 @@ def _scan(documents: DataFrame, host: str) -> DataFrame:
             documents.schema["doc_id"],
             T.StructField("host", documents.schema[host].dataType),
             T.StructField(TEXT_HASH, T.LongType()),
-            *(T.StructField(name, T.LongType()) for name in [*counts, "owner"]),
+            *(T.StructField(name, T.LongType()) for name in counts),
             T.StructField("lines", T.DataType.fromDDL(lines)),
         ]
     )
@@ -116,7 +113,7 @@ def _scan(documents: DataFrame, host: str) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [measures(text) for text in batch.column("text").to_pylist()]
-            columns = list(zip(*found)) if found else [()] * 7
+            columns = list(zip(*found)) if found else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [
                     *(
@@ -138,18 +135,18 @@ def _scan(documents: DataFrame, host: str) -> DataFrame:
 
 def _boilerplate(scanned: DataFrame, max_documents: int, max_share: float) -> DataFrame:
     """(host, line) of the lines above the limits of their host."""
-    # First each line once per owner, spread by both: a line that all documents share
+    # First each line once per text, spread by both: a line that all documents share
     # reaches its counter as one number from each task.
     held = (
-        scanned.select("host", "owner", F.inline("lines"))
-        .groupBy("host", "line", "owner")
+        scanned.select("host", TEXT_HASH, F.inline("lines"))
+        .groupBy("host", "line", TEXT_HASH)
         .agg(F.lit(1).alias("one"))
         .groupBy("host", "line")
         .agg(F.sum("one").alias("n"))
         .where(F.col("n") > max_documents)
     )
     hosts = (
-        scanned.groupBy("host", "owner")
+        scanned.groupBy("host", TEXT_HASH)
         .agg(F.lit(1).alias("one"))
         .groupBy("host")
         .agg(F.sum("one").alias("documents"))
@@ -190,7 +187,7 @@ def judge(
     )
     words_left = F.col("n_words") - F.coalesce("removed", F.lit(0))
     return (
-        match(scanned.drop("owner", "lines"), removed, key)
+        match(scanned.drop("lines"), removed, key)
         .withColumn("words_left", words_left)
         .withColumn(
             "base_failed",

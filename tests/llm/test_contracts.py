@@ -141,6 +141,20 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert out[300] == f"{menu}\n{body(300)}"
 
 
+def test_boilerplate_that_is_the_longest_line_goes(spark):
+    footer = " ".join(f"footer{named(word)}" for word in range(60))
+    menu = "Home About Contact us"
+
+    def body(n):
+        return "\n".join(" ".join(named(n, line, word) for word in range(12)) for line in range(20))
+
+    rows = [(n, f"{menu}\n{body(n)}\n{footer}", "a") for n in range(30)]
+    rows += [(100 + n, f"{named(n, 7)} {'own words ' * 3}\n{footer}", "a") for n in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r["text"] for r in line_frequency.cleaned(docs).collect()}
+    assert out == {n: body(n) for n in range(30)}
+
+
 def test_depleted_documents_are_rejected(spark):
     menu = [" ".join(f"{named(n)}{c}" for c in "pqrstuv") for n in range(20)]
     rows = [
