@@ -30,9 +30,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # ----------------------------------------------------------------------------------
 
-# A line is boilerplate in more than this many documents of a host and more than this
-# share of them.
+# A line is boilerplate in more than this many documents of a host, however large the host.
 MAX_DOCUMENTS = 20
+# The share that the SQL also asks for.
 MAX_DOCUMENT_SHARE = 0.05
 # A document is depleted with a smaller share of its words left. How many words it needs
 # is judged by the base rules, before lines go: a short text is not worse for a menu line.
@@ -133,7 +133,9 @@ def _scan(documents: DataFrame, host: str) -> DataFrame:
     ).mapInArrow(measure, schema)
 
 
-def _boilerplate(scanned: DataFrame, max_documents: int, max_share: float) -> DataFrame:
+def _boilerplate(
+    scanned: DataFrame, max_documents: int, max_share: float | None
+) -> DataFrame:
     """(host, line) of the lines above the limits of their host."""
     # First each line once per text, spread by both: a line that all documents share
     # reaches its counter as one number from each task.
@@ -145,6 +147,8 @@ def _boilerplate(scanned: DataFrame, max_documents: int, max_share: float) -> Da
         .agg(F.sum("one").alias("n"))
         .where(F.col("n") > max_documents)
     )
+    if max_share is None:
+        return held.select("host", "line")
     hosts = (
         scanned.groupBy("host", TEXT_HASH)
         .agg(F.lit(1).alias("one"))
@@ -162,12 +166,14 @@ def judge(
     documents: DataFrame,
     host: str = "source",
     max_documents: int = MAX_DOCUMENTS,
-    max_share: float = MAX_DOCUMENT_SHARE,
+    max_share: float | None = None,
 ) -> DataFrame:
     """Per row of ``documents`` (doc_id, text, and the host column): the key, the base
     counts, ``base_failed``, ``words_left``, ``removed_lines`` (hashes of the lines to
     remove, null if none) and ``kept``.
 
+    A line in more than ``max_documents`` documents of its host is removed; ``max_share``,
+    where it is given, spares those that are in no larger share of them.
     Null and empty texts have no words and fail. A null host is a host of its own.
     Repeated rows get the same result each and count as one document. Without documents
     there are no rows.
@@ -213,7 +219,7 @@ def cleaned(
     documents: DataFrame,
     host: str = "source",
     max_documents: int = MAX_DOCUMENTS,
-    max_share: float = MAX_DOCUMENT_SHARE,
+    max_share: float | None = None,
 ) -> DataFrame:
     """The kept rows of ``documents`` with all their columns, without the lines that are
     above the limits; ``n_chars``, where it is a column, follows the text.
@@ -249,7 +255,11 @@ def judge_sql(
     max_documents: int = MAX_DOCUMENTS,
     max_share: float = MAX_DOCUMENT_SHARE,
 ) -> str:
-    """:func:`judge` by source in DuckDB's SQL, with lines themselves in place of hashes."""
+    """:func:`judge` by source in DuckDB's SQL, with lines themselves in place of hashes.
+
+    It always asks for a share, and tells documents by their longest line, so it spares
+    more on hosts of over ``max_documents / max_share`` documents or with such lines.
+    """
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     space = r"[\x20\x09-\x0D]"
     normal = (

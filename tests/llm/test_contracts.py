@@ -155,6 +155,19 @@ def test_boilerplate_that_is_the_longest_line_goes(spark):
     assert out == {n: body(n) for n in range(30)}
 
 
+def test_line_limit_does_not_grow_with_the_host(spark):
+    def rows(n_documents):
+        return [
+            (n, "Home About\n" * (n < 21) + " ".join(named(n, w) for w in range(60)), "a")
+            for n in range(n_documents)
+        ]
+
+    for n_documents in (21, 1000):
+        docs = spark.createDataFrame(rows(n_documents), "doc_id long, text string, source string")
+        judged = line_frequency.judge(docs).where("removed_lines IS NOT NULL").collect()
+        assert sorted(r["doc_id"] for r in judged) == list(range(21))
+
+
 def test_depleted_documents_are_rejected(spark):
     menu = [" ".join(f"{named(n)}{c}" for c in "pqrstuv") for n in range(20)]
     rows = [
