@@ -1,7 +1,7 @@
 """URL filters: rules first, then gradient-boosted trees on lexical features.
 
 A URL's features are its length, depth, digit ratio, entropy, number of parameters, the
-shape of its host, and statistics of its suffix among the labelled URLs. The trees are
+shape of its host, and statistics of its suffix among all labelled URLs. The trees are
 trained from labelled URLs: a sample of each label that is bounded by a parameter, so
 training costs the same on any corpus. All URLs are judged.
 """
@@ -110,13 +110,17 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
-def labelled_sample(labelled: DataFrame, bound: int = MAX_LABELLED) -> DataFrame:
-    """About ``bound`` distinct rows (url, label) of each label, by the hash of the URL: a
-    whole label if it has no more."""
+def distinct_labels(labelled: DataFrame) -> DataFrame:
+    """Each labelled URL once (url, label)."""
     rows = labelled.where("url IS NOT NULL AND label IN (0, 1)").groupBy("url").agg(
         F.max("label").alias("label")
     )
-    rows = written(rows, "url-labels")
+    return written(rows, "url-labels")
+
+
+def labelled_sample(rows: DataFrame, bound: int = MAX_LABELLED) -> DataFrame:
+    """About ``bound`` of the distinct rows (url, label) of each label, by the hash of the
+    URL: a whole label if it has no more."""
     counts = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
     share = F.lit(0.0)
     for label in (0, 1):
@@ -126,6 +130,21 @@ def labelled_sample(labelled: DataFrame, bound: int = MAX_LABELLED) -> DataFrame
     return rows.where(draw < share)
 
 
+def suffix_statistics(rows: DataFrame) -> tuple[DataFrame, float]:
+    """(suffix, suffix_rate, suffix_share) over all ``rows`` (url, label), and the mean label."""
+    counts = written(
+        rows.groupBy(_suffix(host_of(F.col("url"))).alias("suffix")).agg(
+            F.count("*").alias("n"), F.sum("label").alias("bad")
+        ),
+        "url-suffixes",
+    )
+    n, bad = counts.agg(F.sum("n"), F.sum("bad")).first()
+    mean = bad / n if n else 0.0
+    rate = (F.col("bad") + PRIOR_URLS * mean) / (F.col("n") + PRIOR_URLS)
+    share = F.col("n") / float(max(n or 0, 1))
+    return counts.select("suffix", rate.alias("suffix_rate"), share.alias("suffix_share")), mean
+
+
 @dataclass
 class UrlModel:
     """What training leaves: trees, or the one label that there was."""
@@ -135,7 +154,8 @@ class UrlModel:
     trees: object | None
 
     def features(self, urls: DataFrame) -> DataFrame:
-        joined = lexical(urls).join(F.broadcast(self.suffixes), "suffix", "left")
+        # There may be as many suffixes as URLs; adaptive execution splits hot ones.
+        joined = lexical(urls).join(self.suffixes, "suffix", "left")
         return joined.withColumns(
             {
                 "suffix_rate": F.coalesce("suffix_rate", F.lit(self.mean)),
@@ -163,31 +183,21 @@ def train(labelled: DataFrame, bound: int = MAX_LABELLED) -> UrlModel:
     than 0 or 1, are left out.
     With one label only every URL gets it; without labelled rows none is blocked.
     """
-    sample = labelled_sample(labelled, bound)
+    labels = distinct_labels(labelled)
+    suffixes, mean = suffix_statistics(labels)
+    model = UrlModel(suffixes, mean, None)
+    if not 0 < mean < 1:
+        return model
     sample = written(
-        lexical(
-            sample.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+        labelled_sample(labels, bound).withColumns(
+            {"host": host_of(F.col("url")), "path": path_of(F.col("url"))}
         ),
         "url-sample",
     )
-    n, bad = sample.agg(F.count("*"), F.sum("label")).first()
-    mean = bad / n if n else 0.0
-    # At most as many suffixes as the sample has URLs.
-    suffixes = written(
-        sample.groupBy("suffix").agg(
-            ((F.sum("label") + PRIOR_URLS * mean) / (F.count("*") + PRIOR_URLS)).alias(
-                "suffix_rate"
-            ),
-            (F.count("*") / float(max(n, 1))).alias("suffix_share"),
-        ),
-        "url-suffixes",
-    )
-    model = UrlModel(suffixes, mean, None)
-    if not 0 < mean < 1:
-        return model
     # Both labels weigh the same in all.
-    weight = F.when(F.col("label") == 1, 0.5 / mean).otherwise(0.5 / (1 - mean))
-    rows = model.features(sample.select("url", "host", "path", "label"))
+    drawn = sample.agg(F.avg("label")).first()[0]
+    weight = F.when(F.col("label") == 1, 0.5 / drawn).otherwise(0.5 / (1 - drawn))
+    rows = model.features(sample)
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
         rows.withColumn("weight", weight)
     )

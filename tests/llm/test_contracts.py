@@ -377,6 +377,19 @@ def test_url_trees_on_urls_not_seen(spark):
     assert len(found) > 10 and sum(found) >= 0.9 * len(found)
 
 
+def test_suffixes_are_counted_over_all_labelled_urls(spark):
+    rows = [(f"http://x.s{n % 300}.com/{n}", 0) for n in range(6000)]
+    rows += [(f"http://x.hot.com/{n}", int(n % 100 < 3)) for n in range(2000)]
+    labelled = spark.createDataFrame(rows, "url string, label int")
+    model = url_trees.train(labelled, bound=100)
+    got = {r["suffix"]: r for r in model.suffixes.collect()}
+    assert len(got) == 301
+    mean = 60 / 8000
+    assert got["hot.com"]["suffix_rate"] == pytest.approx((60 + 20 * mean) / 2020)
+    assert got["hot.com"]["suffix_share"] == pytest.approx(0.25)
+    assert got["s7.com"]["suffix_share"] == pytest.approx(20 / 8000)
+
+
 def test_url_trees_with_one_label_or_none(spark):
     urls = spark.createDataFrame([("http://a.com/x",)], "url string").withColumns(
         {"host": F.lit("a.com"), "path": F.lit("/x")}
