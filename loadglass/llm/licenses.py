@@ -5,8 +5,14 @@ spellings made one, punctuation and white space collapsed. Two copies of a licen
 differ in these only have the same digest. Digests of whole texts are joined with those of
 known licences and notices; a whole text is the document, each of its paragraphs (what
 stands between blank lines) and each of its lines.
+
+The full texts of licences are found anywhere, from the beginning of a line on, however
+they are wrapped: where a line begins like one of them, as many characters as it has are
+digested too.
 """
 
+import pkgutil
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,14 +110,44 @@ SPELLINGS = [
 
 # In either dialect of patterns: only \n ends a line.
 COPYRIGHT_LINE = r"(^|\n)[ \t*#/;-]*(?:copyright|\(c\)|©)[^\n]*"
+# A statement of copyright, and no line of prose that the word begins.
+STATEMENT = (
+    r"(^|\n)[ \t*#/;-]*(?:copyright[ \t]*(?:\(c\)|©|by\b|[0-9]{4}|\[yyyy\])"
+    r"|\(c\)[ \t]*(?:copyright|[0-9]{4})|©)[^\n]*"
+)
+# File name, where its terms begin and what comes after them; none: as the file does.
+FULL_TEXTS = [
+    ("Apache-2.0", "TERMS AND CONDITIONS FOR USE", "END OF TERMS AND CONDITIONS"),
+    ("GPL-2.0", "Everyone is permitted", "END OF TERMS AND CONDITIONS"),
+    ("GPL-3.0", "Everyone is permitted", "END OF TERMS AND CONDITIONS"),
+    ("LGPL-2.1", "Everyone is permitted", "END OF TERMS AND CONDITIONS"),
+    ("LGPL-3.0", "This version of the GNU Lesser", None),
+    ("MPL-2.0", "1. Definitions", "Exhibit A - Source"),
+    ("CC0-1.0", "Statement of Purpose", None),
+    ("Unlicense", None, None),
+    ("BSD-2-Clause", None, None),
+    ("BSD-3-Clause", None, None),
+    ("BSD-3-Clause.regents", "Redistribution and use", None),
+]
+# Canonical lines that may stand before the terms.
+TITLES = [
+    "(?:the )?(?:mit|isc|zlib|bsd|apache|mozilla public)(?: [23] clause)?(?: (?:license|mit|isc|zlib))*",
+    "(?:the )?(?:new |modified |simplified |[23] clause )?bsd(?: [23] clause)? license(?: .{0,30})?",
+    "gnu (?:lesser )?general public license", "mozilla public license version 2 0",
+    "version [0-9][a-z0-9 ]{0,25}", "http www apache org licenses", "(?:the )?unlicense",
+    "creative commons legal code", "cc0 1 0 universal", "license", "all rights reserved",
+]
+# A word that each full text has.
+LICENSE_WORD = "(?i)software|licen[sc]e"
+ANCHOR_WORDS = 3
 PUNCTUATION = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def canonical_lines(text: Column) -> Column:
+def canonical_lines(text: Column, gone: str = COPYRIGHT_LINE) -> Column:
     """The canonical lines of a text; lines without words are empty."""
     lower = F.translate(text, UPPER, UPPER.lower())
-    kept = F.regexp_replace(lower, COPYRIGHT_LINE, "$1")
+    kept = F.regexp_replace(lower, gone, "$1")
     spelled = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, kept)
     spaced = F.regexp_replace(spelled, PUNCTUATION, " ")
     return F.transform(F.split(spaced, "\n", -1), lambda line: F.trim(line))
@@ -134,6 +170,90 @@ def _units(lines: Column) -> Column:
     )
 
 
+def _terms(text: Column) -> Column:
+    """The canonical lines with words of a text that may be a licence, without titles,
+    statements of copyright and reserved rights."""
+    lines = F.filter(canonical_lines(text, STATEMENT), lambda line: line != "")
+    lines = F.filter(lines, lambda line: line != "all rights reserved")
+    # Spellings of several words, which a line may end in, by words of their own.
+    whole = F.array_join(lines, "\n")
+    for old, new in [("holder", "owner"), ("noncommercial", "non commercial"), ("sublicens", "sub licens")]:
+        whole = F.replace(whole, F.lit(old), F.lit(new))
+    titles = F.lit(rf"^(?:(?:{'|'.join(TITLES)})\n)+")
+    return F.split(F.regexp_replace(whole, titles, ""), "\n", -1)
+
+
+def _runs(terms: Column, texts: list[tuple[str, int, int]]) -> Column:
+    """Digests of what begins with a line of ``terms`` and is as long as one of ``texts``
+    (text, characters, words) that begins like it."""
+    anchors = {tuple(text.split(" ")[:ANCHOR_WORDS]) for text, _, _ in texts}
+    begins = "|".join("(?: |$)(?:$|".join(words) + "(?: |$)" + ")" * (len(words) - 1) for words in anchors)
+    sizes = F.array(
+        *(
+            F.struct(
+                F.lit(" ".join(text.split(" ")[:ANCHOR_WORDS])).alias("anchor"),
+                F.lit(chars).alias("chars"), F.lit(words).alias("words"),
+            )
+            for text, chars, words in sorted(texts)
+        )
+    )
+    starts = F.filter(
+        F.transform(
+            terms,
+            lambda line, at: F.when(F.rlike(line, F.lit(f"^(?:{begins})")), at + 1),
+        ),
+        lambda at: at.isNotNull(),
+    )
+    # Each line has a word at least, so a text has no more lines than words.
+    runs = F.flatten(
+        F.transform(
+            starts,
+            lambda at: F.transform(
+                F.filter(
+                    sizes,
+                    lambda size: F.array_join(
+                        F.slice(terms, at, F.lit(ANCHOR_WORDS)), " "
+                    ).startswith(size["anchor"]),
+                ),
+                lambda size: F.struct(
+                    F.array_join(F.slice(terms, at, size["words"]), " ").alias("run"),
+                    size["chars"].alias("chars"),
+                ),
+            ),
+        )
+    )
+    whole = F.filter(
+        runs, lambda x: F.substr(x["run"], x["chars"] + 1, F.lit(1)).isin("", " ")
+    )
+    return F.transform(whole, lambda x: F.xxhash64(F.substr(x["run"], F.lit(1), x["chars"])))
+
+
+def full_texts() -> list[tuple[str, str, bool]]:
+    """(name, text, whether it is nothing but the terms) of the published full texts, with
+    and without what comes before and after the terms."""
+    found = [(name, text, True) for name, text in LICENSES.items()]
+    for file, begin, after in FULL_TEXTS:
+        text = pkgutil.get_data(__package__, f"license_texts/{file}.txt").decode("utf-8")
+        name = file.removesuffix(".regents")
+        first = text.index(begin) if begin else 0
+        last = text.index(after, first) if after else len(text)
+        # Lists of conditions are numbered or not.
+        terms = text[first:last]
+        listed = [terms]
+        if name.startswith("BSD"):
+            plain = re.sub(r"(?m)^ *(?:\*|[123]\.)", "", terms)
+            numbers = iter("123")
+            listed = [plain, re.sub(
+                r"(?m)^ *(?=Redistributions of|Redistributions in|Neither)",
+                lambda m: f"{next(numbers)}. ", plain,
+            )]
+        found += [(name, part, True) for part in listed]
+        found += [(name, text[:last], False), (name, text, False)]
+        if after and after.startswith("END"):
+            found.append((name, text[:last] + after, False))
+    return found
+
+
 def known_texts() -> list[tuple[str, str]]:
     """(name, text) of the known licences and notices."""
     notices = [
@@ -148,21 +268,40 @@ def known_texts() -> list[tuple[str, str]]:
 def known_digests(spark: SparkSession) -> DataFrame:
     """(digest, unit, license) of the known texts, by MD5 and 64-bit digest; a few hundred
     constant rows."""
+
+    def digests(texts: list[tuple], canonical: Column) -> DataFrame:
+        return _constants(spark, texts).select(
+            F.md5(canonical).alias("digest"), F.xxhash64(canonical).alias("unit"), "license"
+        )
+
+    return (
+        digests(known_texts(), _joined(canonical_lines(F.col("text"))))
+        .unionByName(digests(full_texts(), F.array_join(_terms(F.col("text")), " ")))
+        .distinct()
+    )
+
+
+def _constants(spark: SparkSession, texts: list[tuple]) -> DataFrame:
+    """(license, text) of some texts."""
     quoted = ", ".join(
         "('{}', '{}')".format(name, text.replace("\\", "\\\\").replace("'", "\\'"))
-        for name, text in known_texts()
+        for name, text, *_ in texts
     )
-    known = spark.sql(f"SELECT * FROM VALUES {quoted} AS t(license, text)")
-    text = _joined(canonical_lines(F.col("text")))
-    return known.select(
-        F.md5(text).alias("digest"), F.xxhash64(text).alias("unit"), "license"
-    ).distinct()
+    return spark.sql(f"SELECT * FROM VALUES {quoted} AS t(license, text)")
+
+
+def _sizes(spark: SparkSession) -> list[tuple[str, int, int]]:
+    """(text, characters, words) of the canonical terms of the full texts."""
+    texts = _constants(spark, [text for text in full_texts() if text[2]])
+    rows = texts.select(F.array_join(_terms(F.col("text")), " ").alias("text")).collect()
+    return sorted({(row["text"], len(row["text"]), row["text"].count(" ") + 1) for row in rows})
 
 
 def scan_licenses(documents: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Per row of ``documents`` (doc_id, text): doc_id, ``digest`` of the canonical text,
-    ``license`` that the whole text is (null if none), ``licenses`` (all that it, its
-    paragraphs or its lines are; sorted) and their number.
+    ``license`` that the whole text is, but for titles and statements of copyright (null
+    if none), ``licenses`` (all that it, its paragraphs or its lines are, and all whose
+    full text it holds; sorted) and their number.
 
     Null and empty texts have the digest of nothing, which is no licence. Repeated rows
     have equal results. A digest of two licences gives the smaller name as ``license``.
@@ -174,21 +313,32 @@ def scan_licenses(documents: DataFrame, known: DataFrame | None = None) -> DataF
     )
     lines = canonical_lines(F.coalesce("text", F.lit("")))
     key = ["doc_id", TEXT_HASH]
-    digests = documents.select("doc_id", text_hash().alias(TEXT_HASH), lines.alias("lines"))
+    digests = documents.select(
+        "doc_id", text_hash().alias(TEXT_HASH), lines.alias("lines"),
+        F.when(F.rlike("text", F.lit(LICENSE_WORD)), _terms(F.col("text"))).alias("terms"),
+    )
+    terms, joined = F.col("terms"), F.array_join("terms", " ")
+    found = F.when(
+        terms.isNotNull(),
+        F.concat(F.array(F.xxhash64(joined)), _runs(terms, _sizes(documents.sparkSession))),
+    ).otherwise(F.expr("cast(array() as array<bigint>)"))
     whole = written(
         digests.select(
             *key,
             F.md5(_joined(F.col("lines"))).alias("digest"),
-            _units(F.col("lines")).alias("units"),
+            F.md5(joined).alias("terms_digest"),
+            F.array_union(_units(F.col("lines")), found).alias("units"),
         ),
         "licenses",
     )
     found = (
-        whole.select(*key, "digest", F.explode("units").alias("unit"))
+        whole.select(*key, "digest", "terms_digest", F.explode("units").alias("unit"))
         .join(known, "unit")
         .groupBy(*key)
         .agg(
-            F.min(F.when(F.col("digest") == F.col("known_digest"), F.col("license"))).alias("license"),
+            F.min(
+                F.when(F.col("known_digest").isin(F.col("digest"), F.col("terms_digest")), F.col("license"))
+            ).alias("license"),
             F.array_sort(F.collect_set("license")).alias("licenses"),
         )
     )
@@ -201,7 +351,10 @@ def scan_licenses(documents: DataFrame, known: DataFrame | None = None) -> DataF
 
 
 def scan_sql(documents: str = "documents") -> str:
-    """:func:`scan_licenses` in DuckDB's SQL, with the lists joined by commas."""
+    """:func:`scan_licenses` in DuckDB's SQL, with the lists joined by commas.
+
+    It has no full texts but the four of ``LICENSES``, and none across paragraphs.
+    """
 
     def quote(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"

@@ -1,5 +1,6 @@
 """The corpus queries' operators against plain Python, on given and on awkward rows."""
 
+import textwrap
 from collections import Counter
 
 import brute
@@ -301,6 +302,38 @@ def test_licenses(spark, edge_documents):
     assert [r["licenses"] for r in edge if r["doc_id"] == 13] == [["MIT"]]
 
 
+def test_full_licence_texts(spark):
+    full = {}
+    for name, text, terms in licenses.full_texts():
+        full.setdefault((name, terms), text)
+    mit = licenses.LICENSES["MIT"]
+    # Each full text as it is published, and inside of a file, wrapped anew as a comment.
+    names = [name for name, terms in full if not terms]
+    rows = [(n, full[name, False]) for n, name in enumerate(names)]
+    for n, name in enumerate(names):
+        words = " ".join(full[name, True].split())
+        wrapped = "\n".join(f"# {line}" for line in textwrap.wrap(words, 50))
+        rows.append((100 + n, f"import os\n#\n{wrapped}\n#\n\ncode()"))
+    rows += [
+        (200, f"MIT License\n\nCopyright (c) 2020 Me\nAll rights reserved.\n\n{mit}"),
+        (201, f"Some words\n\n{mit}\n\nMore words"),
+        (202, mit.replace("The above copyright", "The above\ncopyright")),
+        (203, mit.replace("FITNESS", "USE")),
+    ]
+    got = {
+        r["doc_id"]: (r["license"], r["licenses"])
+        for r in licenses.scan_licenses(
+            spark.createDataFrame(rows, "doc_id long, text string")
+        ).collect()
+    }
+    for n, name in enumerate(names):
+        assert got[n] == (name, [name])
+        assert got[100 + n][0] is None and name in got[100 + n][1]
+    assert got[200] == got[202] == ("MIT", ["MIT"])
+    assert got[201] == (None, ["MIT"])
+    assert got[203] == (None, [])
+
+
 def luhn(number):
     digits = [int(c) for c in reversed(number)]
     return sum(d if at % 2 == 0 else sum(divmod(2 * d, 10)) for at, d in enumerate(digits)) % 10 == 0
