@@ -29,7 +29,8 @@ SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (
     r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|\+[0-9]{1,3}(?:[ .()-]{0,2}[0-9]{2,4}){2,5}(?![0-9])"
-    r"|(?<![0-9A-Za-z])\(?[2-9][0-9]{2}\)?[ .-]{1,2}[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z])(?:\([2-9][0-9]{2}\)|\(?[2-9][0-9]{2}\)?[ .-]{1,2})"
+    r"[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
 )
 CARD = (
     r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}"

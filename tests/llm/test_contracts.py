@@ -367,6 +367,15 @@ def test_pii_keeps_formats_and_links(spark, edge_documents):
     assert {k for k in edge if edge[k] != same[k]} == {12}
 
 
+def test_pii_finds_phones_without_a_space_after_the_bracket(spark):
+    docs = spark.createDataFrame(
+        [(1, "call (555)234-4567 or (555) 234-4567 today")], "doc_id long, text string"
+    )
+    row = pii.pseudonymise(docs, "k").first()
+    assert [x["kind"] for x in row["found"]] == ["phone", "phone"]
+    assert "234-4567" not in row["text"]
+
+
 def test_pii_is_a_permutation_and_can_be_undone(spark):
     kind = F.lit("test")
     number = lambda v, size: F.struct(v.cast("int").alias("value"), F.lit(size).alias("size"))
