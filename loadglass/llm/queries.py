@@ -1,12 +1,29 @@
 """The queries of the corpus operators, each over its whole table."""
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadglass.llm import chat, decontamination, licenses, line_frequency, mixing, pii, secrets, sharding, simhash, url_trees
-from loadglass.llm.common import read_table
+from loadglass.llm import (
+    bpe,
+    chat,
+    decontamination,
+    hard_negatives,
+    licenses,
+    line_frequency,
+    mixing,
+    pii,
+    secrets,
+    sharding,
+    simhash,
+    url_trees,
+    vector_codes,
+)
+from loadglass.llm.common import read_table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,6 +145,65 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = vector_codes.prepare(
+        read_table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    )
+    books = vector_codes.fit(rows)
+    # Read twice: for the sums of labels, and for the rows.
+    coded = written(vector_codes.encode(rows.drop("embedding"), books), "codes")
+    digits = F.transform("codes", lambda x: F.lower(F.lpad(F.hex(x), 2, "0")))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
+ANCHOR_EVERY = 50
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        read_table(spark, folder, "embeddings"), ANCHOR_EVERY, label=label
+    )
+
+
+# A file of public tokenizers; not copied into this repository.
+VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+
+
+def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = bpe.encode(
+        read_table(spark, folder, "documents").select("doc_id", "text"), VOCABULARY
+    )
+    decoded = bpe.decode(tokens.drop("text"), VOCABULARY)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [
+                np.asarray(row.values, "<u4").tobytes() for row in batch.column(bpe.TOKENS)
+            ]
+            texts = [text.as_py().encode() for text in batch.column(bpe.DECODED)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
+                ],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    kind = decoded.schema["doc_id"].dataType.simpleString()
+    return decoded.mapInArrow(
+        digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -139,6 +215,9 @@ QUERIES: dict[str, Query] = {
     "op8_url_trees": op8_url_trees,
     "op9_line_frequency": op9_line_frequency,
     "op10_chat": op10_chat,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLES: dict[str, str] = {
@@ -146,6 +225,8 @@ ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.decontaminate_sql(),
     "op3_licenses": licenses.scan_sql(),
     "op9_line_frequency": line_frequency.judge_sql(),
+    "op11_vector_codes": vector_codes.compress_sql(),
+    "op12_hard_negatives": hard_negatives.mine_sql(),
     "op10_chat": """
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
