@@ -3,12 +3,15 @@
 A word is a row of symbols. Each two neighbours have the rank of their merge, if the
 vocabulary has one, and a segment tree holds the ranks with their places: its root is the
 leftmost merge of lowest rank. A merge changes at most three leaves, so a word of n
-symbols takes n log n steps, also one of a million symbols.
+symbols takes n log n steps, also one of a million symbols. The trees of many short words
+are the rows of one array and take their steps together; a long word has a tree of its own.
 
 The file of the tokenizer says how a text is normalised and cut into words; both are done
 by the library that the file belongs to. White space that no word can hold cuts a text into
 pieces whose tokens do not depend on their neighbours; tokens of short pieces are
-remembered, so that a piece that is met often is encoded once in a task.
+remembered, so that a piece that is met often is encoded once in a task. With the published
+pattern for words, characters up to U+024F are normalised and cut here: they have one form
+only, and what is a letter, a digit or white space among them does not change any more.
 
 The driver reads the file and sends it to the tasks; its size is that of the vocabulary.
 Each text is encoded by itself, without a shuffle.
@@ -21,8 +24,9 @@ that have the name of a new column are replaced by it; all others stay.
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -36,16 +40,43 @@ DECODED = "decoded"
 
 # Pieces that a task remembers, and the characters of the longest one. They bound memory,
 # and change no result.
-MAX_REMEMBERED = 1 << 16
+MAX_REMEMBERED = 1 << 18
 MAX_REMEMBERED_CHARS = 64
+# Words of at most so many symbols are merged together, so many at a time.
+MAX_TOGETHER = 64
+WORDS_AT_ONCE = 1 << 14
 
 # Ranks are smaller than 2 to this.
 RANK_BITS = 32
 
-# ---- Fixed values: a published pattern for words, which hold no white space ---------
+# ---- Fixed values: a published normaliser, and a pattern for words without white space ---
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
 SPACELESS_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # -------------------------------------------------------------------------------------
 
+# The same for characters up to U+024F.
+BEYOND = re.compile("[^\x00-\u024f]").search
+SPACES = re.compile("[\t-\r \x85\xa0]+").split
+NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+OTHERS = "\x00-/:-@\\[-`{-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\xd7\xf7"
+NEAR_WORDS = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[^{OTHERS}{NUMBERS}]+|[{NUMBERS}]|(?:(?![{NUMBERS}])[{OTHERS}])+"
+).findall
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself if it can be seen, else one from U+0100 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    unseen = iter(range(256, 512))
+    return [chr(byte) if byte in seen else chr(next(unseen)) for byte in range(256)]
+
 
 class MergeTree:
     """The merges that two neighbours in a row of symbols can have, as a segment tree.
@@ -114,6 +145,73 @@ def merged(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -
     return [symbol for symbol in symbols if symbol >= 0]
 
 
+class Pairs:
+    """The merges of a vocabulary for many pairs at once."""
+
+    def __init__(self, merges: dict[tuple[int, int], tuple[int, int]]):
+        found = sorted((a << 32 | b, rank, result) for (a, b), (rank, result) in merges.items())
+        table = np.array(found, np.int64).reshape(-1, 3)
+        self.keys, self.ranks, self.results = (np.ascontiguousarray(x) for x in table.T)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and result of pairs, both -1 without a merge."""
+        if not len(self.keys):
+            return np.full(len(a), -1), np.full(len(a), -1)
+        keys = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        there = self.keys[at] == keys
+        return np.where(there, self.ranks[at], -1), np.where(there, self.results[at], -1)
+
+
+def merged_together(words: list[list[int]], pairs: Pairs) -> list[list[int]]:
+    """What ``merged`` returns for each of some words of about one length.
+
+    Row ``w`` of each array belongs to word ``w``; ``nodes[:, 1]`` are the roots.
+    """
+    size = 2
+    while size < max(map(len, words)):
+        size *= 2
+    lengths = np.array([len(word) for word in words])
+    every = np.arange(size)
+    symbols = np.full((len(words), size), -1, np.int64)
+    symbols[every < lengths[:, None]] = np.concatenate([np.array(w, np.int64) for w in words])
+    none = 1 << RANK_BITS + size.bit_length()
+    nodes = np.full((len(words), 2 * size), none, np.int64)
+    results = np.full((len(words), size), -1, np.int64)
+    row, place = np.nonzero(symbols[:, 1:] >= 0)
+    rank, results[row, place] = pairs.find(symbols[row, place], symbols[row, place + 1])
+    nodes[row, size + place] = np.where(rank < 0, none, rank * size + place)
+    for node in range(size - 1, 0, -1):
+        nodes[:, node] = np.minimum(nodes[:, 2 * node], nodes[:, 2 * node + 1])
+    after = np.where(every + 1 < lengths[:, None], every + 1, -1)
+    before = np.broadcast_to(every - 1, after.shape).copy()
+
+    while len(row := np.flatnonzero(nodes[:, 1] < none)):
+        place = nodes[row, 1] % size
+        gone = after[row, place]
+        following, previous = after[row, gone], before[row, place]
+        symbols[row, place] = results[row, place]
+        symbols[row, gone] = -1
+        after[row, place] = following
+        has = following >= 0
+        before[row[has], following[has]] = place[has]
+        # The leaves that change: those of the merged symbol, the lost one, the one before.
+        for at, right, there in ((place, following, has), (previous, place, previous >= 0)):
+            r, p = row[there], at[there]
+            rank, results[r, p] = pairs.find(symbols[r, p], symbols[r, right[there]])
+            nodes[r, size + p] = np.where(rank < 0, none, rank * size + p)
+        nodes[row[~has], size + place[~has]] = none
+        nodes[row, size + gone] = none
+        for at, there in ((place, slice(None)), (gone, slice(None)), (previous, previous >= 0)):
+            r, node = row[there], size + at[there] >> 1
+            while node[0] if len(node) else False:
+                nodes[r, node] = np.minimum(nodes[r, 2 * node], nodes[r, 2 * node + 1])
+                node = node >> 1
+    left = symbols >= 0
+    flat, ends = symbols[left].tolist(), np.cumsum(left.sum(axis=1)).tolist()
+    return [flat[start:end] for start, end in zip([0, *ends], ends)]
+
+
 class Vocabulary:
     """What the text of a tokenizer's file says, ready to encode and decode.
 
@@ -140,62 +238,128 @@ class Vocabulary:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
+        self.pairs = Pairs(self.merges)
         added = settings["added_tokens"]
         if any(token["normalized"] or token["single_word"] or token["lstrip"] or token["rstrip"]
                for token in added):
             raise ValueError("added tokens are only found as they are")
         self.added = {token["content"]: token["id"] for token in added}
-        self.contents = {number: content for content, number in self.ids.items()}
-        self.contents.update({number: content for content, number in self.added.items()})
+        contents = {number: content for content, number in self.ids.items()}
+        contents.update({number: content for content, number in self.added.items()})
+        self.contents = contents
         # The longest of those that begin at a place is found.
         names = sorted(self.added, key=lambda name: (-len(name), name))
         self.split = re.compile(f"({'|'.join(map(re.escape, names))})").split if names else None
         self.by_spaces = _cuts_at_spaces(settings)
+        self.plain = self.by_spaces and settings.get("normalizer") == NORMALIZER
+        self.letters = byte_letters()
         self.remembered: dict[str, list[int]] = {}
 
-    def word(self, word: str) -> list[int]:
-        """Tokens of one word; symbols that the vocabulary lacks have none."""
-        symbols = [*word[:-1], word[-1] + self.suffix]
-        known = [self.ids[symbol] for symbol in symbols if symbol in self.ids]
-        return merged(known, self.merges)
-
-    def piece(self, piece: str) -> list[int]:
-        """Tokens of a normalised piece of a text."""
-        found = self.remembered.get(piece)
-        if found is None:
-            cut = self.library.pre_tokenizer
-            words = cut.pre_tokenize_str(piece) if cut else [(piece, None)]
-            found = [token for word, _ in words if word for token in self.word(word)]
-            if len(piece) <= MAX_REMEMBERED_CHARS:
-                if len(self.remembered) >= MAX_REMEMBERED:
-                    self.remembered.clear()
-                self.remembered[piece] = found
+    def pieces(self, part: str) -> list[str]:
+        """The normalised pieces of a text without added tokens."""
+        if self.plain and not BEYOND(part):
+            return SPACES(part.lower())
+        normalise = self.library.normalizer
+        part = normalise.normalize_str(part) if normalise else part
+        return part.split(" ") if self.by_spaces else [part]
+
+    def words(self, piece: str) -> list[str]:
+        """The words of a piece, a letter for each byte."""
+        if self.plain and not BEYOND(piece):
+            words = NEAR_WORDS(piece)
+            if piece.isascii():
+                return words if piece.isprintable() else [self._lettered(word) for word in words]
+            return [self._lettered(word) for word in words]
+        cut = self.library.pre_tokenizer
+        return [word for word, _ in cut.pre_tokenize_str(piece) if word] if cut else [piece]
+
+    def _lettered(self, word: str) -> str:
+        return "".join([self.letters[byte] for byte in word.encode()])
+
+    def symbols(self, word: str) -> list[int]:
+        """A word before any merge; symbols that the vocabulary lacks are left out."""
+        last = word[-1] + self.suffix
+        return [self.ids[symbol] for symbol in (*word[:-1], last) if symbol in self.ids]
+
+    def merge_all(self, words: Iterable[str]) -> dict[str, list[int]]:
+        """Tokens of each of the words."""
+        classes: dict[int, list[str]] = {}
+        found = {}
+        for word in words:
+            rows = found[word] = self.symbols(word)
+            if len(rows) > MAX_TOGETHER:
+                found[word] = merged(rows, self.merges)
+            elif len(rows) > 1:
+                classes.setdefault((len(rows) - 1).bit_length(), []).append(word)
+        for some in classes.values():
+            for start in range(0, len(some), WORDS_AT_ONCE):
+                now = some[start : start + WORDS_AT_ONCE]
+                found.update(zip(now, merged_together([found[w] for w in now], self.pairs)))
         return found
 
-    def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        tokens: list[int] = []
-        normalise = self.library.normalizer
-        for part in self.split(text) if self.split else [text]:
-            if part in self.added:
-                tokens.append(self.added[part])
-            elif part:
-                plain = normalise.normalize_str(part) if normalise else part
-                for piece in plain.split(" ") if self.by_spaces else [plain]:
+    def learn(self, pieces: set[str]) -> dict[str, list[int]]:
+        """Tokens of pieces, of which the short ones are remembered."""
+        cut = {piece: self.words(piece) for piece in pieces}
+        tokens = self.merge_all({word for words in cut.values() for word in words})
+        found = {}
+        for piece, words in cut.items():
+            found[piece] = [token for word in words for token in tokens[word]]
+        if len(self.remembered) + len(found) > MAX_REMEMBERED:
+            self.remembered = {}
+        short = {p: t for p, t in found.items() if len(p) <= MAX_REMEMBERED_CHARS}
+        if len(short) <= MAX_REMEMBERED:
+            self.remembered |= short
+        return found
+
+    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
+        cut: list[list[list[str]]] = []
+        for text in texts:
+            parts = self.split(text or "") if self.split else [text or ""]
+            # Added tokens stand for themselves; a piece in their form cannot come from a part.
+            cut.append([[part] if part in self.added else self.pieces(part) for part in parts])
+        remembered = self.remembered
+        new = {
+            piece
+            for parts in cut
+            for number, pieces in enumerate(parts)
+            if not (self.split and number % 2)
+            for piece in pieces
+            if piece and piece not in remembered
+        }
+        learnt = self.learn(new)
+        result = []
+        for parts in cut:
+            tokens: list[int] = []
+            for number, pieces in enumerate(parts):
+                if self.split and number % 2:
+                    tokens.append(self.added[pieces[0]])
+                    continue
+                for piece in pieces:
                     if piece:
-                        tokens += self.piece(piece)
-        return tokens
+                        found = remembered.get(piece)
+                        tokens += learnt[piece] if found is None else found
+            result.append(tokens)
+        return result
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.encode_all([text])[0]
 
     def decode(self, tokens: list[int] | None) -> str:
         """The text of tokens, special ones too; numbers that are no token have none."""
-        contents = [self.contents[token] for token in tokens or () if token in self.contents]
+        try:
+            contents = [self.contents[token] for token in tokens or ()]
+        except KeyError:
+            contents = [self.contents[token] for token in tokens if token in self.contents]
         decoder = self.library.decoder
         return decoder.decode(contents) if decoder else " ".join(contents)
 
+    def decode_all(self, rows: list[list[int] | None]) -> list[str]:
+        return [self.decode(tokens) for tokens in rows]
+
 
 def _cuts_at_spaces(settings: dict) -> bool:
-    """Whether words come from the pattern that no white space matches, with the rest gone."""
+    """Whether words come from the pattern that no white space matches, with the rest gone,
+    and bytes stand as letters in them."""
     cut = settings.get("pre_tokenizer") or {}
     steps = cut["pretokenizers"] if cut.get("type") == "Sequence" else [cut]
     first, others = steps[0], steps[1:]
@@ -204,9 +368,9 @@ def _cuts_at_spaces(settings: dict) -> bool:
         and first["pattern"] == {"Regex": SPACELESS_WORDS}
         and first["behavior"] == "Removed"
         and first["invert"]
-        and all(
-            step.get("type") == "ByteLevel" and not step["add_prefix_space"] for step in others
-        )
+        and [step.get("type") for step in others] == ["ByteLevel"]
+        and not others[0]["add_prefix_space"]
+        and not others[0]["use_regex"]
     )
 
 
@@ -223,7 +387,8 @@ def _with_column(
     kind: T.DataType,
     convert: Callable[[Vocabulary], Callable],
 ) -> DataFrame:
-    """The frame with a column that a function of the vocabulary makes of another one."""
+    """The frame with a column that a function of the vocabulary makes of another one, some
+    rows at a time."""
     kept = [field for field in frame.schema.fields if field.name != into]
     schema = T.StructType([*kept, T.StructField(into, kind)])
     arrow = to_arrow_schema(schema)
@@ -232,7 +397,7 @@ def _with_column(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = convert(Vocabulary(content.value))
         for batch in slices(batches):
-            made = [function(value) for value in batch.column(column).to_pylist()]
+            made = function(batch.column(column).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(f.name).cast(arrow.field(f.name).type) for f in kept),
@@ -253,7 +418,7 @@ def encode(
     module's docstring states the cases.
     """
     return _with_column(
-        frame, vocabulary, text, into, T.ArrayType(T.IntegerType()), lambda v: v.encode
+        frame, vocabulary, text, into, T.ArrayType(T.IntegerType()), lambda v: v.encode_all
     )
 
 
@@ -261,4 +426,4 @@ def decode(
     frame: DataFrame, vocabulary: str, tokens: str = TOKENS, into: str = DECODED
 ) -> DataFrame:
     """``frame`` with the texts that its tokens stand for."""
-    return _with_column(frame, vocabulary, tokens, into, T.StringType(), lambda v: v.decode)
+    return _with_column(frame, vocabulary, tokens, into, T.StringType(), lambda v: v.decode_all)

@@ -93,6 +93,9 @@ def test_merges_are_the_leftmost_of_lowest_rank():
             symbols.append(100 + rank)
         word = [random.randrange(4) for _ in range(random.randint(0, 40))]
         assert bpe.merged(word, merges) == naive(word, merges)
+        if len(word) > 1:
+            both = bpe.merged_together([word, word[::-1]], bpe.Pairs(merges))
+            assert both == [naive(word, merges), naive(word[::-1], merges)]
 
 
 def test_long_words_do_not_take_quadratic_time():
@@ -102,7 +105,7 @@ def test_long_words_do_not_take_quadratic_time():
     for size in (20_000, 80_000):
         word = "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=size))
         started = time.process_time()
-        vocabulary.word(word)
+        vocabulary.merge_all([word])
         took.append(time.process_time() - started)
     assert took[1] < 10 * took[0]
 
@@ -124,3 +127,16 @@ def test_memory_of_pieces_changes_nothing(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_REMEMBERED", 2)
     small = bpe.Vocabulary(content)
     assert small.encode(text) == expected and len(small.remembered) <= 2
+
+
+def test_near_characters_are_cut_as_the_library_cuts_them():
+    with open(WORDS, encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    library = Tokenizer.from_file(WORDS)
+    near = [chr(code) for code in range(0x250)]
+    texts = [form.format(c) for c in near for form in ("{0}", "a{0}b", "1{0}2", "'{0}!", "{0}{0}", " {0} x'{0}s")]
+    random.seed(11)
+    texts += ["".join(random.choices(near, k=40)) for _ in range(2000)]
+    assert vocabulary.plain and not any(bpe.BEYOND(text) for text in texts)
+    expected = [row.ids for row in library.encode_batch(texts, add_special_tokens=False)]
+    assert vocabulary.encode_all(texts) == expected
