@@ -8,8 +8,8 @@ are the rows of one array and take their steps together; a long word has a tree
 
 The file of the tokenizer says how a text is normalised and cut into words; both are done
 by the library that the file belongs to. White space that no word can hold cuts a text into
-pieces whose tokens do not depend on their neighbours; tokens of short pieces are
-remembered, so that a piece that is met often is encoded once in a task. With the published
+pieces whose tokens do not depend on their neighbours; tokens of pieces are remembered,
+so that a piece that is met often is encoded once in a task. With the published
 pattern for words, characters up to U+024F are normalised and cut here: they have one form
 only, and what is a letter, a digit or white space among them does not change any more.
 
@@ -24,10 +24,11 @@ that have the name of a new column are replaced by it; all others stay.
 
 import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -38,10 +39,10 @@ from loadglass.llm.common import slices
 TOKENS = "token_ids"
 DECODED = "decoded"
 
-# Pieces that a task remembers, and the characters of the longest one. They bound memory,
-# and change no result.
+# Pieces that a task remembers before it begins again, and bytes of texts that it works on at
+# once. They bound memory, and change no result.
 MAX_REMEMBERED = 1 << 18
-MAX_REMEMBERED_CHARS = 64
+BYTES_AT_ONCE = 1 << 25
 # Words of at most so many symbols are merged together, so many at a time.
 MAX_TOGETHER = 64
 WORDS_AT_ONCE = 1 << 14
@@ -163,21 +164,58 @@ class Pairs:
         return np.where(there, self.ranks[at], -1), np.where(there, self.results[at], -1)
 
 
-def merged_together(words: list[list[int]], pairs: Pairs) -> list[list[int]]:
+class Rows:
+    """Rows of numbers of any length, one after the other in one array."""
+
+    def __init__(self):
+        self.flat = np.zeros(1 << 16, np.int64)
+        self.starts = np.zeros(1 << 12, np.int64)
+        self.lengths = np.zeros(1 << 12, np.int64)
+        self.count = self.used = 0
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        count, used = self.count + len(lengths), self.used + len(flat)
+        if used > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * used)
+        if count > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * count)
+            self.lengths = np.resize(self.lengths, 2 * count)
+        self.flat[self.used : used] = flat
+        self.starts[self.count : count] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.count : count] = lengths
+        self.count, self.used = count, used
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of these numbers, one after the other, and their lengths."""
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        skipped = np.repeat(self.starts[numbers] - ends + lengths, lengths)
+        return self.flat[skipped + np.arange(len(skipped))], lengths
+
+
+def in_groups(lengths: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """The summed lengths of groups of so many neighbours."""
+    ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(groups)]
+    return np.diff(ends, prepend=0)
+
+
+def merged_together(
+    flat: np.ndarray, lengths: np.ndarray, pairs: Pairs
+) -> tuple[np.ndarray, np.ndarray]:
     """What ``merged`` returns for each of some words of about one length.
 
-    Row ``w`` of each array belongs to word ``w``; ``nodes[:, 1]`` are the roots.
+    Words are given and returned one after the other, with their lengths. Row ``w`` of each
+    array in here belongs to word ``w``; ``nodes[:, 1]`` are the roots.
     """
     size = 2
-    while size < max(map(len, words)):
+    while size < lengths.max():
         size *= 2
-    lengths = np.array([len(word) for word in words])
     every = np.arange(size)
-    symbols = np.full((len(words), size), -1, np.int64)
-    symbols[every < lengths[:, None]] = np.concatenate([np.array(w, np.int64) for w in words])
+    symbols = np.full((len(lengths), size), -1, np.int64)
+    symbols[every < lengths[:, None]] = flat
     none = 1 << RANK_BITS + size.bit_length()
-    nodes = np.full((len(words), 2 * size), none, np.int64)
-    results = np.full((len(words), size), -1, np.int64)
+    nodes = np.full((len(lengths), 2 * size), none, np.int64)
+    results = np.full((len(lengths), size), -1, np.int64)
     row, place = np.nonzero(symbols[:, 1:] >= 0)
     rank, results[row, place] = pairs.find(symbols[row, place], symbols[row, place + 1])
     nodes[row, size + place] = np.where(rank < 0, none, rank * size + place)
@@ -186,37 +224,47 @@ def merged_together(words: list[list[int]], pairs: Pairs) -> list[list[int]]:
     after = np.where(every + 1 < lengths[:, None], every + 1, -1)
     before = np.broadcast_to(every - 1, after.shape).copy()
 
-    while len(row := np.flatnonzero(nodes[:, 1] < none)):
+    row = np.flatnonzero(nodes[:, 1] < none)
+    while len(row):
         place = nodes[row, 1] % size
         gone = after[row, place]
         following, previous = after[row, gone], before[row, place]
         symbols[row, place] = results[row, place]
         symbols[row, gone] = -1
         after[row, place] = following
-        has = following >= 0
+        has, had = following >= 0, previous >= 0
         before[row[has], following[has]] = place[has]
-        # The leaves that change: those of the merged symbol, the lost one, the one before.
-        for at, right, there in ((place, following, has), (previous, place, previous >= 0)):
+        # The leaves that change: those of the merged symbol, the one before, the lost one.
+        for at, right, there in ((place, following, has), (previous, place, had)):
             r, p = row[there], at[there]
             rank, results[r, p] = pairs.find(symbols[r, p], symbols[r, right[there]])
             nodes[r, size + p] = np.where(rank < 0, none, rank * size + p)
         nodes[row[~has], size + place[~has]] = none
         nodes[row, size + gone] = none
-        for at, there in ((place, slice(None)), (gone, slice(None)), (previous, previous >= 0)):
-            r, node = row[there], size + at[there] >> 1
-            while node[0] if len(node) else False:
-                nodes[r, node] = np.minimum(nodes[r, 2 * node], nodes[r, 2 * node + 1])
-                node = node >> 1
+        # Where there is none before, the path of the merged symbol is gone over again.
+        paths = np.concatenate([place, gone, np.where(had, previous, place)]) + size
+        rows = np.tile(row, 3)
+        for _ in range(size.bit_length() - 1):
+            paths >>= 1
+            nodes[rows, paths] = np.minimum(nodes[rows, 2 * paths], nodes[rows, 2 * paths + 1])
+        row = row[nodes[row, 1] < none]
     left = symbols >= 0
-    flat, ends = symbols[left].tolist(), np.cumsum(left.sum(axis=1)).tolist()
-    return [flat[start:end] for start, end in zip([0, *ends], ends)]
+    return symbols[left], left.sum(axis=1)
 
 
-class Vocabulary:
-    """What the text of a tokenizer's file says, ready to encode and decode.
+def contents_of(settings: dict) -> dict[int, str]:
+    """What each token stands for."""
+    found = {number: content for content, number in settings["model"]["vocab"].items()}
+    found.update({token["id"]: token["content"] for token in settings["added_tokens"]})
+    return found
+
+
+class Encoder:
+    """What the text of a tokenizer's file says, ready to encode.
 
     Files whose settings would change the merges (dropout, unknown tokens, byte fallback,
-    prefixes of continued words, whole words first) raise a ``ValueError``.
+    prefixes of continued words, whole words first), or whose words are not of bytes, raise a
+    ``ValueError``.
     """
 
     def __init__(self, content: str):
@@ -228,32 +276,41 @@ class Vocabulary:
                          "continuing_subword_prefix")
             if model.get(name)
         ]
-        if model.get("type") != "BPE" or unknown:
-            raise ValueError(f"not a plain BPE vocabulary: {model.get('type')} {unknown}")
+        if model.get("type") != "BPE" or unknown or '"ByteLevel"' not in json.dumps(
+            settings["pre_tokenizer"]
+        ):
+            raise ValueError(f"not a plain BPE of bytes: {model.get('type')} {unknown}")
+        added = settings["added_tokens"]
+        if any(token["normalized"] or token["single_word"] or token["lstrip"] or token["rstrip"]
+               for token in added):
+            raise ValueError("added tokens are only found as they are")
         # Padding and truncation are not used, and special tokens are not added.
         self.library = Tokenizer.from_str(content)
-        self.ids: dict[str, int] = model["vocab"]
-        self.suffix: str = model.get("end_of_word_suffix") or ""
+        ids = model["vocab"]
         self.merges = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
+            self.merges[ids[a], ids[b]] = (rank, ids[a + b])
         self.pairs = Pairs(self.merges)
-        added = settings["added_tokens"]
-        if any(token["normalized"] or token["single_word"] or token["lstrip"] or token["rstrip"]
-               for token in added):
-            raise ValueError("added tokens are only found as they are")
         self.added = {token["content"]: token["id"] for token in added}
-        contents = {number: content for content, number in self.ids.items()}
-        contents.update({number: content for content, number in self.added.items()})
-        self.contents = contents
         # The longest of those that begin at a place is found.
         names = sorted(self.added, key=lambda name: (-len(name), name))
         self.split = re.compile(f"({'|'.join(map(re.escape, names))})").split if names else None
         self.by_spaces = _cuts_at_spaces(settings)
         self.plain = self.by_spaces and settings.get("normalizer") == NORMALIZER
-        self.letters = byte_letters()
-        self.remembered: dict[str, list[int]] = {}
+        letters, suffix = byte_letters(), model.get("end_of_word_suffix") or ""
+        self.bytes = {letter: byte for byte, letter in enumerate(letters)}
+        # Symbols of the bytes of a word, and of its last one; -1 without any.
+        self.symbols = np.array([ids.get(letter, -1) for letter in letters])
+        self.last_symbols = np.array([ids.get(letter + suffix, -1) for letter in letters])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.tokens = Rows()
+        # Added tokens are kept under a tuple, which no piece of a text is.
+        self.numbers = {(name,): number for number, name in enumerate(self.added)}
+        ids = np.array(list(self.added.values()), np.int64)
+        self.tokens.add(ids, np.ones(len(ids), np.int64))
 
     def pieces(self, part: str) -> list[str]:
         """The normalised pieces of a text without added tokens."""
@@ -263,98 +320,85 @@ class Vocabulary:
         part = normalise.normalize_str(part) if normalise else part
         return part.split(" ") if self.by_spaces else [part]
 
-    def words(self, piece: str) -> list[str]:
-        """The words of a piece, a letter for each byte."""
+    def words(self, piece: str) -> list[bytes]:
         if self.plain and not BEYOND(piece):
-            words = NEAR_WORDS(piece)
-            if piece.isascii():
-                return words if piece.isprintable() else [self._lettered(word) for word in words]
-            return [self._lettered(word) for word in words]
-        cut = self.library.pre_tokenizer
-        return [word for word, _ in cut.pre_tokenize_str(piece) if word] if cut else [piece]
-
-    def _lettered(self, word: str) -> str:
-        return "".join([self.letters[byte] for byte in word.encode()])
-
-    def symbols(self, word: str) -> list[int]:
-        """A word before any merge; symbols that the vocabulary lacks are left out."""
-        last = word[-1] + self.suffix
-        return [self.ids[symbol] for symbol in (*word[:-1], last) if symbol in self.ids]
-
-    def merge_all(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Tokens of each of the words."""
-        classes: dict[int, list[str]] = {}
-        found = {}
-        for word in words:
-            rows = found[word] = self.symbols(word)
-            if len(rows) > MAX_TOGETHER:
-                found[word] = merged(rows, self.merges)
-            elif len(rows) > 1:
-                classes.setdefault((len(rows) - 1).bit_length(), []).append(word)
-        for some in classes.values():
+            return [word.encode() for word in NEAR_WORDS(piece)]
+        cut = self.library.pre_tokenizer.pre_tokenize_str(piece)
+        return [bytes([self.bytes[letter] for letter in word]) for word, _ in cut if word]
+
+    def merge_all(self, words: list[bytes]) -> Rows:
+        """Tokens of the words, in their order."""
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        lengths = np.array([len(word) for word in words], np.int64)
+        ends = np.cumsum(lengths)
+        symbols = self.symbols[flat]
+        symbols[ends - 1] = self.last_symbols[flat[ends - 1]]
+        if (symbols < 0).any():
+            # Symbols that the vocabulary lacks are left out.
+            has = symbols >= 0
+            lengths = in_groups(has.astype(np.int64), lengths)
+            symbols, ends = symbols[has], np.cumsum(lengths)
+        given = Rows()
+        given.add(symbols, lengths)
+        kind = np.where(lengths < 2, 0, np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
+        kind[lengths > MAX_TOGETHER] = -1
+        made, order = Rows(), []
+        for value in np.unique(kind).tolist():
+            some = np.flatnonzero(kind == value)
             for start in range(0, len(some), WORDS_AT_ONCE):
                 now = some[start : start + WORDS_AT_ONCE]
-                found.update(zip(now, merged_together([found[w] for w in now], self.pairs)))
-        return found
-
-    def learn(self, pieces: set[str]) -> dict[str, list[int]]:
-        """Tokens of pieces, of which the short ones are remembered."""
-        cut = {piece: self.words(piece) for piece in pieces}
-        tokens = self.merge_all({word for words in cut.values() for word in words})
-        found = {}
-        for piece, words in cut.items():
-            found[piece] = [token for word in words for token in tokens[word]]
-        if len(self.remembered) + len(found) > MAX_REMEMBERED:
-            self.remembered = {}
-        short = {p: t for p, t in found.items() if len(p) <= MAX_REMEMBERED_CHARS}
-        if len(short) <= MAX_REMEMBERED:
-            self.remembered |= short
-        return found
-
-    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
-        cut: list[list[list[str]]] = []
+                order.append(now)
+                if value > 0:
+                    made.add(*merged_together(*given.take(now), self.pairs))
+                elif value == 0:
+                    made.add(*given.take(now))
+                else:
+                    for word in now:
+                        row, _ = given.take(np.array([word]))
+                        found = merged(row.tolist(), self.merges)
+                        made.add(np.array(found, np.int64), np.array([len(found)]))
+        # Back into the order of the words.
+        back = np.empty(len(words), np.int64)
+        back[np.concatenate(order) if order else []] = np.arange(len(words))
+        made.starts, made.lengths = made.starts[back], made.lengths[back]
+        return made
+
+    def learn(self, pieces: list[str]) -> None:
+        """Remember the tokens of pieces."""
+        cut = [self.words(piece) for piece in pieces]
+        known: dict[bytes, int] = {}
+        used = [known.setdefault(word, len(known)) for words in cut for word in words]
+        tokens, lengths = self.merge_all(list(known)).take(np.array(used, np.int64))
+        first = self.tokens.count
+        self.tokens.add(tokens, in_groups(lengths, np.array([len(words) for words in cut])))
+        self.numbers.update(zip(pieces, range(first, first + len(pieces))))
+
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of the texts, one after the other, and how many each text has."""
+        flat: list = []
+        sizes = []
         for text in texts:
+            before = len(flat)
             parts = self.split(text or "") if self.split else [text or ""]
-            # Added tokens stand for themselves; a piece in their form cannot come from a part.
-            cut.append([[part] if part in self.added else self.pieces(part) for part in parts])
-        remembered = self.remembered
-        new = {
-            piece
-            for parts in cut
-            for number, pieces in enumerate(parts)
-            if not (self.split and number % 2)
-            for piece in pieces
-            if piece and piece not in remembered
-        }
-        learnt = self.learn(new)
-        result = []
-        for parts in cut:
-            tokens: list[int] = []
-            for number, pieces in enumerate(parts):
-                if self.split and number % 2:
-                    tokens.append(self.added[pieces[0]])
-                    continue
-                for piece in pieces:
-                    if piece:
-                        found = remembered.get(piece)
-                        tokens += learnt[piece] if found is None else found
-            result.append(tokens)
-        return result
+            for number, part in enumerate(parts):
+                if number % 2:
+                    flat.append((part,))
+                elif part:
+                    flat += filter(None, self.pieces(part))
+            sizes.append(len(flat) - before)
+        numbers = list(map(self.numbers.get, flat))
+        if None in numbers:
+            new = list({piece for piece, number in zip(flat, numbers) if number is None})
+            if len(self.numbers) + len(new) > MAX_REMEMBERED:
+                self._forget()
+                new = list({piece for piece in flat if isinstance(piece, str)})
+            self.learn(new)
+            numbers = list(map(self.numbers.get, flat))
+        tokens, lengths = self.tokens.take(np.array(numbers, np.int64))
+        return tokens, in_groups(lengths, np.array(sizes, np.int64))
 
     def encode(self, text: str | None) -> list[int]:
-        return self.encode_all([text])[0]
-
-    def decode(self, tokens: list[int] | None) -> str:
-        """The text of tokens, special ones too; numbers that are no token have none."""
-        try:
-            contents = [self.contents[token] for token in tokens or ()]
-        except KeyError:
-            contents = [self.contents[token] for token in tokens if token in self.contents]
-        decoder = self.library.decoder
-        return decoder.decode(contents) if decoder else " ".join(contents)
-
-    def decode_all(self, rows: list[list[int] | None]) -> list[str]:
-        return [self.decode(tokens) for tokens in rows]
+        return self.encode_all([text])[0].tolist()
 
 
 def _cuts_at_spaces(settings: dict) -> bool:
@@ -379,29 +423,37 @@ def _read(path: str) -> str:
         return file.read()
 
 
+def _parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Slices with few rows, and with one row where texts are long."""
+    for batch in slices(batches):
+        if batch.column(column).nbytes <= BYTES_AT_ONCE:
+            yield batch
+        else:
+            for row in range(batch.num_rows):
+                yield batch.slice(row, 1)
+
+
 def _with_column(
     frame: DataFrame,
     vocabulary: str,
     column: str,
     into: str,
     kind: T.DataType,
-    convert: Callable[[Vocabulary], Callable],
+    convert: Callable[[str], Callable[[pa.Array], pa.Array]],
 ) -> DataFrame:
-    """The frame with a column that a function of the vocabulary makes of another one, some
-    rows at a time."""
+    """The frame with a column that is made of another one, some rows at a time."""
     kept = [field for field in frame.schema.fields if field.name != into]
     schema = T.StructType([*kept, T.StructField(into, kind)])
     arrow = to_arrow_schema(schema)
     content = frame.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        function = convert(Vocabulary(content.value))
-        for batch in slices(batches):
-            made = function(batch.column(column).to_pylist())
+        function = convert(content.value)
+        for batch in _parts(batches, column):
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(f.name).cast(arrow.field(f.name).type) for f in kept),
-                    pa.array(made, arrow.field(into).type),
+                    function(batch.column(column)).cast(arrow.field(into).type),
                 ],
                 schema=arrow,
             )
@@ -409,6 +461,45 @@ def _with_column(
     return frame.mapInArrow(run, schema)
 
 
+def _encoding(content: str) -> Callable[[pa.Array], pa.Array]:
+    encoder = Encoder(content)
+
+    def encoded(texts: pa.Array) -> pa.Array:
+        tokens, sizes = encoder.encode_all(texts.to_pylist())
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(offsets, tokens.astype(np.int32))
+
+    return encoded
+
+
+def _decoding(content: str) -> Callable[[pa.Array], pa.Array]:
+    settings = json.loads(content)
+    contents = contents_of(settings)
+    decoder = Tokenizer.from_str(content).decoder if settings.get("decoder") else None
+    # Contents by token, null where a number is no token.
+    table = pa.array([contents.get(number) for number in range(max(contents, default=-1) + 1)])
+
+    def decoded(rows: pa.Array) -> pa.Array:
+        rows = rows.fill_null([]) if rows.null_count else rows
+        flat = rows.flatten()
+        sizes = rows.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        numbers = flat.to_numpy(zero_copy_only=False)
+        known = np.isin(numbers, list(contents)) if len(contents) < len(table) else (
+            (numbers >= 0) & (numbers < len(table))
+        )
+        if not known.all():
+            sizes, numbers = in_groups(known.astype(np.int64), sizes), numbers[known]
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        words = pa.LargeListArray.from_arrays(
+            offsets, table.take(pa.array(numbers.astype(np.int64))).cast(pa.large_string())
+        )
+        if decoder is None:
+            return pc.binary_join(words, pa.scalar(" ", pa.large_string()))
+        return pa.array([decoder.decode(row) for row in words.to_pylist()], pa.large_string())
+
+    return decoded
+
+
 def encode(
     frame: DataFrame, vocabulary: str, text: str = "text", into: str = TOKENS
 ) -> DataFrame:
@@ -418,12 +509,13 @@ def encode(
     module's docstring states the cases.
     """
     return _with_column(
-        frame, vocabulary, text, into, T.ArrayType(T.IntegerType()), lambda v: v.encode_all
+        frame, vocabulary, text, into, T.ArrayType(T.IntegerType()), _encoding
     )
 
 
 def decode(
     frame: DataFrame, vocabulary: str, tokens: str = TOKENS, into: str = DECODED
 ) -> DataFrame:
-    """``frame`` with the texts that its tokens stand for."""
-    return _with_column(frame, vocabulary, tokens, into, T.StringType(), lambda v: v.decode_all)
+    """``frame`` with the texts that its tokens stand for, special ones too. Numbers that are no
+    token have no text."""
+    return _with_column(frame, vocabulary, tokens, into, T.StringType(), _decoding)

@@ -184,10 +184,11 @@ def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [
-                np.asarray(row.values, "<u4").tobytes() for row in batch.column(bpe.TOKENS)
-            ]
-            texts = [text.as_py().encode() for text in batch.column(bpe.DECODED)]
+            rows = batch.column(bpe.TOKENS)
+            flat = rows.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+            ends = np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))
+            ids = [part.tobytes() for part in np.split(flat, ends)[: batch.num_rows]]
+            texts = [text.as_buffer() for text in batch.column(bpe.DECODED)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
