@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from loadglass import schema
 from loadglass.functions.numeric import round_half_even
-from loadglass.operators import cleaning, histogram, incidents, quality, sampling
+from loadglass.operators import cleaning, heavy, histogram, incidents, quality, sampling
+from loadglass.operators.aggregate import mean_latency, profile, quantile, totals
 from loadglass.plans import (
     bundles,
     endpoints,
@@ -21,6 +22,7 @@ from loadglass.plans import (
     latency,
     peak,
     rollup,
+    sketches,
     summary,
     traffic,
 )
@@ -58,7 +60,118 @@ def src_raw_log(spark: SparkSession, folder: str) -> DataFrame:
     """The raw log through a CSV file and back."""
     path = scratch_folder(spark, "raw-csv")
     logs.write_csv_log(events.raw_log(spark, folder), path)
-    return cleaning.whole_numbers(logs.read_raw_log(spark, path, event_id=True))
+    raw = logs.read_raw_log(spark, path, event_id=True)
+    return cleaning.whole_numbers(cleaning.well_formed(raw))
+
+
+def defective_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw log from lines of text with defects."""
+    path = scratch_folder(spark, "lines")
+    events.lines_with_defects(events.raw_log(spark, folder)).write.text(path)
+    return logs.read_raw_log(spark, path, event_id=True, header=False)
+
+
+def malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines that are no requests, as they stand, and why."""
+    return (
+        cleaning.rejected_log(defective_text(spark, folder))
+        .filter(F.col(schema.MALFORMED).isNotNull())
+        .select(F.col(schema.MALFORMED).alias("line"), "reject_reason")
+    )
+
+
+def malformed_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected rows per rule, malformed lines among them."""
+    return quality.reject_report(defective_text(spark, folder))
+
+
+def clean_from_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What the clean stage keeps of the same lines."""
+    return cleaning.clean_log(defective_text(spark, folder)).select(
+        "event_id", "service", "response_time_ms", "status_code", "error"
+    )
+
+
+def eleven_digits(result: DataFrame, *names: str) -> DataFrame:
+    """Figures as text in eleven significant digits, for those beyond six decimals."""
+    return result.withColumns({name: F.format_string("%.10e", name) for name in names})
+
+
+def large_latency_stats(raw: DataFrame) -> DataFrame:
+    """Totals and spread of a log with latencies of up to 64 bits."""
+    log = cleaning.clean_log(events.with_large_latencies(raw))
+    figures = latency.response_time_stats(log)
+    total = totals(log).select("requests", F.col("total_ms").cast("string"))
+    return eleven_digits(
+        figures.crossJoin(total),
+        "mean_ms", "median_ms", "std_ms", "p50_ms", "p90_ms", "p95_ms", "p99_ms",
+    )
+
+
+def large_latency_endpoints(raw: DataFrame) -> DataFrame:
+    log = cleaning.clean_log(events.with_large_latencies(raw))
+    figures = profile(log, "service", "endpoint").select(
+        "service",
+        "endpoint",
+        F.col("total_ms").cast("string").alias("total_ms"),
+        mean_latency().alias("mean_ms"),
+        quantile(0).alias("median_ms"),
+        quantile(1).alias("p95_ms"),
+        "requests",
+    )
+    return eleven_digits(figures, "mean_ms", "median_ms", "p95_ms")
+
+
+def large_latency_histogram(raw: DataFrame) -> DataFrame:
+    log = cleaning.clean_log(events.with_large_latencies(raw))
+    return eleven_digits(histogram.latency_histogram(log), "bucket_start", "bucket_end")
+
+
+def daily_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The clean log as written cells."""
+    path = scratch_folder(spark, "cells")
+    sketches.write_cells(cleaning.clean_log(events.raw_log(spark, folder)), path)
+    return sketches.read_cells(spark, path)
+
+
+def daily_percentiles_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.daily_percentiles_sketch(daily_cells(spark, folder))
+
+
+def endpoint_percentiles_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and exact figures only: of this many requests percentiles are estimates."""
+    return sketches.endpoint_percentiles_sketch(daily_cells(spark, folder)).drop(
+        "p50_ms", "p95_ms", "p99_ms"
+    )
+
+
+def kept(frame: DataFrame, purpose: str) -> DataFrame:
+    """A summary as a table that is kept."""
+    path = scratch_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def distinct_days_by_endpoint(log: DataFrame) -> DataFrame:
+    days = kept(sketches.active_days(log, "service", "endpoint"), "days")
+    return sketches.distinct_days(days, "service", "endpoint")
+
+
+def distinct_keys_by_month(log: DataFrame) -> DataFrame:
+    """From sketches per day."""
+    seen = kept(sketches.seen_keys(log, "date"), "seen")
+    return sketches.distinct_keys(
+        seen.withColumn("month", F.trunc("date", "month")), "month"
+    )
+
+
+def top_endpoints(log: DataFrame) -> DataFrame:
+    return heavy.top_keys(log, "service", "endpoint", k=5)
+
+
+def top_users(spark: SparkSession, folder: str) -> DataFrame:
+    """An open key set: the users with most events."""
+    return heavy.top_keys(events.read_events(spark, folder), "user_id", k=20)
 
 
 def src_clean_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,6 +305,9 @@ QUERIES: dict[str, Query] = {
     "daily_metrics_roundtrip": published_roundtrip("daily_metrics"),
     "hourly_metrics_roundtrip": published_roundtrip("hourly_metrics"),
     # parsing, cleaning and quality
+    "malformed_lines": malformed_lines,
+    "malformed_report": malformed_report,
+    "clean_from_lines": clean_from_lines,
     "parse_timestamps": over_raw(parse_timestamps),
     "ensure_dtypes": over_raw(ensure_dtypes),
     "clean_from_text": over_raw(clean_from_text),
@@ -229,6 +345,9 @@ QUERIES: dict[str, Query] = {
     "daily_metrics_via_rollup": daily_metrics_via_rollup,
     "hourly_metrics": over_clean(latency.hourly_metrics),
     "latency_histogram": over_clean_unrounded(histogram.latency_histogram),
+    "large_latency_stats": over_raw(large_latency_stats),
+    "large_latency_endpoints": over_raw(large_latency_endpoints),
+    "large_latency_histogram": over_raw(large_latency_histogram),
     # errors
     "overall_error_rate": over_clean_unrounded(errors.overall_error_rate),
     "error_rate_by_hour": over_clean_unrounded(errors.error_rate_by_hour),
@@ -253,6 +372,13 @@ QUERIES: dict[str, Query] = {
     # dashboards
     "kpis": over_clean_unrounded(summary.kpis),
     "summary_dashboard": over_clean_unrounded(summary.summary_dashboard),
+    # summaries that merge
+    "daily_percentiles_sketch": daily_percentiles_sketch,
+    "endpoint_percentiles_sketch": endpoint_percentiles_sketch,
+    "distinct_days_by_endpoint": over_clean(distinct_days_by_endpoint),
+    "distinct_keys_by_month": over_clean(distinct_keys_by_month),
+    "top_endpoints": over_clean(top_endpoints),
+    "top_users": top_users,
     # load model
     "traffic_band": over_clean(expectations.traffic_band),
     "day_multiplier": over_clean(expectations.day_multiplier),

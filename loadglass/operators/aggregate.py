@@ -2,7 +2,8 @@
 
 Every function takes either a log (one row per request) or a rollup, whose rows
 stand for ``requests`` requests each. All sums are sums of integers, so results
-do not depend on the order in which partitions are merged.
+do not depend on the order in which partitions are merged, and none can overflow: a
+latency is any BIGINT, so its bits are added up in slices (see ``wide_sum``).
 
 Percentiles run in three steps. The first groups by the keys and the latency, with
 map-side combining, so each task sends at most one row per key and distinct
@@ -16,8 +17,9 @@ latencies of a key. Latencies up to 2,047 are never cut.
 """
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +27,13 @@ from pyspark.sql import functions as F
 LATENCY = "response_time_ms"
 WEIGHT = "requests"
 
+# Sums of latencies. They hold any latency of up to 2^41 requests.
+WIDE = "decimal(38,0)"
+
+# First bit and width of the slices that a latency is added up in. The sum of each fits into
+# 64 bits for up to 2^41 requests; the last one has the sign.
+SLICES = [(0, 20), (20, 22), (42, 22)]
+
 # Binary digits of a latency that the first narrowing keeps.
 DIGITS = 11
 
@@ -57,6 +66,25 @@ def request_count_if(log: DataFrame, condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def wide_sum(value: Column, count: Column) -> Column:
+    """The sum of ``value`` times ``count``, exact for any BIGINT values.
+
+    Three sums of BIGINT cost less than one of decimals, whose buffers are objects.
+    """
+
+    def part(low: int, width: int) -> Column:
+        bits = F.shiftright(value, low)
+        if low + width < 64:
+            bits = bits.bitwiseAND(F.lit((1 << width) - 1))
+        return F.sum(bits * count).cast(WIDE) * F.lit(Decimal(1 << low))
+
+    return reduce(add, (part(*bits) for bits in SLICES)).cast(WIDE)
+
+
+def total_latency(log: DataFrame) -> Column:
+    return wide_sum(F.col(LATENCY), weight(log))
+
+
 def with_keys(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop rows with a missing group key: a NULL group is not reported."""
     if not keys:
@@ -77,7 +105,7 @@ def totals(log: DataFrame, *keys: str) -> DataFrame:
             request_count(log).alias("requests"),
             error_count(log).alias("errors"),
             request_count_if(log, F.col(LATENCY).isNotNull()).alias("timed_requests"),
-            F.sum(F.col(LATENCY) * weight(log)).alias("total_ms"),
+            total_latency(log).alias("total_ms"),
         )
     )
 
@@ -102,7 +130,9 @@ def frequency(log: DataFrame, *keys: str) -> DataFrame:
 def _cut(latency: Column) -> Column:
     """A latency without the binary digits after its first ``DIGITS``. It keeps order,
     also of negative values."""
-    drop = F.greatest(F.length(F.bin(F.abs(latency))) - DIGITS, F.lit(0))
+    # The complement of a negative one: the least BIGINT has no absolute value.
+    size = F.when(latency < 0, F.bitwise_not(latency)).otherwise(latency)
+    drop = F.greatest(F.length(F.bin(size)) - DIGITS, F.lit(0))
     return F.call_function("shiftleft", F.call_function("shiftright", latency, drop), drop)
 
 
@@ -160,7 +190,7 @@ def profile_columns(quantiles: Sequence[float] = (MEDIAN, P95)) -> list[Column]:
         F.coalesce(F.sum("requests"), F.lit(0).cast("long")).alias("requests"),
         F.coalesce(F.sum("errors"), F.lit(0).cast("long")).alias("errors"),
         F.sum(F.when(timed, F.col("requests"))).alias("timed_requests"),
-        F.sum(F.col(LATENCY) * F.col("requests")).alias("total_ms"),
+        wide_sum(F.col(LATENCY), F.col("requests")).alias("total_ms"),
         F.percentile("narrow", list(quantiles), F.col("requests")).alias("quantiles"),
     ]
 
@@ -173,27 +203,53 @@ def profile(
     return rows.groupBy(*keys).agg(*profile_columns(quantiles))
 
 
-def sum_of_squares() -> Column:
-    """Sum of squared latencies over ``frequency`` rows, as a whole number.
-
-    It outgrows a long on a large log, hence the decimal.
-    """
-    latency = F.col(LATENCY).cast("long")
-    return F.sum(
-        (latency * latency).cast("decimal(20,0)")
-        * F.col("requests").cast("decimal(18,0)")
+def centre(frequencies: DataFrame) -> Column:
+    """The mean latency of ``frequency`` rows, rounded down to a whole number, as a scalar."""
+    return (
+        frequencies.filter(F.col(LATENCY).isNotNull())
+        .agg(
+            wide_sum(F.col(LATENCY), F.col("requests")).alias("total"),
+            F.sum("requests").alias("n"),
+        )
+        .select(F.expr("total DIV nullif(n, 0)"))
+        .scalar()
     )
 
 
-def sample_deviation() -> Column:
-    """Sample standard deviation from ``profile`` columns plus ``squares``.
+def spread_columns(middle: str) -> list[Column]:
+    """Sums for ``sample_deviation`` over ``frequency`` rows with the column ``middle``, their
+    ``centre``.
 
-    The subtraction is between whole numbers, so no digits cancel.
+    Squares are of distances from the centre, each cut into multiples of 2^32 and a rest of the
+    same sign. So all sums are exact for any latencies, and none cancels another one.
     """
-    n = F.col("timed_requests").cast("decimal(19,0)")
-    total = F.col("total_ms").cast("decimal(19,0)")
-    spread = (n * F.col("squares") - total * total).cast("double")
-    return F.sqrt(F.try_divide(spread, (n * (n - 1)).cast("double")))
+    count = F.col("requests").cast("decimal(18,0)")
+    apart = F.col(LATENCY) - F.col(middle)
+    high = F.signum(apart).cast("bigint") * F.shiftright(F.abs(apart), 32)
+    low = apart - high * F.lit(1 << 32)
+
+    def total(*factors: Column) -> Column:
+        return F.sum(reduce(lambda a, b: a * b, (x.cast("decimal(10,0)") for x in factors)) * count)
+
+    return [
+        total(high, high).alias("high_squares"),
+        total(high, low).alias("mixed_products"),
+        total(low, low).alias("low_squares"),
+        F.sum(apart.cast("decimal(19,0)") * count).alias("apart"),
+    ]
+
+
+def sample_deviation() -> Column:
+    """Sample standard deviation from ``profile_columns`` and ``spread_columns``."""
+    n = F.col("timed_requests").cast("double")
+    squares = (
+        F.col("high_squares").cast("double") * F.lit(2.0**64)
+        + F.col("mixed_products").cast("double") * F.lit(2.0**33)
+        + F.col("low_squares").cast("double")
+    )
+    apart = F.col("apart").cast("double")
+    spread = F.greatest(squares - F.try_divide(apart * apart, n), F.lit(0.0))
+    return F.sqrt(F.try_divide(spread, n - 1))
 
 
 def quantile(position: int) -> Column:

@@ -11,6 +11,9 @@ INVALID_TIMESTAMP = "invalid_timestamp"
 NEGATIVE_LATENCY = "negative_response_time"
 INVALID_STATUS = "invalid_status_code"
 NULL_LATENCY = "null_response_time"
+TOO_MANY_FIELDS = "too_many_fields"
+TOO_FEW_FIELDS = "too_few_fields"
+OPEN_QUOTE = "open_quote"
 UNPARSABLE_LATENCY = "unparsable_response_time"
 
 # From here on a latency is no BIGINT. A double can hold this bound exactly.
@@ -108,12 +111,44 @@ def drop_invalid_status_codes(raw: DataFrame) -> DataFrame:
     return raw.filter(has_valid_status())
 
 
-def reject_reason() -> Column:
+def well_formed(raw: DataFrame) -> DataFrame:
+    """The rows that are requests: lines of text with the fields of a log."""
+    if schema.MALFORMED not in raw.columns:
+        return raw
+    return raw.filter(F.col(schema.MALFORMED).isNull()).drop(schema.MALFORMED)
+
+
+def _malformed_reason(raw: DataFrame) -> Column:
+    """What is wrong with a line that does not have the fields of the log; NULL without one.
+
+    Fields are counted in the text without its quoted pieces.
+    """
+    line = F.col(schema.MALFORMED)
+    fields = sum(name in schema.with_event_id(schema.RAW_LOG).names for name in raw.columns)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    found = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ","))
+    return (
+        F.when(line.isNull(), F.lit(None))
+        .when(quotes % 2 == 1, OPEN_QUOTE)
+        .when(found > fields, TOO_MANY_FIELDS)
+        .otherwise(TOO_FEW_FIELDS)
+    )
+
+
+def reject_reason(raw: DataFrame) -> Column:
     """The first rule a raw row breaks, NULL for a good row.
 
     The rules run in this order, so a row breaking two of them counts once. They see
-    values as parsed: -0.5 is negative, 200.7 is no status.
+    values as parsed: -0.5 is negative, 200.7 is no status. What a malformed line seems to
+    hold is not looked at.
     """
+    rules = _value_reason()
+    if schema.MALFORMED not in raw.columns:
+        return rules
+    return F.coalesce(_malformed_reason(raw), rules)
+
+
+def _value_reason() -> Column:
     return (
         F.when(F.col("timestamp").isNull(), INVALID_TIMESTAMP)
         .when(F.col("response_time_ms") < 0, NEGATIVE_LATENCY)
@@ -131,7 +166,7 @@ def add_derived_columns(log: DataFrame) -> DataFrame:
 
 def keep_valid(raw: DataFrame) -> DataFrame:
     """Rows that break no rule, as plain predicates the scan can push down."""
-    return raw.filter(
+    return well_formed(raw).filter(
         F.col("timestamp").isNotNull()
         & has_valid_latency()
         & has_valid_status()
@@ -148,7 +183,7 @@ def clean_log(raw: DataFrame) -> DataFrame:
 
 
 def rejected_log(raw: DataFrame) -> DataFrame:
-    """The rows the clean stage drops, with the reason."""
-    return raw.withColumn("reject_reason", reject_reason()).filter(
+    """The rows the clean stage drops, with the reason, and malformed lines with their text."""
+    return raw.withColumn("reject_reason", reject_reason(raw)).filter(
         F.col("reject_reason").isNotNull()
     )

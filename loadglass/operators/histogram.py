@@ -12,14 +12,14 @@ def latency_histogram(log: DataFrame, bins: int = schema.HISTOGRAM_BINS) -> Data
     """Requests per latency bin between the minimum and the maximum.
 
     The last bin is closed. Bin numbers come from whole-number division, which
-    puts values on a bin edge exactly. With a single latency the range is widened
+    puts values on a bin edge exactly, in decimals, which hold any BIGINT. With a single latency the range is widened
     by half a millisecond on each side, so all requests fall in the middle.
 
     The log is read once: limits and bins both come from its latency frequencies.
     """
     spark = log.sparkSession
     frequencies = frequency(log)
-    low, high = F.min(LATENCY), F.max(LATENCY)
+    low, high = (limit(LATENCY).cast("decimal(20,0)") for limit in (F.min, F.max))
     # Twice the latency keeps the half milliseconds of the widened range whole.
     limits = frequencies.agg(
         F.struct(
@@ -29,7 +29,8 @@ def latency_histogram(log: DataFrame, bins: int = schema.HISTOGRAM_BINS) -> Data
     ).scalar()
 
     bin_number = F.expr(
-        f"(2L * {LATENCY} - limits.start) * {bins} DIV (limits.end - limits.start)"
+        f"(2 * CAST({LATENCY} AS DECIMAL(20,0)) - limits.start) * {bins}"
+        " DIV (limits.end - limits.start)"
     )
     counts = (
         frequencies.filter(F.col(LATENCY).isNotNull())
@@ -41,7 +42,7 @@ def latency_histogram(log: DataFrame, bins: int = schema.HISTOGRAM_BINS) -> Data
     spine = spark.range(1, bins + 1, numPartitions=1).select(
         F.col("id").cast("int").alias("bucket")
     )
-    start, end = F.col("limits.start") / 2.0, F.col("limits.end") / 2.0
+    start, end = (F.col(f"limits.{name}").cast("double") / 2.0 for name in ("start", "end"))
     width = (end - start) / bins
     return (
         fit_to(spine, counts, ["bucket"])

@@ -14,7 +14,7 @@ from loadglass.operators.cleaning import (
 def reject_report(raw: DataFrame) -> DataFrame:
     """Rejected rows per rule, in one pass."""
     return (
-        raw.select(reject_reason().alias("reject_reason"))
+        raw.select(reject_reason(raw).alias("reject_reason"))
         .filter(F.col("reject_reason").isNotNull())
         .groupBy("reject_reason")
         .agg(F.count(F.lit(1)).alias("rejected"))
@@ -26,7 +26,7 @@ def invalid_codes(raw: DataFrame) -> DataFrame:
     """Distinct status codes of the rows that ``reject_report`` counts as such. A missing
     code is invalid too."""
     return (
-        raw.filter(reject_reason() == INVALID_STATUS)
+        raw.filter(reject_reason(raw) == INVALID_STATUS)
         .select("status_code")
         .distinct()
         .orderBy("status_code")
@@ -37,7 +37,7 @@ def removal_summary(raw: DataFrame) -> DataFrame:
     """Rows in, rows removed and the percentage, in one pass."""
     removed = F.count_if(F.col("reject_reason").isNotNull())
     rows = F.count(F.lit(1))
-    return raw.select(reject_reason().alias("reject_reason")).agg(
+    return raw.select(reject_reason(raw).alias("reject_reason")).agg(
         rows.alias("rows_in"),
         (rows - removed).alias("rows_kept"),
         removed.alias("rows_removed"),

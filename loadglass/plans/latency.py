@@ -10,6 +10,7 @@ from loadglass.operators.aggregate import (
     P90,
     P95,
     P99,
+    centre,
     frequency,
     mean_latency,
     narrowed,
@@ -17,7 +18,7 @@ from loadglass.operators.aggregate import (
     profile_columns,
     quantile,
     sample_deviation,
-    sum_of_squares,
+    spread_columns,
 )
 from loadglass.operators.order import in_order
 
@@ -25,11 +26,13 @@ from loadglass.operators.order import in_order
 def response_time_stats(log: DataFrame) -> DataFrame:
     """Mean, median, sample deviation, percentiles and maximum of all requests."""
     quantiles = [MEDIAN, P90, P95, P99]
+    frequencies = frequency(log)
     return (
-        narrowed(frequency(log), quantiles=quantiles)
+        narrowed(frequencies, quantiles=quantiles)
+        .withColumn("centre", centre(frequencies))
         .agg(
             *profile_columns(quantiles),
-            sum_of_squares().alias("squares"),
+            *spread_columns("centre"),
             F.max(LATENCY).alias("max_ms"),
         )
         .select(

@@ -17,7 +17,7 @@ from loadglass.operators.aggregate import (
     quantile,
     request_count,
 )
-from loadglass.operators.cleaning import whole_numbers
+from loadglass.operators.cleaning import well_formed, whole_numbers
 from loadglass.plans.errors import error_percent
 
 
@@ -161,8 +161,9 @@ def clean_summary(log: DataFrame) -> DataFrame:
 
 
 def raw_summary(raw: DataFrame) -> DataFrame:
-    """The same quick look before cleaning, so invalid latencies count."""
-    raw = whole_numbers(raw)
+    """The same quick look before cleaning, so invalid latencies count; malformed lines do
+    not, as they are no requests."""
+    raw = whole_numbers(well_formed(raw))
     per_group = raw.groupBy("service", LATENCY).agg(
         request_count(raw).alias("requests"),
         error_count(raw).alias("errors"),

@@ -32,6 +32,10 @@ CALENDAR = T.StructType(
 
 CLEAN_LOG = T.StructType(RAW_LOG.fields + CALENDAR.fields)
 
+# The text of a line that does not have the fields of a log; NULL for a line that has. Only
+# raw logs from text have this column.
+MALFORMED = "malformed_line"
+
 # An optional natural key. Sampling needs it, the reports do not.
 EVENT_ID = T.StructField("event_id", T.LongType())
 

@@ -67,6 +67,39 @@ def raw_log(spark: SparkSession, folder: str) -> DataFrame:
     return to_raw_log(read_events(spark, folder))
 
 
+def with_large_latencies(raw: DataFrame) -> DataFrame:
+    """The log with latencies that need up to 64 bits, in three of a thousand rows."""
+    case = F.col("event_id") % 1000
+    large = {1: 4_000_000_000, 2: 200_000_000_000_000_000, 3: 9_000_000_000_000_000_000}
+    latency = F.col("response_time_ms")
+    for number, value in large.items():
+        latency = F.when(case == number, F.lit(value)).otherwise(latency)
+    return raw.withColumn("response_time_ms", latency)
+
+
+def lines_with_defects(raw: DataFrame) -> DataFrame:
+    """The log as lines of text, in which some of every hundred lack fields, have more, or
+    have a quote that is not closed; others quote a value, which is allowed."""
+    text = as_text(raw)
+    names = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in text.columns]
+    line = F.concat_ws(",", *names)
+    short = F.concat_ws(",", *names[:-1])
+    start = F.concat_ws(",", *names[:2])
+    rest = F.concat_ws(",", *names[3:])
+    case = F.col("event_id") % 100
+    return text.select(
+        F.when(case == 21, F.concat(line, F.lit(',x,"y,z"')))
+        .when(case == 22, short)
+        .when(case == 23, F.concat(start, F.lit(',"'), names[2], F.lit(","), rest))
+        .when(case == 24, names[0])
+        .when(case == 25, F.concat(line, F.lit(",")))
+        .when(case == 26, F.concat(start, F.lit(',"'), names[2], F.lit('",'), rest))
+        .when(case == 27, F.lit(""))
+        .otherwise(line)
+        .alias("value")
+    )
+
+
 def as_text(raw: DataFrame) -> DataFrame:
     """A typed log as the text columns of a CSV file."""
     return raw.select(

@@ -19,30 +19,47 @@ def text_schema(columns: T.StructType) -> T.StructType:
 
 
 def read_raw_text(
-    spark: SparkSession, path: str, event_id: bool = False
+    spark: SparkSession,
+    path: str,
+    event_id: bool = False,
+    header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A raw CSV log as text columns, nothing parsed and nothing dropped.
 
-    The header must name the columns in order; a short line is filled with NULL.
+    A header must name the columns in order. A line with too many or too few fields, or with
+    a quote that is not closed, is in ``schema.MALFORMED`` as it stands; the clean stage
+    rejects it. With ``multi_line`` a quoted value may hold line breaks, but a file is then
+    read by one task, so by default each line is a request.
     """
     columns = schema.with_event_id(schema.RAW_LOG) if event_id else schema.RAW_LOG
     return (
-        spark.read.schema(text_schema(columns))
-        .option("header", True)
+        spark.read.schema(text_schema(columns).add(schema.MALFORMED, T.StringType()))
+        .option("header", header)
         .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", schema.MALFORMED)
+        .option("multiLine", multi_line)
+        # With fewer columns read, fields would not be counted.
+        .option("columnPruning", False)
         .csv(path)
     )
 
 
 def read_raw_log(
-    spark: SparkSession, path: str, fmt: str = "csv", event_id: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    event_id: bool = False,
+    header: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """A raw log. From CSV, latency and status are doubles, and values that do not parse
-    are rejected, with the reason, by the clean stage. Integer columns of Parquet files
-    of any width are read as BIGINT.
+    """A raw log. From CSV, latency and status are doubles, and malformed lines and values
+    that do not parse are rejected, with the reason, by the clean stage. Integer columns of
+    Parquet files of any width are read as BIGINT.
     """
     if fmt == "csv":
-        typed = parse_log(read_raw_text(spark, path, event_id))
+        typed = parse_log(read_raw_text(spark, path, event_id, header, multi_line))
         if event_id:
             typed = typed.withColumn("event_id", F.col("event_id").try_cast("bigint"))
         return typed

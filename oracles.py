@@ -99,12 +99,53 @@ def two(expression: str, name: str) -> str:
     return f'round_even({expression}, 2) AS "{name}"'
 
 
+LINES = """
+, texts AS (
+  SELECT event_id % 100 AS c, CAST(event_id AS VARCHAR) || ',' || CAST("timestamp" AS VARCHAR) AS a,
+    service, endpoint || ',' || response_time_ms || ',' || status_code AS b, error, event_id
+  FROM raw),
+lines AS (
+  SELECT *, CASE c WHEN 21 THEN a || ',' || service || ',' || b || ',' || error || ',x,"y,z"'
+      WHEN 22 THEN a || ',' || service || ',' || b
+      WHEN 23 THEN a || ',"' || service || ',' || b || ',' || error
+      WHEN 24 THEN CAST(event_id AS VARCHAR)
+      WHEN 25 THEN a || ',' || service || ',' || b || ',' || error || ',' END AS line,
+    CASE WHEN c IN (21, 25) THEN 'too_many_fields' WHEN c IN (22, 24) THEN 'too_few_fields'
+      WHEN c = 23 THEN 'open_quote' END AS line_reason
+  FROM texts WHERE c <> 27)
+"""
+
+# The log with latencies of up to 64 bits in three of a thousand rows.
+LARGE = """
+, large AS (
+  SELECT * REPLACE (CAST(CASE event_id % 1000 WHEN 1 THEN 4000000000
+      WHEN 2 THEN 200000000000000000 WHEN 3 THEN 9000000000000000000
+      ELSE response_time_ms END AS BIGINT) AS response_time_ms)
+  FROM clean)
+"""
+
+
+def digits(expression: str, name: str) -> str:
+    return f"printf('%.10e', CAST({expression} AS DOUBLE)) AS {name}"
+
+
 REPORTS = {
     # sources and sinks
     "src_raw_log": f"SELECT {RAW_COLUMNS} FROM raw",
     "src_clean_log": f"SELECT {CLEAN_COLUMNS} FROM clean",
     "sink_clean_roundtrip": f"SELECT {CLEAN_COLUMNS} FROM clean",
     # parsing, cleaning and quality
+    "malformed_lines": f"""
+        {LINES}
+        SELECT line, line_reason AS reject_reason FROM lines WHERE line_reason IS NOT NULL""",
+    "malformed_report": f"""
+        {LINES}
+        SELECT coalesce(line_reason, reason) AS reject_reason, count(*) AS rejected
+        FROM lines JOIN (SELECT event_id, {REASON} AS reason FROM raw) USING (event_id)
+        WHERE line_reason IS NOT NULL OR reason IS NOT NULL GROUP BY 1""",
+    "clean_from_lines": """
+        SELECT event_id, service, response_time_ms, status_code, error FROM clean
+        WHERE event_id % 100 NOT IN (21, 22, 23, 24, 25, 27)""",
     "parse_timestamps": """
         SELECT event_id,
           TRY_CAST(CASE WHEN event_id % 500 = 3 THEN 'x' ELSE '' END
@@ -265,6 +306,32 @@ REPORTS = {
           {six('lo + t.i * (hi - lo) / 50', 'bucket_end')},
           coalesce(c.n, 0) AS requests
         FROM range(1, 51) t(i) CROSS JOIN b LEFT JOIN c ON c.bucket = t.i""",
+    "large_latency_stats": f"""
+        {LARGE}
+        SELECT {digits(MEAN, 'mean_ms')}, {digits(MEDIAN, 'median_ms')},
+          {digits('stddev_samp(response_time_ms::DOUBLE)', 'std_ms')}, {digits(MEDIAN, 'p50_ms')},
+          {digits('quantile_cont(response_time_ms, 0.9)', 'p90_ms')}, {digits(P95, 'p95_ms')},
+          {digits('quantile_cont(response_time_ms, 0.99)', 'p99_ms')},
+          max(response_time_ms) AS max_ms, count(*) AS requests,
+          CAST(sum(response_time_ms::HUGEINT) AS VARCHAR) AS total_ms
+        FROM large""",
+    "large_latency_endpoints": f"""
+        {LARGE}
+        SELECT service, endpoint, CAST(sum(response_time_ms::HUGEINT) AS VARCHAR) AS total_ms,
+          {digits('sum(response_time_ms::HUGEINT)::DOUBLE / count(*)', 'mean_ms')},
+          {digits(MEDIAN, 'median_ms')}, {digits(P95, 'p95_ms')}, count(*) AS requests
+        FROM large GROUP BY 1, 2""",
+    "large_latency_histogram": f"""
+        {LARGE}
+        , b AS (SELECT min(response_time_ms)::HUGEINT AS lo, max(response_time_ms)::HUGEINT AS hi
+                FROM large),
+        c AS (SELECT least((response_time_ms::HUGEINT - lo) * 50 // (hi - lo) + 1, 50) AS bucket,
+                count(*) AS n FROM large, b GROUP BY 1)
+        SELECT CAST(t.i AS INT) AS bucket,
+          {digits('lo::DOUBLE + (t.i - 1) * ((hi - lo)::DOUBLE / 50)', 'bucket_start')},
+          {digits('lo::DOUBLE + t.i * ((hi - lo)::DOUBLE / 50)', 'bucket_end')},
+          coalesce(c.n, 0) AS requests
+        FROM range(1, 51) t(i) CROSS JOIN b LEFT JOIN c ON c.bucket = t.i""",
     # errors
     "overall_error_rate": f"""
         SELECT count(*) AS requests, {ERRORS} AS errors,
@@ -381,6 +448,31 @@ REPORTS = {
           (SELECT "hour" FROM h ORDER BY n DESC, "hour" LIMIT 1) AS busiest_hour,
           (SELECT "hour" FROM h ORDER BY n, "hour" LIMIT 1) AS quietest_hour
         FROM clean""",
+    # summaries that merge
+    "daily_percentiles_sketch": """
+        SELECT "date", count(*) AS requests, avg(response_time_ms) AS mean_ms,
+          min(response_time_ms) AS min_ms, quantile_disc(response_time_ms, 0.5) AS p50_ms,
+          quantile_disc(response_time_ms, 0.95) AS p95_ms,
+          quantile_disc(response_time_ms, 0.99) AS p99_ms, max(response_time_ms) AS max_ms
+        FROM clean GROUP BY 1""",
+    "endpoint_percentiles_sketch": """
+        SELECT service, endpoint, count(*) AS requests, avg(response_time_ms) AS mean_ms,
+          min(response_time_ms) AS min_ms, max(response_time_ms) AS max_ms
+        FROM clean GROUP BY 1, 2""",
+    "distinct_days_by_endpoint": """
+        SELECT service, endpoint, count(DISTINCT "date") AS distinct_days
+        FROM clean GROUP BY 1, 2""",
+    "distinct_keys_by_month": """
+        SELECT CAST(date_trunc('month', "date") AS DATE) AS "month",
+          count(DISTINCT service) AS distinct_services,
+          count(DISTINCT (service, endpoint)) AS distinct_endpoints
+        FROM clean GROUP BY 1""",
+    "top_endpoints": """
+        SELECT service, endpoint, count(*) AS requests FROM clean GROUP BY 1, 2
+        ORDER BY requests DESC, service, endpoint LIMIT 5""",
+    "top_users": """
+        SELECT user_id, count(*) AS requests FROM events GROUP BY 1
+        ORDER BY requests DESC, user_id LIMIT 20""",
     # load model
     "traffic_band": """
         SELECT "hour",
