@@ -2,7 +2,7 @@
 
     python -m loadglass clean  --raw RAW --clean CLEAN [--rejects R] [--csv C] [--tables T]
     python -m loadglass rollup --clean CLEAN --rollup ROLLUP
-    python -m loadglass report --rollup ROLLUP --tables T [--set static ...]
+    python -m loadglass report (--rollup ROLLUP | --clean CLEAN) --tables T [--set static ...]
 
 Run it with ``spark-submit`` on a cluster; ``--master`` is for local runs.
 """
@@ -10,7 +10,7 @@ Run it with ``spark-submit`` on a cluster; ``--master`` is for local runs.
 import argparse
 
 from loadglass.operators import cleaning
-from loadglass.plans import bundles, rollup
+from loadglass.plans import bundles, rollup, shared
 from loadglass.session import scratch_folder, session
 from loadglass.sources import logs
 
@@ -22,6 +22,14 @@ SETS = {
 }
 
 
+# The reports of each set that one scan of a clean log can make.
+SHARED = {
+    "published": shared.PUBLISHED,
+    "static": shared.STATIC,
+    "dashboard": shared.DASHBOARD,
+}
+
+
 def write_tables(tables: dict, folder: str) -> None:
     for name, table in tables.items():
         logs.write_table(table, f"{folder.rstrip('/')}/{name}")
@@ -52,6 +60,11 @@ def roll_up(spark, args) -> None:
 
 
 def report(spark, args) -> None:
+    if args.clean:
+        log = logs.read_clean_log(spark, args.clean)
+        names = dict.fromkeys(name for chosen in args.set for name in SHARED[chosen])
+        write_tables(shared.shared_tables(log, names), args.tables)
+        return
     log = rollup.read_rollup(spark, args.rollup)
     for chosen in args.set:
         write_tables(SETS[chosen](log), args.tables)
@@ -77,12 +90,16 @@ def main(argv: list[str] | None = None) -> None:
     command.set_defaults(run=roll_up)
 
     command = commands.add_parser("report")
-    command.add_argument("--rollup", required=True)
+    source = command.add_mutually_exclusive_group(required=True)
+    source.add_argument("--rollup")
+    source.add_argument("--clean", help="read once; for all sets but load-model")
     command.add_argument("--tables", required=True)
     command.add_argument("--set", nargs="+", choices=SETS, default=["static"])
     command.set_defaults(run=report)
 
     args = parser.parse_args(argv)
+    if args.run is report and args.clean and not set(args.set) <= set(SHARED):
+        parser.error(f"from a clean log only {', '.join(SHARED)}; others need a rollup")
     args.run(session(master=args.master), args)
 
 

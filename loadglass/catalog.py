@@ -5,6 +5,7 @@ to six digits here, because two engines may differ in the last bits of a percent
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,15 @@ from pyspark.sql import types as T
 
 from loadglass import schema
 from loadglass.functions.numeric import round_half_even
-from loadglass.operators import cleaning, heavy, histogram, incidents, quality, sampling
+from loadglass.operators import (
+    cleaning,
+    heavy,
+    histogram,
+    incidents,
+    quality,
+    sampling,
+    windows,
+)
 from loadglass.operators.aggregate import mean_latency, profile, quantile, totals
 from loadglass.plans import (
     bundles,
@@ -22,6 +31,7 @@ from loadglass.plans import (
     latency,
     peak,
     rollup,
+    shared,
     sketches,
     summary,
     traffic,
@@ -127,6 +137,38 @@ def large_latency_histogram(raw: DataFrame) -> DataFrame:
     return eleven_digits(histogram.latency_histogram(log), "bucket_start", "bucket_end")
 
 
+def shared_scan(name: str) -> Query:
+    """A report from the counts that one scan of the clean log makes for all reports."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        clean = cleaning.clean_log(events.raw_log(spark, folder))
+        scan = shared.SharedScan(clean, [*shared.REPORTS, *shared.WHOLE_LOG])
+        return six_digits(scan.table(name))
+
+    return query
+
+
+def incidents_by_window(log: DataFrame) -> DataFrame:
+    """Windows of each day of the log: an hour, one that overlaps with those of other days,
+    seven minutes, and one long after the log."""
+    spans = {
+        "hour": ("14 hours", "15 hours"),
+        "days": ("12 hours", "70 hours"),
+        "minutes": ("9 hours", "9 hours 7 minutes"),
+        "later": ("9000 days", "9001 days"),
+    }
+    days = log.select("date").distinct()
+    tables = [
+        days.selectExpr(
+            f"concat('{label} ', date) AS label",
+            f"CAST(date AS TIMESTAMP_NTZ) + INTERVAL {start} AS start",
+            f"CAST(date AS TIMESTAMP_NTZ) + INTERVAL {end} AS end",
+        )
+        for label, (start, end) in spans.items()
+    ]
+    return windows.incidents_by_window(log, reduce(DataFrame.unionByName, tables))
+
+
 def daily_cells(spark: SparkSession, folder: str) -> DataFrame:
     """The clean log as written cells."""
     path = scratch_folder(spark, "cells")
@@ -372,6 +414,10 @@ QUERIES: dict[str, Query] = {
     # dashboards
     "kpis": over_clean_unrounded(summary.kpis),
     "summary_dashboard": over_clean_unrounded(summary.summary_dashboard),
+    # one scan for all reports
+    "kpis_shared_scan": shared_scan("kpis"),
+    "endpoint_performance_shared_scan": shared_scan("endpoint_performance"),
+    "error_heatmap_shared_scan": shared_scan("error_heatmap"),
     # summaries that merge
     "daily_percentiles_sketch": daily_percentiles_sketch,
     "endpoint_percentiles_sketch": endpoint_percentiles_sketch,
@@ -389,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "error_code_mix": over_clean_unrounded(expectations.error_code_mix),
     # incidents and samples
     "incident_window": over_raw(incidents.incident_window),
+    "incidents_by_window": over_clean(incidents_by_window),
     "sample_n": over_raw(sample_n),
     "sample_fraction": over_raw(sample_fraction),
 }

@@ -1,7 +1,8 @@
 """The report sets a run delivers, by name.
 
 All of them take a clean log or, better, its rollup: with a rollup the log itself
-is read once however many reports are made.
+is read once however many reports are made. Without one, ``shared`` reads it once for
+all reports of the static report and the dashboard.
 """
 
 from pyspark.sql import DataFrame

@@ -11,11 +11,13 @@ from loadglass.operators.aggregate import (
     P95,
     P99,
     error_count,
+    frequency,
     mean_latency,
     narrowed,
     profile_columns,
     quantile,
     request_count,
+    totals,
 )
 from loadglass.operators.cleaning import well_formed, whole_numbers
 from loadglass.plans.errors import error_percent
@@ -89,15 +91,25 @@ def _latency_and_time(log: DataFrame, *time_keys: str) -> DataFrame:
     )
 
 
+def latency_and_time(by_latency: DataFrame, by_time: DataFrame, *time_keys: str) -> DataFrame:
+    """The rows of ``_latency_and_time`` from two logs of the same requests: one that has
+    their latencies, one that has the time keys."""
+    frequencies = frequency(by_latency)
+    times = totals(by_time, *time_keys).select(
+        *time_keys, F.col("requests").alias("time_requests")
+    )
+    return frequencies.unionByName(times, allowMissingColumns=True)
+
+
 def _days() -> Column:
     """The number of days; the set is bounded by the calendar."""
     return F.size(F.collect_set("date")).cast("long")
 
 
-def _whole_log(log: DataFrame) -> DataFrame:
+def _whole_log(counts: DataFrame) -> DataFrame:
     """Everything the two dashboards' figures need, in one row."""
     return (
-        narrowed(_latency_and_time(log, "date", "hour"), quantiles=[P95])
+        narrowed(counts, quantiles=[P95])
         .agg(
             *profile_columns([P95]),
             _days().alias("total_days"),
@@ -108,7 +120,12 @@ def _whole_log(log: DataFrame) -> DataFrame:
 
 
 def kpis(log: DataFrame) -> DataFrame:
-    return _whole_log(log).select(
+    return kpis_from(_latency_and_time(log, "date", "hour"))
+
+
+def kpis_from(counts: DataFrame) -> DataFrame:
+    """From counts per latency and, apart from them, per date and hour."""
+    return _whole_log(counts).select(
         F.col("requests").alias("total_requests"),
         "total_days",
         ratio(F.col("requests"), F.col("total_days")).alias("avg_daily"),
@@ -123,7 +140,12 @@ def kpis(log: DataFrame) -> DataFrame:
 
 
 def summary_dashboard(log: DataFrame) -> DataFrame:
-    return _whole_log(log).select(
+    return summary_dashboard_from(_latency_and_time(log, "date", "hour"))
+
+
+def summary_dashboard_from(counts: DataFrame) -> DataFrame:
+    """From counts per latency and, apart from them, per date and hour."""
+    return _whole_log(counts).select(
         F.col("requests").alias("total_requests"),
         "total_days",
         ratio(F.col("requests"), F.col("total_days")).alias("avg_daily_requests"),

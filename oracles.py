@@ -473,6 +473,18 @@ REPORTS = {
     "top_users": """
         SELECT user_id, count(*) AS requests FROM events GROUP BY 1
         ORDER BY requests DESC, user_id LIMIT 20""",
+    "incidents_by_window": f"""
+        , w AS (SELECT k || ' ' || "date" AS label, "date"::TIMESTAMP + s AS "start",
+                  "date"::TIMESTAMP + e AS "end"
+                FROM (SELECT DISTINCT "date" FROM clean) CROSS JOIN (VALUES
+                  ('hour', INTERVAL 14 HOUR, INTERVAL 15 HOUR),
+                  ('days', INTERVAL 12 HOUR, INTERVAL 70 HOUR),
+                  ('minutes', INTERVAL 540 MINUTE, INTERVAL 547 MINUTE),
+                  ('later', INTERVAL 9000 DAY, INTERVAL 9001 DAY)) v(k, s, e))
+        SELECT label, "start", "end", count(event_id) AS requests, {ERRORS} AS errors,
+          {six(f'{RATE} * 100', 'error_rate')}, {six(MEAN, 'mean_ms')}
+        FROM w LEFT JOIN clean ON "timestamp" >= "start" AND "timestamp" < "end"
+        GROUP BY 1, 2, 3""",
     # load model
     "traffic_band": """
         SELECT "hour",
@@ -548,5 +560,8 @@ REPORTS["daily_metrics_via_rollup"] = REPORTS["daily_metrics"]
 REPORTS["sorted_csv_roundtrip"] = REPORTS["clean_log"]
 for table in ["endpoint_performance", "daily_metrics", "hourly_metrics"]:
     REPORTS[f"{table}_roundtrip"] = REPORTS[table]
+for report in ["kpis", "endpoint_performance"]:
+    REPORTS[f"{report}_shared_scan"] = REPORTS[report]
+REPORTS["error_heatmap_shared_scan"] = REPORTS["error_heatmap_wide"]
 
 ORACLES = {name: f"{BASE}{sql}" for name, sql in REPORTS.items()}
