@@ -137,6 +137,11 @@ TITLES = [
     "version [0-9][a-z0-9 ]{0,25}", "http www apache org licenses", "(?:the )?unlicense",
     "creative commons legal code", "cc0 1 0 universal", "license", "all rights reserved",
 ]
+TITLE_LINES = rf"^(?:(?:{'|'.join(TITLES)})\n)+"
+# Spellings whose words may be on two lines.
+TERM_SPELLINGS = [
+    ("holder", "owner"), ("noncommercial", "non commercial"), ("sublicens", "sub licens"),
+]
 # A word that each full text has.
 LICENSE_WORD = "(?i)software|licen[sc]e"
 ANCHOR_WORDS = 3
@@ -177,10 +182,9 @@ def _terms(text: Column) -> Column:
     lines = F.filter(lines, lambda line: line != "all rights reserved")
     # Spellings of several words, which a line may end in, by words of their own.
     whole = F.array_join(lines, "\n")
-    for old, new in [("holder", "owner"), ("noncommercial", "non commercial"), ("sublicens", "sub licens")]:
+    for old, new in TERM_SPELLINGS:
         whole = F.replace(whole, F.lit(old), F.lit(new))
-    titles = F.lit(rf"^(?:(?:{'|'.join(TITLES)})\n)+")
-    return F.split(F.regexp_replace(whole, titles, ""), "\n", -1)
+    return F.split(F.regexp_replace(whole, F.lit(TITLE_LINES), ""), "\n", -1)
 
 
 def _runs(terms: Column, texts: list[tuple[str, int, int]]) -> Column:
@@ -351,46 +355,77 @@ def scan_licenses(documents: DataFrame, known: DataFrame | None = None) -> DataF
 
 
 def scan_sql(documents: str = "documents") -> str:
-    """:func:`scan_licenses` in DuckDB's SQL, with the lists joined by commas.
-
-    It has no full texts but the four of ``LICENSES``, and none across paragraphs.
-    """
+    """:func:`scan_licenses` in DuckDB's SQL, with the lists joined by commas, and with texts
+    themselves in place of their 64-bit digests."""
 
     def quote(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
-    def canonical(text: str) -> str:
+    def canonical(text: str, gone: str = COPYRIGHT_LINE) -> str:
         text = f"translate({text}, '{UPPER}', '{UPPER.lower()}')"
-        text = f"regexp_replace({text}, {quote(COPYRIGHT_LINE)}, '\\1', 'g')"
+        text = f"regexp_replace({text}, {quote(gone)}, '\\1', 'g')"
         for old, new in SPELLINGS:
             text = f"replace({text}, {quote(old)}, {quote(new)})"
         text = f"regexp_replace({text}, {quote(PUNCTUATION)}, ' ', 'g')"
         return f"list_transform(string_split({text}, chr(10)), lambda x: trim(x))"
 
+    def terms(text: str) -> str:
+        lines = (
+            f"list_filter({canonical(text, STATEMENT)}, "
+            "lambda x: x <> '' AND x <> 'all rights reserved')"
+        )
+        whole = f"array_to_string({lines}, chr(10))"
+        for old, new in TERM_SPELLINGS:
+            whole = f"replace({whole}, '{old}', '{new}')"
+        return f"string_split(regexp_replace({whole}, {quote(TITLE_LINES)}, ''), chr(10))"
+
+    def values(texts: list[tuple]) -> str:
+        return ", ".join(f"({', '.join(map(quote, map(str, row)))})" for row in texts)
+
     digest = "md5(array_to_string(list_filter(lines, lambda x: x <> ''), ' '))"
-    values = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in known_texts())
     return f"""
-WITH known AS (
-    SELECT DISTINCT license, {digest} AS digest
-    FROM (SELECT license, {canonical('text')} AS lines FROM (VALUES {values}) AS t(license, text))
+WITH known_terms AS (
+    SELECT DISTINCT license, alone = 'True' AS alone, array_to_string({terms('text')}, ' ') AS t
+    FROM (VALUES {values(full_texts())}) AS t(license, text, alone)
+), known AS (
+    SELECT license, {digest} AS digest FROM (
+        SELECT license, {canonical('text')} AS lines
+        FROM (VALUES {values(known_texts())}) AS t(license, text))
+    UNION
+    SELECT license, md5(t) FROM known_terms
 ), canonical AS (
-    SELECT row_number() OVER () AS row_no, doc_id, {canonical("coalesce(text, '')")} AS lines
+    SELECT row_number() OVER () AS row_no, doc_id, {canonical("coalesce(text, '')")} AS lines,
+        CASE WHEN regexp_matches(text, {quote(LICENSE_WORD)}) THEN {terms('text')} END AS terms
     FROM {documents}
 ), whole AS (
-    SELECT row_no, doc_id, {digest} AS digest, list_concat(lines, list_transform(
-        regexp_split_to_array(array_to_string(lines, chr(10)), '\\n\\n+'),
-        lambda x: replace(x, chr(10), ' '))) AS units
+    SELECT row_no, doc_id, {digest} AS digest, md5(array_to_string(terms, ' ')) AS terms_digest,
+        terms, list_concat(lines, list_transform(
+            regexp_split_to_array(array_to_string(lines, chr(10)), '\\n\\n+'),
+            lambda x: replace(x, chr(10), ' '))) AS units
     FROM canonical
 ), units AS (
     SELECT row_no, digest FROM whole
     UNION ALL
+    SELECT row_no, terms_digest FROM whole WHERE terms IS NOT NULL
+    UNION ALL
     SELECT row_no, md5(trim(unit)) FROM (SELECT row_no, unnest(units) AS unit FROM whole)
     WHERE trim(unit) <> ''
+), runs AS (
+    SELECT row_no, license
+    FROM (SELECT row_no, terms, unnest(range(1, len(terms) + 1)) AS place FROM whole)
+    JOIN known_terms ON alone AND split_part(terms[place], ' ', 1) = split_part(t, ' ', 1)
+    WHERE starts_with(array_to_string(terms[place:], ' ') || ' ', t || ' ')
 ), found AS (
     SELECT row_no, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
         count(DISTINCT license) AS n
-    FROM units JOIN known USING (digest) GROUP BY row_no
-), exact AS (SELECT digest, min(license) AS license FROM known GROUP BY digest)
+    FROM (SELECT row_no, license FROM units JOIN known USING (digest)
+          UNION ALL SELECT row_no, license FROM runs)
+    GROUP BY row_no
+), exact AS (
+    SELECT row_no, min(license) AS license
+    FROM whole w JOIN known k ON k.digest = w.digest OR k.digest = w.terms_digest
+    GROUP BY row_no
+)
 SELECT doc_id, digest, license, coalesce(licenses, '') AS licenses,
     CAST(coalesce(n, 0) AS BIGINT) AS n_licenses
-FROM whole LEFT JOIN found USING (row_no) LEFT JOIN exact USING (digest)"""
+FROM whole LEFT JOIN found USING (row_no) LEFT JOIN exact USING (row_no)"""

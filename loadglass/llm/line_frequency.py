@@ -32,8 +32,6 @@ MAX_REPEAT_PERCENT = 50
 
 # A line is boilerplate in more than this many documents of a host, however large the host.
 MAX_DOCUMENTS = 20
-# The share that the SQL also asks for.
-MAX_DOCUMENT_SHARE = 0.05
 # A document is depleted with a smaller share of its words left. How many words it needs
 # is judged by the base rules, before lines go: a short text is not worse for a menu line.
 MIN_SHARE_LEFT = 0.3
@@ -250,16 +248,9 @@ def cleaned(
     return kept.select(*documents.columns)
 
 
-def judge_sql(
-    documents: str = "documents",
-    max_documents: int = MAX_DOCUMENTS,
-    max_share: float = MAX_DOCUMENT_SHARE,
-) -> str:
-    """:func:`judge` by source in DuckDB's SQL, with lines themselves in place of hashes.
-
-    It always asks for a share, and tells documents by their longest line, so it spares
-    more on hosts of over ``max_documents / max_share`` documents or with such lines.
-    """
+def judge_sql(documents: str = "documents", max_documents: int = MAX_DOCUMENTS) -> str:
+    """:func:`judge` by source in DuckDB's SQL, with lines themselves in place of their
+    hashes."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     space = r"[\x20\x09-\x0D]"
     normal = (
@@ -285,18 +276,12 @@ WITH docs AS (
         len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
     FROM (SELECT rn, host, unnest(string_split(body, chr(10))) AS line FROM docs)
 ), counted AS (
-    SELECT rn, count(*) - count(DISTINCT line) AS repeats,
-        arg_max(normal, (strlen(line), normal)) AS owner
+    SELECT rn, count(*) - count(DISTINCT line) AS repeats
     FROM lines WHERE n > 0 GROUP BY rn
-), owners AS (
-    SELECT rn, host, coalesce(owner, '') AS owner FROM docs LEFT JOIN counted USING (rn)
-), hosts AS (
-    SELECT host, count(DISTINCT owner) AS documents FROM owners GROUP BY host
 ), boilerplate AS (
-    SELECT l.host, l.normal FROM lines l JOIN owners o USING (rn)
-    JOIN hosts h ON h.host IS NOT DISTINCT FROM l.host
+    SELECT l.host, l.normal FROM lines l JOIN docs d USING (rn)
     WHERE l.n > 0 GROUP BY l.host, l.normal
-    HAVING count(DISTINCT o.owner) > greatest({max_documents}, {max_share} * any_value(documents))
+    HAVING count(DISTINCT md5(d.body)) > {max_documents}
 ), removed AS (
     SELECT rn, sum(n) AS n FROM lines l
     JOIN boilerplate b ON b.host IS NOT DISTINCT FROM l.host AND b.normal = l.normal
