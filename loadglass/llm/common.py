@@ -4,7 +4,7 @@ A document is known by ``doc_id`` and the hash of its text together, so rows tha
 repeat an id with another text stay apart, and rows that repeat both share a result.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import and_
 
@@ -22,6 +22,9 @@ cloudpickle.register_pickle_by_value(loadglass)
 # Texts that a Python worker turns into objects at a time.
 ROWS_AT_ONCE = 256
 
+# Numbers that are folded into an array at a time.
+FOLD = 512
+
 # Columns of our own beside those of an input begin with two underscores.
 TEXT_HASH = "__text_hash"
 ROWS = "__rows"
@@ -47,6 +50,54 @@ def text_hash(column: str = "text") -> Column:
     return F.xxhash64(F.col(column))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` has it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums_before_few(numbers: Column) -> Column:
+    return F.aggregate(
+        numbers,
+        F.struct(F.lit(0).alias("sum"), F.expr("cast(array() as array<int>)").alias("sums")),
+        lambda done, x: F.struct(
+            (done["sum"] + x).alias("sum"),
+            F.concat(done["sums"], F.array(done["sum"])).alias("sums"),
+        ),
+        lambda done: done["sums"],
+    )
+
+
+def sums_before(numbers: Column) -> Column:
+    """For each int of an array the sum of those before it.
+
+    A fold copies what it holds at each step, so numbers are folded in blocks, and then the
+    sums of the blocks: the time grows as the numbers do.
+    """
+    blocks = F.when(
+        F.size(numbers) > 0,
+        F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / FOLD).cast("int")),
+            lambda block: F.slice(numbers, block * FOLD + 1, F.lit(FOLD)),
+        ),
+    ).otherwise(F.expr("cast(array() as array<array<int>>)"))
+
+    def shifted(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, b: a + b))
+        return let(
+            _sums_before_few(sums),
+            lambda before: F.flatten(
+                F.transform(
+                    blocks,
+                    lambda block, at: F.transform(
+                        _sums_before_few(block), lambda x: x + F.get(before, at)
+                    ),
+                )
+            ),
+        )
+
+    return let(blocks, shifted)
+
+
 def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """A join on equal keys, null to null, that keeps the keys of the left side once."""
     other = {key: f"{key}__right" for key in keys}

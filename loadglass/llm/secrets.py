@@ -11,7 +11,7 @@ of that owner. Generic spans are added only for values that look live.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadglass.llm.common import TEXT_HASH, match, text_hash, written
+from loadglass.llm.common import TEXT_HASH, let, match, sums_before, text_hash, written
 
 # ---- Fixed values: the published patterns, in order, and their least lengths -----
 ASSIGN = (
@@ -47,37 +47,26 @@ def _spans(text: Column, pattern: str, rank: int, keep, value) -> Column:
 
     The places follow from the lengths of what stands between the matches.
     """
-    between = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.expr(f"named_struct('at', 0, 'spans', cast(array() as array<{SPAN}>))")
+    none = F.expr(f"cast(array() as array<{SPAN}>)")
+
+    def spans(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
+        pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
+        lengths = F.transform(pairs, lambda x: F.length(x["gap"]) + F.length(x["hit"]))
+        placed = F.arrays_zip(let(lengths, sums_before).alias("at"), gaps.alias("gap"), hits.alias("hit"))
+        return F.transform(
+            F.filter(placed, lambda x: keep(x["hit"])),
+            lambda x: F.struct(
+                (x["at"] + F.length(x["gap"])).alias("start"),
+                F.lit(rank).alias("rank"),
+                (x["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"),
+                value(x["hit"]).alias("value"),
+            ),
+        )
+
     # Texts that hold no match, which are most, are scanned once and not taken apart.
-    walked = F.aggregate(
-        F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("gap"), found.alias("hit")),
-        empty,
-        lambda done, x: F.struct(
-            (done["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-            F.when(
-                keep(x["hit"]),
-                F.concat(
-                    done["spans"],
-                    F.array(
-                        F.struct(
-                            (done["at"] + F.length(x["gap"])).alias("start"),
-                            F.lit(rank).alias("rank"),
-                            (done["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"),
-                            value(x["hit"]).alias("value"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(done["spans"])
-            .alias("spans"),
-        ),
-        lambda done: done["spans"],
-    )
-    return F.when(F.rlike(text, F.lit(pattern)), walked).otherwise(
-        F.expr(f"cast(array() as array<{SPAN}>)")
-    )
+    walked = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
+    return F.when(F.rlike(text, F.lit(pattern)), walked).otherwise(none)
 
 
 def find_spans(text: Column) -> tuple[Column, Column]:
@@ -111,12 +100,17 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 def scan_secrets(documents: DataFrame, owner: Column, repository: Column) -> DataFrame:
     """Per row of ``documents`` (doc_id, text and what owner and repository are made of):
-    doc_id, ``base`` spans, ``generic`` spans of live-looking values, and ``holders``:
-    of each value found its hash, repositories, owners and whether it looks live.
-
-    Spans are (start, rank, end, value) in code points, end exclusive, in order. Null and
-    empty texts have none. Repeated rows have equal spans and count as one holder.
-    Without documents there are no rows.
+    doc_id, ``base`` spans, ``base_live``, whether the value of each of these looks live,
+    ``generic`` spans of live-looking values, and ``holders``: of each value found its hash,
+    repositories, owners and whether it looks live.
+
+    Owners alone decide: an owner's credential may be in all of their repositories, whose
+    number is told beside it. Spans are (start, rank, end, value) in code points, end
+    exclusive, in order. Null and empty texts have none; ``base_live`` and ``holders`` are
+    null without a span. Very long texts are scanned whole, in time that grows as their
+    length and number of spans. Repeated rows have equal spans and count as one holder. Only
+    doc_id, text and what owner and repository are made of are read, so other columns may
+    have any name. Without documents there are no rows.
     """
     base, generic = find_spans(F.coalesce("text", F.lit("")))
     scanned = written(
@@ -137,7 +131,7 @@ def scan_secrets(documents: DataFrame, owner: Column, repository: Column) -> Dat
         .distinct(),
         "secrets-candidates",
     )
-    held = ownership(candidates)
+    held = written(ownership(candidates), "secrets-owners")
     holders = (
         candidates.select(*key, "value_hash")
         .distinct()
@@ -149,15 +143,30 @@ def scan_secrets(documents: DataFrame, owner: Column, repository: Column) -> Dat
             ).alias("holders")
         )
     )
-    live = F.transform(
-        F.filter(F.coalesce("holders", F.array()), lambda x: x["live"]), lambda x: x["value_hash"]
+    # Each span meets the verdict on its value in a join: a look through all values of a text
+    # for each of its spans would be quadratic.
+    spans = ["start", "rank", "end", "value"]
+    judged = (
+        scanned.select(*key, F.inline(F.concat("base", "generic")))
+        .distinct()
+        .withColumn("value_hash", F.xxhash64("value"))
+        .join(held.select("value_hash", "live"), "value_hash")
+        .groupBy(*key)
+        .agg(F.array_sort(F.collect_list(F.struct(*spans, "live"))).alias("judged"))
+    )
+    generic = F.transform(
+        F.filter("judged", lambda x: (x["rank"] == F.lit(len(KINDS))) & x["live"]),
+        lambda x: F.struct(*(x[name].alias(name) for name in spans)),
+    )
+    base_live = F.transform(
+        F.filter("judged", lambda x: x["rank"] < len(KINDS)), lambda x: x["live"]
     )
-    return match(scanned.drop("owner", "repository"), holders, key).select(
+    found = match(scanned.drop("owner", "repository", "generic"), holders, key)
+    return match(found, judged, key).select(
         "doc_id",
         "base",
-        F.filter(
-            "generic", lambda span: F.array_contains(live, F.xxhash64(span["value"]))
-        ).alias("generic"),
+        base_live.alias("base_live"),
+        F.coalesce(generic, F.expr(f"cast(array() as array<{SPAN}>)")).alias("generic"),
         "holders",
     )
 
