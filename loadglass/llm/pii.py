@@ -10,9 +10,15 @@ all documents, different ones stay different, and without the key nothing leads
 
 Check digits are set anew, so the pseudonym of a valid card is a valid card; a date
 becomes a date of the same notation in the years 1800 to 2199, one cycle of the calendar.
+
+Dates are year first or last, with ``-``, ``/`` or ``.`` between their parts. With the year
+last, ``.`` and ``-`` put the day first. With ``/`` the month is first, where that gives a
+date, else the day. So that no two dates share a pseudonym, those that only day first can
+read, whose day is above 12, are permuted among themselves: the day among 13 to 28, or kept
+above, and the year; the month stays.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ---- Fixed values: formats ---------------------------------------------------------
@@ -22,8 +28,9 @@ EMAIL = (
 )
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 DATE = (
-    r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
-    r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9])"
+    r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}"
+    r"|[0-9]{4}\.[0-9]{2}\.[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
+    r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}-[0-9]{2}-[0-9]{4})(?![0-9])"
 )
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (
@@ -37,7 +44,12 @@ CARD = (
     r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
 )
 # Notations of DATE: pattern of the text, and of the date in it.
-DATE_NOTATIONS = [("%-%-%", "yyyy-MM-dd"), ("%/%/%", "MM/dd/yyyy"), ("%.%.%", "dd.MM.yyyy")]
+DATE_NOTATIONS = [
+    ("____-__-__", "yyyy-MM-dd"), ("____/__/__", "yyyy/MM/dd"), ("____.__.__", "yyyy.MM.dd"),
+    ("__/__/____", "MM/dd/yyyy"), ("__.__.____", "dd.MM.yyyy"), ("__-__-____", "dd-MM-yyyy"),
+]
+# Read as day first where it is no date with the month first.
+DAY_FIRST = ("__/__/____", "dd/MM/yyyy")
 # The Gregorian calendar repeats after 400 years of 27 * 5411 days.
 CYCLE_START = "1800-01-01"
 CYCLE = (27, 5411)
@@ -54,12 +66,12 @@ ALPHABETS = [DIGITS, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
 PHONE_ALPHABETS = ["23456789", "01"]
 
 
-def _shifted(half: Column, other: Column, key: str, label: Column, sign: int) -> Column:
+def _shifted(half: Column, other: Column, key: Column, label: Column, sign: int) -> Column:
     """The numbers of ``half``, each moved by a keyed hash of ``other`` within its size."""
     seen = F.array_join(F.transform(other, lambda x: x["value"].cast("string")), ",")
 
     def move(x: Column, at: Column) -> Column:
-        hashed = F.sha2(F.concat_ws("|", F.lit(key), label, at, seen), 256)
+        hashed = F.sha2(F.concat_ws("|", key, label, at, seen), 256)
         step = F.pmod(F.conv(F.substring(hashed, 1, 15), 16, 10).cast("long"), x["size"])
         return F.struct(
             F.pmod(x["value"] + sign * step, x["size"]).cast("int").alias("value"),
@@ -69,10 +81,11 @@ def _shifted(half: Column, other: Column, key: str, label: Column, sign: int) ->
     return F.transform(half, move)
 
 
-def feistel(numbers: Column, key: str, kind: Column, undo: bool = False) -> Column:
+def feistel(numbers: Column, key: Column, kind: Column, undo: bool = False) -> Column:
     """A keyed permutation of lists of (value, size) that keeps all sizes.
 
-    Rounds move the left and the right half in turn; ``undo`` takes them back.
+    Rounds move the left and the right half in turn; ``undo`` takes them back. A literal as
+    the key would be in the query's plan; ``hidden`` gives one that is not.
     """
     middle = F.floor(F.size(numbers) / 2).cast("int")
     halves = F.struct(
@@ -117,8 +130,19 @@ def _date(hit: Column) -> Column:
     for like, notation in DATE_NOTATIONS:
         day = F.to_date(F.try_to_timestamp(hit, F.lit(notation)))
         parsed = F.when(hit.like(like), day).otherwise(parsed)
-    days = F.datediff(parsed, F.lit(CYCLE_START).cast("date"))
-    return F.when((days >= 0) & (days < CYCLE[0] * CYCLE[1]), parsed)
+    return _in_cycle(parsed)
+
+
+def _in_cycle(day: Column) -> Column:
+    days = F.datediff(day, F.lit(CYCLE_START).cast("date"))
+    return F.when((days >= 0) & (days < CYCLE[0] * CYCLE[1]), day)
+
+
+def _day_first(hit: Column) -> Column:
+    """The date of a hit that only day first can read: its day is above 12."""
+    like, notation = DAY_FIRST
+    day = _in_cycle(F.to_date(F.try_to_timestamp(hit, F.lit(notation))))
+    return F.when(hit.like(like) & (F.substr(hit, F.lit(1), F.lit(2)) > "12"), day)
 
 
 def kind_of(hit: Column) -> Column:
@@ -132,7 +156,10 @@ def kind_of(hit: Column) -> Column:
             F.rlike(hit, F.lit(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$")),
             F.when(F.forall(octets, lambda x: x < 256), "ip"),
         )
-        .when(F.rlike(hit, F.lit(f"^(?:{DATE})$")), F.when(_date(hit).isNotNull(), "date"))
+        .when(
+            F.rlike(hit, F.lit(f"^(?:{DATE})$")),
+            F.when(_date(hit).isNotNull() | _day_first(hit).isNotNull(), "date"),
+        )
         .when(
             F.rlike(hit, F.lit(f"^(?:{SSN})$")),
             F.when(
@@ -195,9 +222,24 @@ def _numbers(hit: Column, kind: Column, coded: Column) -> Column:
     def part(at: int) -> Column:
         return F.split(hit, "-")[at].cast("int")
 
+    def digits(first: int, size: int) -> Column:
+        return F.substr(hit, F.lit(first), F.lit(size)).cast("int")
+
     days = F.datediff(_date(hit), F.lit(CYCLE_START).cast("date"))
+    # Days 13 to 28 are in every month and year; those above stay, as does the month, and as
+    # the 29th of February is not in each year, so does its year.
+    first_year, years = int(CYCLE_START[:4]), 400
+    day, month, year = digits(1, 2), digits(4, 2), digits(7, 4) - first_year
+    leap = (day == 29) & (month == 2)
     return (
-        F.when(kind == "ip", F.transform(F.split(hit, r"\."), lambda x: number(x, 256)))
+        F.when(
+            (kind == "date") & _day_first(hit).isNotNull(),
+            F.array(
+                number(F.when(day <= 28, day - 13).otherwise(0), F.when(day <= 28, 16).otherwise(1)),
+                number(F.when(leap, 0).otherwise(year), F.when(leap, 1).otherwise(years)),
+            ),
+        )
+        .when(kind == "ip", F.transform(F.split(hit, r"\."), lambda x: number(x, 256)))
         .when(
             kind == "date",
             F.array(
@@ -248,6 +290,17 @@ def _rendered(hit: Column, kind: Column, coded: Column, moved: Column) -> Column
     date = F.date_format(day, DATE_NOTATIONS[0][1])
     for like, notation in DATE_NOTATIONS[1:]:
         date = F.when(hit.like(like), F.date_format(day, notation)).otherwise(date)
+    later = F.substr(hit, F.lit(1), F.lit(2)).cast("int")
+    turned = F.format_string(
+        "%02d/%s/%04d",
+        F.when(later <= 28, value(0) + 13).otherwise(later),
+        F.substr(hit, F.lit(4), F.lit(2)),
+        F.when(
+            (later == 29) & (F.substr(hit, F.lit(4), F.lit(2)) == "02"),
+            F.substr(hit, F.lit(7), F.lit(4)).cast("int"),
+        ).otherwise(value(1) + int(CYCLE_START[:4])),
+    )
+    date = F.when(_day_first(hit).isNotNull(), turned).otherwise(date)
     area = value(0) + F.when(value(0) + 1 >= 666, 2).otherwise(1)
     head = F.substr(chars, F.lit(1), F.length(chars) - 1)
     return (
@@ -259,20 +312,31 @@ def _rendered(hit: Column, kind: Column, coded: Column, moved: Column) -> Column
     )
 
 
+def hidden(spark: SparkSession, key: str) -> Column:
+    """The key as a value that plans, their explanations and logs do not show: whoever has it
+    can undo every pseudonym."""
+    return spark.createDataFrame([(key,)], "key string").scalar()
+
+
 def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     """Per row of ``documents`` (doc_id, text): doc_id, ``text`` with pseudonyms, and
     ``found``: of each value its kind and its pseudonym, in order.
 
     What looks like a format but is not valid stays, as does all other text. Null texts
-    stay null and empty ones empty; both have nothing found. Equal rows, like equal
-    values, have equal results. No rows give no rows.
+    stay null and empty ones empty; both have nothing found. Very long texts are read whole.
+    Equal rows, like equal values, have equal results. Only doc_id and text are read, so other
+    columns may have any name. No rows give no rows.
     """
     def each(column: str, name: str, value) -> Column:
         """The structs of an array with one field more."""
         return F.transform(column, lambda x: x.withField(name, value(x)))
 
+    # A column, as functions of arrays cannot have a subquery.
+    secret = F.col("__key")
     holds = F.rlike("text", F.lit(PATTERN))
-    rows = documents.select("doc_id", "text").withColumn(
+    rows = documents.select(
+        "doc_id", "text", hidden(documents.sparkSession, key).alias("__key")
+    ).withColumn(
         "hits",
         F.when(
             holds,
@@ -287,7 +351,7 @@ def pseudonymise(documents: DataFrame, key: str) -> DataFrame:
     rows = rows.withColumn(
         "hits", each("hits", "moved", lambda x: _numbers(x["hit"], x["kind"], x["coded"]))
     )
-    rows = rows.withColumn("hits", each("hits", "moved", lambda x: feistel(x["moved"], key, x["kind"])))
+    rows = rows.withColumn("hits", each("hits", "moved", lambda x: feistel(x["moved"], secret, x["kind"])))
     rows = rows.withColumn(
         "hits",
         F.transform(
