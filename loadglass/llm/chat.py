@@ -147,7 +147,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
     Turns stand in order of turn, role and content, nulls first, so ties and repeated
     rows have one result. A null role is empty, null parts and texts are empty text, an
     unknown kind of part is an attachment. Null conv_ids are one conversation. A
-    conversation is one row of the result, so its turns are gathered; no turns give no
+    conversation is one row of the result, so its turns are gathered, and very long texts
+    stay whole. Only the four columns are read, so others may have any name. No turns give no
     rows.
     """
     row = F.struct("turn", "role", "content", "head", "attachments", "tokens")

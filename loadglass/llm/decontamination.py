@@ -326,8 +326,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Null and wordless texts have no words and no hits. Items without words never match;
     null item ids match but are not listed or counted. Repeated rows get equal results
-    each, copies of an item all count. Without documents there are no rows, without
-    items no hits.
+    each, copies of an item all count. Very long texts are read whole, word by word. Only the
+    ids and texts of both tables are read, so other columns may have any name. Without
+    documents there are no rows, without items no hits.
     """
     rows, hits, index = find_windows(documents, benchmark)
     hits = written(hits, "decontamination-hits")

@@ -309,8 +309,9 @@ def scan_licenses(documents: DataFrame, known: DataFrame | None = None) -> DataF
 
     Null and empty texts have the digest of nothing, which is no licence. Repeated rows
     have equal results. A digest of two licences gives the smaller name as ``license``.
-    ``known`` (digest, unit, license) are the built-in texts unless given; no rows give no
-    rows.
+    Very long texts are read whole. Only doc_id and text are read, so other columns may have
+    any name. ``known`` (digest, unit, license) are the built-in texts unless given; no rows
+    give no rows.
     """
     known = (known or known_digests(documents.sparkSession)).select(
         F.col("digest").alias("known_digest"), "unit", "license"

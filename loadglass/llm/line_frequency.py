@@ -173,8 +173,9 @@ def judge(
     A line in more than ``max_documents`` documents of its host is removed; ``max_share``,
     where it is given, spares those that are in no larger share of them.
     Null and empty texts have no words and fail. A null host is a host of its own.
-    Repeated rows get the same result each and count as one document. Without documents
-    there are no rows.
+    Repeated rows get the same result each and count as one document. Very long texts and
+    lines are read whole. Only doc_id, text and the host are read, so other columns may have
+    any name. Without documents there are no rows.
     """
     scanned = written(_scan(documents, host), "line-frequency")
     limits = written(_boilerplate(scanned, max_documents, max_share), "boilerplate")
@@ -222,7 +223,8 @@ def cleaned(
     """The kept rows of ``documents`` with all their columns, without the lines that are
     above the limits; ``n_chars``, where it is a column, follows the text.
 
-    The cases of :func:`judge` apply; equal rows are kept or rejected together.
+    The cases of :func:`judge` apply; equal rows are kept or rejected together. Columns that
+    begin with two underscores are the operator's; others may have any name.
     """
     gone = "__removed_lines"
     verdicts = (

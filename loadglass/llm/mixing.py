@@ -210,8 +210,10 @@ def mix(documents: DataFrame) -> DataFrame:
 
     Null and empty texts have size 0 and count as their source's documents. A null source
     is a source. Equal rows take as many copies together as their rates ask for, and which
-    of them takes one more does not matter. Without words nothing is taken. The same rows
-    in any order give the same mix.
+    of them takes one more does not matter. A very long text is one document, whose size
+    counts in full. Only doc_id, text and source are read, so other columns may have any name.
+    Without words nothing is taken, without documents there are no rows. The same rows in any
+    order give the same mix.
     """
     rows = _planned(documents, F.xxhash64("text")).withColumn(
         "k", F.explode(F.expr("sequence(1L, n)"))
@@ -227,7 +229,8 @@ def mixed(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that the mix takes, each as often as it takes it, with
     all their columns.
 
-    The cases of :func:`mix` apply. Documents without words are never taken.
+    The cases of :func:`mix` apply. Documents without words are never taken. Columns that
+    begin with two underscores are the operator's; others may have any name.
     """
     tie = F.xxhash64(*documents.columns)
     times = "__times"

@@ -205,6 +205,13 @@ def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sharding_small(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards of a size at which the given documents split many times over."""
+    return sharding.assign(read_table(spark, folder, "documents"), SMALL_SHARD)
+
+
+SMALL_SHARD = 5_000
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -219,10 +226,12 @@ QUERIES: dict[str, Query] = {
     "op11_vector_codes": op11_vector_codes,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_bpe": op13_bpe,
+    "sharding_small": sharding_small,
 }
 
 ORACLES: dict[str, str] = {
     "op1_sharding": sharding.assign_sql(),
+    "sharding_small": sharding.assign_sql(SMALL_SHARD),
     "op2_decontamination": decontamination.decontaminate_sql(),
     "op3_licenses": licenses.scan_sql(),
     "op9_line_frequency": line_frequency.judge_sql(),

@@ -246,7 +246,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     Texts without words have fingerprint zero and link like any other. Repeated rows
     stay rows of their own. A null doc_id is never the smallest unless a component has no
-    other; then component_id is null. No documents give no rows.
+    other; then component_id is null. Very long texts are read whole. Only doc_id and text
+    are read, so other columns may have any name. No documents give no rows.
     """
     prints = written(
         documents.select(
@@ -276,7 +277,8 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
     """One row of each component of ``documents``, with all its columns: the one with the
     smallest doc_id. Of several rows with this id one stays, whichever text it has.
 
-    The cases of :func:`near_duplicates` apply.
+    The cases of :func:`near_duplicates` apply. Columns that begin with two underscores are
+    the operator's; others may have any name.
     """
     key = ["doc_id", TEXT_HASH]
     picked = (

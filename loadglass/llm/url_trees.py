@@ -214,8 +214,9 @@ def judge_urls(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES)
 
     ``labelled`` (url, label) trains the trees; unless given, hosts with a seed word are
     the bad examples and all other hosts the good ones. Null URLs and such without
-    ``://`` have empty host and path and are judged like any other. Repeated rows have
-    equal results; no rows give no rows.
+    ``://`` have empty host and path and are judged like any other, and so are very long ones.
+    Repeated rows have equal results. Only page_id and url are read, so other columns may have
+    any name, those of features too. No rows give no rows.
     """
     urls = pages.select("page_id", "url").withColumns(
         {"host": host_of(F.col("url")), "path": path_of(F.col("url"))}

@@ -574,3 +574,22 @@ def test_empty_tables(spark):
 
 def test_queries_are_named_by_operator():
     assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+
+
+def test_other_columns_of_pages_items_and_turns(spark, folder):
+    """Columns with names that the operators use change no result."""
+    names = ["host", "path", "score", "rule", "features", "probability", "suffix", "label",
+             "weight", "head", "content", "tokens", "rows", "words", "shingle", "at", "hits"]
+
+    def more(frame):
+        return frame.select("*", *(F.lit(None).cast("string").alias(n) for n in names if n not in frame.columns))
+
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    assert counted(url_trees.judge_urls(more(pages)).collect()) == counted(url_trees.judge_urls(pages).collect())
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").withColumn("parts", chat.text_parts(F.col("text")))
+    as_rows = lambda frame: sorted(map(str, frame.collect()))
+    assert as_rows(chat.format_chats(more(turns))) == as_rows(chat.format_chats(turns))
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    expected = as_rows(decontamination.decontaminate(docs, benchmark))
+    assert as_rows(decontamination.decontaminate(more(docs), more(benchmark))) == expected

@@ -5,6 +5,7 @@ from collections import Counter
 import brute
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from loadglass.llm import sharding
 
@@ -70,3 +71,33 @@ def test_run_is_the_stages(spark, folder, states):
     run = corpus_pipeline.run(spark, folder)
     assert Counter(rows(run)) == Counter(rows(states[5]))
     assert sharding.MAX_BYTES == 64 << 20
+
+
+def test_awkward_documents_pass_all_stages(spark, folder, edge_documents, tmp_path):
+    """Each stage works on null and empty texts, repeated rows and other columns, and on none."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = [c for c in edge_documents.columns]
+    extra = [F.lit(None).cast(edge_documents.schema[c].dataType).alias(c) for c in columns if c not in docs.columns]
+    for name, given in [("edge", edge_documents), ("none", edge_documents.limit(0)),
+                        ("both", docs.select("*", *extra).select(columns).unionByName(edge_documents))]:
+        state = given
+        for stage, function in corpus_pipeline.STAGES:
+            path = str(tmp_path / f"{name}-{stage}")
+            function(spark, state, folder).write.parquet(path)
+            state = spark.read.parquet(path)
+            if stage != "shards":
+                assert state.columns == columns
+        assert (state.count() > 0) == (name != "none")
+
+
+def test_stages_without_benchmark_items(spark, folder, documents, tmp_path):
+    spark.read.parquet(f"{folder}/benchmark.parquet").limit(0).write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = corpus_pipeline.benchmark_decontamination(spark, documents, str(tmp_path))
+    assert Counter(rows(kept)) == Counter(rows(documents))
+
+
+def test_stages_take_null_and_repeated_rows(spark, folder, edge_documents):
+    once = corpus_pipeline.near_duplicates(spark, edge_documents, folder)
+    assert once.where("text IS NULL OR text = ''").count() <= 1
+    clean = corpus_pipeline.benchmark_decontamination(spark, edge_documents, folder)
+    assert clean.where("text IS NULL").count() == edge_documents.where("text IS NULL").count()
