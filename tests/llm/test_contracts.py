@@ -573,7 +573,8 @@ def test_empty_tables(spark):
 
 
 def test_queries_are_named_by_operator():
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    named = [name.split("_")[0] for name in queries.QUERIES if name.startswith("op")]
+    assert named == [f"op{n}" for n in range(1, 14)]
 
 
 def test_other_columns_of_pages_items_and_turns(spark, folder):
