@@ -110,10 +110,14 @@ def eleven_digits(result: DataFrame, *names: str) -> DataFrame:
 def large_latency_stats(raw: DataFrame) -> DataFrame:
     """Totals and spread of a log with latencies of up to 64 bits."""
     log = cleaning.clean_log(events.with_large_latencies(raw))
-    figures = latency.response_time_stats(log)
-    total = totals(log).select("requests", F.col("total_ms").cast("string"))
+    total = totals(log).select(F.struct("requests", "total_ms")).scalar()
+    figures = latency.response_time_stats(log).withColumn("total", total)
     return eleven_digits(
-        figures.crossJoin(total),
+        figures.select(
+            "*",
+            F.col("total.requests").alias("requests"),
+            F.col("total.total_ms").cast("string").alias("total_ms"),
+        ).drop("total"),
         "mean_ms", "median_ms", "std_ms", "p50_ms", "p90_ms", "p95_ms", "p99_ms",
     )
 
@@ -139,13 +143,13 @@ def large_latency_histogram(raw: DataFrame) -> DataFrame:
 
 def shared_scan(name: str) -> Query:
     """A report from the counts that one scan of the clean log makes for all reports."""
+    return over_clean(
+        lambda log: shared.SharedScan(log, [*shared.REPORTS, *shared.WHOLE_LOG]).table(name)
+    )
 
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        clean = cleaning.clean_log(events.raw_log(spark, folder))
-        scan = shared.SharedScan(clean, [*shared.REPORTS, *shared.WHOLE_LOG])
-        return six_digits(scan.table(name))
 
-    return query
+def shared_scan_unrounded(name: str) -> Query:
+    return lambda spark, folder: six_digits(shared_scan(name)(spark, folder))
 
 
 def incidents_by_window(log: DataFrame) -> DataFrame:
@@ -415,9 +419,9 @@ QUERIES: dict[str, Query] = {
     "kpis": over_clean_unrounded(summary.kpis),
     "summary_dashboard": over_clean_unrounded(summary.summary_dashboard),
     # one scan for all reports
-    "kpis_shared_scan": shared_scan("kpis"),
+    "kpis_shared_scan": shared_scan_unrounded("kpis"),
     "endpoint_performance_shared_scan": shared_scan("endpoint_performance"),
-    "error_heatmap_shared_scan": shared_scan("error_heatmap"),
+    "error_heatmap_shared_scan": shared_scan_unrounded("error_heatmap"),
     # summaries that merge
     "daily_percentiles_sketch": daily_percentiles_sketch,
     "endpoint_percentiles_sketch": endpoint_percentiles_sketch,

@@ -72,6 +72,8 @@ def wide_sum(value: Column, count: Column) -> Column:
     Three sums of BIGINT cost less than one of decimals, whose buffers are objects.
     """
 
+    value = value.cast("long")
+
     def part(low: int, width: int) -> Column:
         bits = F.shiftright(value, low)
         if low + width < 64:
@@ -224,7 +226,7 @@ def spread_columns(middle: str) -> list[Column]:
     same sign. So all sums are exact for any latencies, and none cancels another one.
     """
     count = F.col("requests").cast("decimal(18,0)")
-    apart = F.col(LATENCY) - F.col(middle)
+    apart = F.col(LATENCY).cast("long") - F.col(middle)
     high = F.signum(apart).cast("bigint") * F.shiftright(F.abs(apart), 32)
     low = apart - high * F.lit(1 << 32)
 

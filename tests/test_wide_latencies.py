@@ -44,6 +44,15 @@ def test_deviation(make_clean, latencies):
     assert row["max_ms"] == max(latencies)
 
 
+@pytest.mark.parametrize("kind", ["smallint", "int", "bigint"])
+def test_narrower_columns_give_the_same(spark, kind):
+    values = [5, 7, 30_000, 12]
+    log = spark.createDataFrame([(v, False) for v in values], f"response_time_ms {kind}, error boolean")
+    assert aggregate.totals(log).first()["total_ms"] == sum(values)
+    row = latency.response_time_stats(log).first()
+    assert row["std_ms"] == pytest.approx(statistics.stdev(values), rel=1e-12)
+
+
 def test_one_request_has_no_deviation(make_clean):
     assert latency.response_time_stats(log_of(make_clean, [7])).first()["std_ms"] is None
     assert latency.response_time_stats(log_of(make_clean, [])).first()["std_ms"] is None
