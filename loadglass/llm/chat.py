@@ -16,6 +16,8 @@ away restores it.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadglass.llm.common import let, sums_before
+
 # ---- Fixed values: the template --------------------------------------------------
 START = "<|im_start|>"
 END = "<|im_end|>"
@@ -161,28 +163,14 @@ def format_chats(turns: DataFrame) -> DataFrame:
     def piece(row: Column) -> Column:
         return F.concat(row["head"], row["content"], F.lit(END + "\n"))
 
-    none = F.expr("cast(array() as array<struct<start: int, length: int>>)")
-    spans = F.aggregate(
-        "rows",
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda done, row: F.struct(
-            (done["at"] + F.length(piece(row))).alias("at"),
-            F.when(
-                row["role"] == LEARNT_ROLE,
-                F.concat(
-                    done["spans"],
-                    F.array(
-                        F.struct(
-                            (done["at"] + F.length(row["head"])).alias("start"),
-                            F.length(row["content"]).alias("length"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(done["spans"])
-            .alias("spans"),
+    lengths = F.transform("rows", lambda row: F.length(piece(row)))
+    placed = F.arrays_zip(let(lengths, sums_before).alias("at"), F.col("rows").alias("row"))
+    spans = F.transform(
+        F.filter(placed, lambda x: x["row"]["role"] == LEARNT_ROLE),
+        lambda x: F.struct(
+            (x["at"] + F.length(x["row"]["head"])).alias("start"),
+            F.length(x["row"]["content"]).alias("length"),
         ),
-        lambda done: done["spans"],
     )
     attachments = F.flatten(
         F.transform(
