@@ -10,7 +10,7 @@ Run it with ``spark-submit`` on a cluster; ``--master`` is for local runs.
 import argparse
 
 from loadglass.operators import cleaning
-from loadglass.plans import bundles, rollup, shared
+from loadglass.plans import bundles, gathered, rollup, shared
 from loadglass.session import scratch_folder, session
 from loadglass.sources import logs
 
@@ -45,14 +45,19 @@ def clean(spark, args) -> None:
     raw = logs.read_raw_log(spark, args.raw, args.format)
     if args.format == "csv":
         raw = staged(raw, scratch_folder(spark, "staged"))
-    logs.write_clean_log(cleaning.clean_log(raw), args.clean)
+    log = cleaning.clean_log(raw)
+    kept, removed = gathered.clean_metrics(log.columns), gathered.reject_metrics()
+    logs.write_clean_log(log, args.clean, watch=kept.on)
     if args.rejects:
-        cleaning.rejected_log(raw).write.mode("overwrite").parquet(args.rejects)
+        removed.on(cleaning.rejected_log(raw)).write.mode("overwrite").parquet(args.rejects)
     if args.csv:
         logs.write_sorted_csv_log(logs.read_clean_log(spark, args.clean), args.csv)
     if args.tables:
         written = logs.read_clean_log(spark, args.clean)
-        write_tables(bundles.clean_report(raw, written), args.tables)
+        tables = bundles.clean_report(raw, written)
+        if args.rejects:
+            tables |= gathered.tables(spark, kept, removed)
+        write_tables(tables, args.tables)
 
 
 def roll_up(spark, args) -> None:

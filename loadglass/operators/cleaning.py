@@ -16,6 +16,11 @@ TOO_FEW_FIELDS = "too_few_fields"
 OPEN_QUOTE = "open_quote"
 UNPARSABLE_LATENCY = "unparsable_response_time"
 
+REASONS = [
+    TOO_MANY_FIELDS, TOO_FEW_FIELDS, OPEN_QUOTE, INVALID_TIMESTAMP, NEGATIVE_LATENCY,
+    INVALID_STATUS, NULL_LATENCY, UNPARSABLE_LATENCY,
+]
+
 # From here on a latency is no BIGINT. A double can hold this bound exactly.
 LATENCY_LIMIT = float(2**63)
 

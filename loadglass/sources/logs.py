@@ -1,7 +1,7 @@
 """Request logs in CSV or Parquet, always read with a fixed schema."""
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +129,7 @@ def write_clean_log(
     path: str,
     keep_other_days: bool = False,
     days: Sequence[datetime.date] = (),
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """A clean log as Parquet by date, sorted by time within each file.
 
@@ -136,9 +137,10 @@ def write_clean_log(
     ``days``, which become empty if the log has no rows for them.
     ``rebalance`` lets adaptive execution cut a day that holds much of the log
     into several tasks of even size, and merge small days.
+    ``watch`` sees the rows in the last stage of the write, see ``plans.gathered``.
     """
     (
-        log.hint("rebalance", "date")
+        watch(log.hint("rebalance", "date"))
         .sortWithinPartitions("date", "timestamp")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if keep_other_days else "static")
