@@ -28,6 +28,7 @@ from loadglass.plans import (
     endpoints,
     errors,
     expectations,
+    gathered,
     latency,
     peak,
     rollup,
@@ -38,6 +39,7 @@ from loadglass.plans import (
 )
 from loadglass.session import scratch_folder
 from loadglass.sources import events, logs
+from loadglass.streaming import rollup_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -341,8 +343,51 @@ def published_roundtrip(name: str) -> Query:
     return query
 
 
+def gathered_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """What the writes of the clean log and of its rejects gather."""
+    raw = events.raw_log(spark, folder)
+    clean = cleaning.clean_log(raw)
+    kept, removed = gathered.clean_metrics(clean.columns), gathered.reject_metrics()
+    logs.write_clean_log(clean, scratch_folder(spark, "clean"), watch=kept.on)
+    removed.on(cleaning.rejected_log(raw)).write.parquet(scratch_folder(spark, "rejects"))
+    return gathered.tables(spark, kept, removed)
+
+
+def gathered_table(name: str) -> Query:
+    return lambda spark, folder: six_digits(gathered_tables(spark, folder)[name])
+
+
+def streamed(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """The raw log delivered as files, streamed into a rollup and rejects: their folders."""
+    files, path, rejects, checkpoint = (
+        scratch_folder(spark, f"stream-{name}")
+        for name in ["raw", "rollup", "rejects", "checkpoint"]
+    )
+    logs.write_csv_log(events.raw_log(spark, folder).drop("event_id").repartition(4), files)
+    stream = rollup_stream.read_raw_stream(spark, files, files_per_batch=2)
+    query = rollup_stream.start_rollup(stream, path, checkpoint, rejects=rejects, fan_in=2)
+    query.awaitTermination()
+    return path, rejects
+
+
+def daily_metrics_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    path, _ = streamed(spark, folder)
+    return latency.daily_metrics(rollup.read_rollup(spark, path))
+
+
+def reject_report_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    path, rejects = streamed(spark, folder)
+    rows = rollup_stream.read_rejects(spark, path, rejects)
+    return rows.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rejected"))
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
+    "daily_metrics_streamed": daily_metrics_streamed,
+    "reject_report_streamed": reject_report_streamed,
+    "null_counts_gathered": gathered_table("null_counts"),
+    "removal_summary_gathered": gathered_table("removal_summary"),
+    "reject_report_gathered": gathered_table("reject_report"),
     "src_raw_log": src_raw_log,
     "src_clean_log": src_clean_log,
     "sink_clean_roundtrip": sink_clean_roundtrip,

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from loadglass import schema
 from loadglass.functions.calendar import day_name, is_peak
 from loadglass.operators.aggregate import request_count
+from loadglass.sources.ledger import live_folders
 from loadglass.sources.logs import empty_days
 
 KEYS = [
@@ -65,6 +66,15 @@ def write_rollup(
     empty_days(rolled, path, days)
 
 
+def read_folders(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
+    """Those of the ``folders`` of a rollup, by date below each of them."""
+    reader = spark.read.schema(ROLLUP).option("basePath", path)
+    return reader.parquet(*folders).select(ROLLUP.names)
+
+
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """A written rollup as input for the reports."""
-    return with_calendar(spark.read.schema(ROLLUP).parquet(path).select(ROLLUP.names))
+    """A written rollup as input for the reports, by days or, from a stream, by batches."""
+    folders = live_folders(spark, path)
+    if folders == []:
+        raise ValueError(f"the ledger of {path} has no batch")
+    return with_calendar(read_folders(spark, path, folders or [path]))

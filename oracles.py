@@ -557,6 +557,10 @@ REPORTS = {
 }
 
 REPORTS["daily_metrics_via_rollup"] = REPORTS["daily_metrics"]
+for table in ["daily_metrics", "reject_report"]:
+    REPORTS[f"{table}_streamed"] = REPORTS[table]
+for table in ["null_counts", "removal_summary", "reject_report"]:
+    REPORTS[f"{table}_gathered"] = REPORTS[table]
 REPORTS["sorted_csv_roundtrip"] = REPORTS["clean_log"]
 for table in ["endpoint_performance", "daily_metrics", "hourly_metrics"]:
     REPORTS[f"{table}_roundtrip"] = REPORTS[table]
