@@ -33,6 +33,8 @@ PATCH_PIXELS = 14
 AUDIO_TOKENS_A_SECOND = 25
 DOCUMENT_TOKENS_A_PAGE = 256
 CHARACTERS_A_TOKEN = 4
+# Code points of a text that a span is looked for in.
+BLOCK = 1024
 
 PART = (
     "struct<kind: string, text: string, ref: string, width: int, height: int, "
@@ -204,9 +206,22 @@ def read_back(chats: DataFrame) -> DataFrame:
         lambda role: unescape(F.replace(role, F.lit(LINE_IN_ROLE), F.lit("\n"))),
     )
     texts = F.transform(F.regexp_extract_all("formatted", pattern, F.lit(2)), unescape)
-    learnt = F.transform(
-        "loss_spans",
-        lambda span: unescape(F.substr("formatted", span["start"] + 1, span["length"])),
+
+    # The place of a code point is found by counting from the beginning, so spans are cut
+    # from the few blocks that they are in and not from the whole text.
+    blocks = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def cut(blocks: Column, span: Column) -> Column:
+        inside = span["start"] % BLOCK
+        number = F.floor(span["start"] / BLOCK).cast("int") + 1
+        count = F.floor((inside + span["length"]) / BLOCK).cast("int") + 1
+        return F.substr(
+            F.array_join(F.slice(blocks, number, count), ""), inside + 1, span["length"]
+        )
+
+    learnt = let(
+        blocks,
+        lambda blocks: F.transform("loss_spans", lambda span: unescape(cut(blocks, span))),
     )
     return chats.withColumns(
         {

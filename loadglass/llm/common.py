@@ -25,6 +25,9 @@ ROWS_AT_ONCE = 256
 # Numbers that are folded into an array at a time.
 FOLD = 512
 
+# Copies of a row that one task makes at a time.
+COPIES = 4096
+
 # Columns of our own beside those of an input begin with two underscores.
 TEXT_HASH = "__text_hash"
 ROWS = "__rows"
@@ -55,23 +58,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _sums_before_few(numbers: Column) -> Column:
+Combine = Callable[[Column, Column], Column]
+
+
+def _folded_before_few(numbers: Column, start: Column, combine: Combine, kind: str) -> Column:
     return F.aggregate(
         numbers,
-        F.struct(F.lit(0).alias("sum"), F.expr("cast(array() as array<int>)").alias("sums")),
-        lambda done, x: F.struct(
-            (done["sum"] + x).alias("sum"),
-            F.concat(done["sums"], F.array(done["sum"])).alias("sums"),
+        F.struct(
+            start.alias("done"), F.expr(f"cast(array() as array<{kind}>)").alias("before")
         ),
-        lambda done: done["sums"],
+        lambda state, x: F.struct(
+            combine(state["done"], x).alias("done"),
+            F.concat(state["before"], F.array(state["done"])).alias("before"),
+        ),
+        lambda state: state["before"],
     )
 
 
-def sums_before(numbers: Column) -> Column:
-    """For each int of an array the sum of those before it.
+def folded_before(numbers: Column, start: Column, combine: Combine, kind: str) -> Column:
+    """For each number of an array, of the type ``kind``, those before it, combined; ``start``
+    is neutral.
 
-    A fold copies what it holds at each step, so numbers are folded in blocks, and then the
-    sums of the blocks: the time grows as the numbers do.
+    A fold copies what it holds at each step, so numbers are folded in blocks, and then what
+    the blocks come to: the time grows as the numbers do.
     """
     blocks = F.when(
         F.size(numbers) > 0,
@@ -79,17 +88,18 @@ def sums_before(numbers: Column) -> Column:
             F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / FOLD).cast("int")),
             lambda block: F.slice(numbers, block * FOLD + 1, F.lit(FOLD)),
         ),
-    ).otherwise(F.expr("cast(array() as array<array<int>>)"))
+    ).otherwise(F.expr(f"cast(array() as array<array<{kind}>>)"))
 
     def shifted(blocks: Column) -> Column:
-        sums = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, b: a + b))
+        whole = F.transform(blocks, lambda block: F.aggregate(block, start, combine))
         return let(
-            _sums_before_few(sums),
+            _folded_before_few(whole, start, combine, kind),
             lambda before: F.flatten(
                 F.transform(
                     blocks,
                     lambda block, at: F.transform(
-                        _sums_before_few(block), lambda x: x + F.get(before, at)
+                        _folded_before_few(block, start, combine, kind),
+                        lambda x: combine(F.get(before, at), x),
                     ),
                 )
             ),
@@ -98,6 +108,39 @@ def sums_before(numbers: Column) -> Column:
     return let(blocks, shifted)
 
 
+def sums_before(numbers: Column) -> Column:
+    """For each int of an array the sum of those before it."""
+    return folded_before(numbers, F.lit(0), lambda a, b: a + b, "int")
+
+
+def greatest_before(numbers: Column) -> Column:
+    """For each long of an array, none below 0, the greatest of those before it, or -1."""
+    return folded_before(numbers, F.lit(-1).cast("long"), lambda a, b: F.greatest(a, b), "bigint")
+
+
+def repeated(rows: DataFrame, times: str, number: str, keys: list[str]) -> DataFrame:
+    """Each row as often as its column ``times`` says, numbered from 1 in ``number``.
+
+    Copies go to the tasks in blocks of ``COPIES``, by block and ``keys``, so that no task has
+    all copies of a row. It shuffles the rows, so it is for the few that have many copies.
+    """
+    block = "__block"
+    return (
+        rows.where(F.col(times) > 0)
+        .withColumn(block, F.explode(F.expr(f"sequence(0L, ({times} - 1) div {COPIES})")))
+        .repartition(block, *keys)
+        .withColumn(
+            number,
+            F.explode(
+                F.expr(
+                    f"sequence({block} * {COPIES} + 1, least({times}, ({block} + 1) * {COPIES}))"
+                )
+            ),
+        )
+        .drop(block)
+    )
+
+
 def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """A join on equal keys, null to null, that keeps the keys of the left side once."""
     other = {key: f"{key}__right" for key in keys}
@@ -108,16 +151,24 @@ def match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left")
     return left.join(right, condition, how).drop(*other.values())
 
 
-def chosen(documents: DataFrame, picked: DataFrame, keys: list[str]) -> DataFrame:
+def chosen_parts(
+    documents: DataFrame, picked: DataFrame, keys: list[str]
+) -> tuple[DataFrame, DataFrame]:
     """The rows of ``documents``, which have the ``keys``, that ``picked`` has, one for
     each; ``picked`` also has ``ROWS``, how many rows have this key, and its other columns
-    are added.
+    are added. First those of one row, then those of several.
 
     Only keys of several rows need their rows together.
     """
     alone = match(documents, picked.where(F.col(ROWS) == 1), keys, "inner")
     several = match(documents, picked.where(F.col(ROWS) > 1), keys, "inner")
-    return alone.unionByName(several.dropDuplicates(keys)).drop(ROWS)
+    return alone.drop(ROWS), several.dropDuplicates(keys).drop(ROWS)
+
+
+def chosen(documents: DataFrame, picked: DataFrame, keys: list[str]) -> DataFrame:
+    """Both parts of :func:`chosen_parts`."""
+    alone, several = chosen_parts(documents, picked, keys)
+    return alone.unionByName(several)
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

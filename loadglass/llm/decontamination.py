@@ -23,12 +23,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from loadglass.llm.common import TEXT_HASH, match, slices, text_hash, written
+from loadglass.llm.common import (
+    TEXT_HASH,
+    greatest_before,
+    let,
+    match,
+    slices,
+    text_hash,
+    written,
+)
 
 # ---- Fixed values: what the published rule counts as a word and as contaminated --
 WINDOW_WORDS = 13
@@ -319,6 +327,30 @@ def find_windows(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame,
     return scanned.drop("places"), hits, index
 
 
+def merge_spans(spans: Column) -> Column:
+    """Spans in order (first, last), joined where they touch.
+
+    A span is the first of a joined one if it begins beyond all spans before it; what those
+    reach is where the joined one before it ends.
+    """
+    lasts = F.transform(spans, lambda span: span["last"])
+    heads = F.filter(
+        F.arrays_zip(spans.alias("span"), let(lasts, greatest_before).alias("reach")),
+        lambda x: x["span"]["first"] > x["reach"],
+    )
+
+    def closed(heads: Column) -> Column:
+        return F.transform(
+            heads,
+            lambda head, at: F.struct(
+                head["span"]["first"].alias("first"),
+                F.coalesce(F.get(heads, at + 1)["reach"], F.array_max(lasts)).alias("last"),
+            ),
+        )
+
+    return let(heads, closed)
+
+
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``documents`` (doc_id, text), against ``benchmark`` (item_id, text):
     doc_id, the hash of its text, n_words, n_hit, n_items, item_ids (sorted as strings), spans (merged, word
@@ -333,23 +365,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows, hits, index = find_windows(documents, benchmark)
     hits = written(hits, "decontamination-hits")
     key = ["doc_id", TEXT_HASH]
-    # Spans in order, each joined to the one before if they touch.
-    merged = F.aggregate(
-        F.array_sort(F.flatten(F.collect_set("spans"))),
-        F.expr("cast(array() as array<struct<first: bigint, last: bigint>>)"),
-        lambda done, span: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["last"] >= span["first"]),
-            F.concat(
-                F.slice(done, F.lit(1), F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["first"].alias("first"),
-                        F.greatest(F.element_at(done, -1)["last"], span["last"]).alias("last"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(span))),
-    )
+    merged = let(F.array_sort(F.flatten(F.collect_set("spans"))), merge_spans)
     covered = hits.groupBy(*key).agg(merged.alias("spans"))
     items = (
         hits.select(*key, "anchor")

@@ -25,7 +25,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadglass.llm.common import ROWS, TEXT_HASH, chosen, match, written
+from loadglass.llm.common import (
+    COPIES,
+    ROWS,
+    TEXT_HASH,
+    chosen_parts,
+    match,
+    repeated,
+    written,
+)
 
 # ---- Fixed values: the published mix ----------------------------------------------
 WORD = r"[^\x20\x09-\x0D]+"
@@ -215,8 +223,11 @@ def mix(documents: DataFrame) -> DataFrame:
     Without words nothing is taken, without documents there are no rows. The same rows in any
     order give the same mix.
     """
-    rows = _planned(documents, F.xxhash64("text")).withColumn(
-        "k", F.explode(F.expr("sequence(1L, n)"))
+    planned = written(_planned(documents, F.xxhash64("text")), "mixing-plan")
+    few = planned.where(F.col("n") <= COPIES)
+    many = planned.where(F.col("n") > COPIES)
+    rows = few.withColumn("k", F.explode(F.expr("sequence(1L, n)"))).unionByName(
+        repeated(many, "n", "k", ["doc_id", "source", "tie"])
     )
     copies = F.col("copies") + F.when(F.col("k") <= F.col("extra"), 1).otherwise(0)
     return rows.withColumn("copies", copies).select(
@@ -248,8 +259,11 @@ def mixed(documents: DataFrame) -> DataFrame:
         .drop("size"),
         "mixing-taken",
     )
-    rows = chosen(
-        documents.withColumn(TEXT_HASH, tie), taken, ["doc_id", "source", TEXT_HASH]
-    )
-    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
-    return rows.select(*documents.columns, repeated.alias("__copy")).drop("__copy")
+    keys = ["doc_id", "source", TEXT_HASH]
+    alone, several = chosen_parts(documents.withColumn(TEXT_HASH, tie), taken, keys)
+    copy = "__copy"
+    # A row of its own is taken three times at most; equal rows may be any number.
+    copies = alone.withColumn(
+        copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
+    ).unionByName(repeated(several, times, copy, keys))
+    return copies.select(*documents.columns)

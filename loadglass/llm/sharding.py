@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadglass.llm.common import written
+from loadglass.llm.common import repeated, written
 
 # 64 MiB: large enough for sequential reads, small enough to shuffle in memory.
 MAX_BYTES = 64 << 20
@@ -109,13 +109,10 @@ def placed(keyed: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
     ).select(F.col("key").alias("key__full"))
     rows = rows.join(full, F.col("key") == F.col("key__full"), "left")
     page = F.expr(f"(k - 1) div greatest(1, {max_bytes} div greatest(1, bytes))")
-    paged = (
-        rows.where("key__full IS NOT NULL")
-        .groupBy(*columns, "depth")
-        .agg(F.count("*").alias("n"))
-        .withColumn("k", F.explode(F.expr("sequence(1L, n)")))
-        .select(*columns, "depth", page.alias("page"))
+    counted = (
+        rows.where("key__full IS NOT NULL").groupBy(*columns, "depth").agg(F.count("*").alias("n"))
     )
+    paged = repeated(counted, "n", "k", ["key"]).select(*columns, "depth", page.alias("page"))
     bits = F.lpad(F.bin("key"), KEY_BITS, "0")
     return (
         rows.where("key__full IS NULL")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loadglass.llm import (
     chat,
+    common,
     decontamination,
     licenses,
     line_frequency,
@@ -53,6 +54,35 @@ def test_decontamination(spark, docs, folder):
     ) == counted((doc_id, *brute.contamination(text, windows)) for doc_id, text in pairs(docs))
 
 
+@pytest.mark.parametrize("step", [1, 13, 20])
+def test_many_spans_of_one_text_merge_in_linear_time(spark, step):
+    count = 100_000
+    row = spark.range(1).select(
+        F.expr(
+            f"transform(sequence(0L, {count - 1}L), "
+            f"x -> named_struct('first', x * {step}, 'last', x * {step} + 13))"
+        ).alias("spans")
+    )
+    start = time.perf_counter()
+    merged = row.select(
+        common.let(F.col("spans"), decontamination.merge_spans).alias("spans")
+    ).first()["spans"]
+    assert time.perf_counter() - start < 20
+    if step <= 13:
+        assert [tuple(x) for x in merged] == [(0, (count - 1) * step + 13)]
+    else:
+        assert [tuple(x) for x in merged] == [(n * step, n * step + 13) for n in range(count)]
+
+
+def test_spans_merge_where_they_touch(spark):
+    spans = [(0, 5), (1, 2), (3, 9), (9, 10), (11, 12), (11, 30), (14, 15), (31, 32)]
+    rows = spark.createDataFrame(
+        [(spans,), ([],)], "spans array<struct<first: long, last: long>>"
+    )
+    got = rows.select(decontamination.merge_spans(F.col("spans")).alias("spans")).collect()
+    assert [tuple(x) for x in got[0][0]] == [(0, 10), (11, 30), (31, 32)] and got[1][0] == []
+
+
 def test_decontamination_without_items(spark, edge_documents):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     rows = decontamination.decontaminate(edge_documents, benchmark).collect()
@@ -307,6 +337,25 @@ def test_equal_rows_go_on_pages(spark, tmp_path):
     assert counted(back.select("doc_id", "text").collect()) == counted(rows)
 
 
+def test_equal_rows_are_spread_over_tasks(spark, monkeypatch, tmp_path):
+    """Blocks of a few copies give the same pages, copies and mix as one block."""
+    rows = [(None, None, "a")] * 40 + [(1, "same text here", "a")] * 50 + [(2, "other", "b")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    whole = [sharding.assign(docs, 30), mixing.mix(docs), mixing.mixed(docs)]
+    whole = [counted(frame.collect()) for frame in whole]
+    monkeypatch.setattr(common, "COPIES", 4)
+    monkeypatch.setattr(mixing, "COPIES", 4)
+    blocks = [sharding.assign(docs, 30), mixing.mix(docs), mixing.mixed(docs)]
+    assert [counted(frame.collect()) for frame in blocks] == whole
+    numbers = common.repeated(
+        docs.distinct().withColumn("times", F.lit(10).cast("long")), "times", "number", ["doc_id"]
+    )
+    got = counted(numbers.select("doc_id", "number").collect())
+    assert got == counted((doc, n) for doc in (None, 1, 2) for n in range(1, 11))
+    none = docs.withColumn("times", F.lit(0).cast("long"))
+    assert common.repeated(none, "times", "number", ["doc_id"]).isEmpty()
+
+
 def test_licenses(spark, edge_documents):
     texts = {name: text for name, text in licenses.LICENSES.items()}
     rows = [(n, text.upper().replace(",", " , ")) for n, text in enumerate(texts.values())]
@@ -523,6 +572,34 @@ def test_chats(spark):
     assert got[1]["formatted"].count("<|im_start|>") == 4
 
 
+def test_learnt_texts_across_blocks_and_beyond_the_plane(spark):
+    """Spans that begin, end or lie at the ends of blocks, in code points of all widths."""
+    size = chat.BLOCK
+    texts = ["\U0001f600" * n for n in (0, 1, size - 1, size, size + 1, 3 * size)] + ["\u00e9\n"] * 40
+    rows = [(1, n, "assistant" if n % 3 else "user", t) for n, t in enumerate(texts * 3)]
+    rows += [(2, 0, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chat.format_chats(turns.withColumn("parts", chat.text_parts(F.col("text"))))
+    got = {r["conv_id"]: r["learnt"] for r in chat.read_back(chats).collect()}
+    assert got == {1: [r[3] for r in rows if r[2] == "assistant"], 2: []}
+
+
+def test_long_conversations_are_read_in_linear_time(spark):
+    def seconds(turns):
+        rows = spark.range(turns).select(
+            F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
+            F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+            chat.text_parts(F.concat(F.lit("some words of turn "), F.col("id"))).alias("parts"),
+        )
+        start = time.perf_counter()
+        row = chat.read_back(chat.format_chats(rows)).select("learnt", F.size("turns")).first()
+        assert row[1] == turns and row["learnt"][-1] == f"some words of turn {turns - 1}"
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 20
+
+
 def test_chat_parts(spark):
     parts = [
         ("text", "See <|image_1|> ", None, None, None, None, None),
