@@ -1,19 +1,25 @@
 """Near duplicates by SimHash, found with Golay-code keys.
 
-Fingerprints have 64 bits and are cut into three segments of 21, 21 and 22. If two of
-them differ in at most four bits, one of these holds:
-
-- two segments differ in one bit or none each;
-- one segment is equal, and the others differ in two bits each. Then of three parts of
-  the next segment one is equal too.
-
-The second case needs plain equal keys: a segment and a part, 28 or 29 bits. For the first
-case a segment is read as a word of the (23, 12) Golay code, whose spheres of radius 3 fill
-the space. One side of the join gives the index of the codeword that a segment decodes to;
-the other side gives the indices of all codewords within distance 4, which are one or six.
-If the segments differ in at most one bit, the first index is among the second ones. A key
-is the indices of two segments. So each fingerprint has 12 keys on one side and at most
-117 on the other, and no link is lost.
+Fingerprints have 64 bits and are cut into three segments of 21, 21 and 22. A segment is
+also read as a word of the (23, 12) Golay code, whose spheres of radius 3 fill the space: if
+two segments differ in one bit, the codeword that one decodes to is among the codewords
+within distance 4 of the other, which are one or six. Four errors or less fall on the three
+segments in one of these ways, and each has keys of its own:
+
+- two segments are equal: their 42 or 43 bits;
+- one is equal, another differs in one bit: the equal segment and a codeword index of the
+  other;
+- one is equal, the others differ in two bits each: the equal segment, one of three parts of
+  the next segment, as two errors leave one part equal, and the parities of both;
+- none is equal: two differ in one bit, the third in two at most: the codeword indices of
+  the two, and one of three parts of the third.
+
+A segment that differs in one bit differs in parity, so in the second and last way one
+fingerprint of a pair has even parity there and holds the key, the other one seeks it. In
+the last way the other segment's parity differs too, so whether the two parities agree is
+part of the key. There the holder gives all near codewords of the first segment and the
+nearest of the second, the seeker the other way round: six keys each, not one and 36. All
+in all a fingerprint has at most 102 keys of 30 bits or more, and no link is lost.
 
 Only distinct fingerprints are joined. A key is first compared with up to three of its
 holders, which joins large groups of near copies in as many rows as they have keys.
@@ -22,7 +28,7 @@ not made: members of the largest class of a key meet only what is outside of it.
 """
 
 from collections.abc import Iterator
-from itertools import combinations, product
+from itertools import combinations, count, permutations
 
 import numpy as np
 import pandas as pd
@@ -46,8 +52,8 @@ HASHES_AT_ONCE = 1 << 16
 # First bit and width of the segments, and in a segment of its three parts.
 SEGMENTS = [(0, 21), (21, 21), (42, 22)]
 PARTS = [(0, 7), (7, 7), (14, 8)]
-GOLAY_PAIRS = [(0, 1), (0, 2), (1, 2)]
-EQUAL_PAIRS = [(0, 1), (1, 2), (2, 0)]
+# What a fingerprint does with a key: it holds it, seeks its holders, or both.
+HOLDS, SEEKS = 1, 2
 
 
 def fingerprint(text: str | None) -> int:
@@ -117,46 +123,69 @@ def _bits(values: np.ndarray, first: int, width: int) -> np.ndarray:
     return (values >> first) & ((1 << width) - 1)
 
 
-def _indices(segment: np.ndarray, near: bool, code: tuple) -> np.ndarray:
-    """Codeword indices of segments: the nearest one, or all within distance 4."""
+def _indices(segment: np.ndarray, code: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the codewords within distance 4 of segments, the nearest one first, and
+    which of them are no repeats."""
     syndromes, errors = code
-    patterns = errors[syndromes[segment]][:, : 6 if near else 1]
-    return (segment[:, None] ^ patterns) >> 11
+    patterns = errors[syndromes[segment]]
+    fresh = patterns != patterns[:, :1]
+    fresh[:, 0] = True
+    return (segment[:, None] ^ patterns) >> 11, fresh
 
 
-def keys_of(
-    values: np.ndarray, near: bool, code: tuple
-) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row, key) of 64-bit fingerprints, without repeats; ``code`` is ``_golay()``."""
+def keys_of(values: np.ndarray, code: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, role) of 64-bit fingerprints, without repeats; ``code`` is ``_golay()``."""
     segments = [_bits(values, first, width) for first, width in SEGMENTS]
-    indices = [_indices(segment, near, code) for segment in segments]
-    rows, keys = [], []
-    for kind, (a, b) in enumerate(GOLAY_PAIRS):
-        both = indices[a][:, :, None] << 12 | indices[b][:, None, :]
-        both = both.reshape(len(values), -1)
-        both.sort(axis=1)
-        fresh = np.ones(both.shape, bool)
-        fresh[:, 1:] = both[:, 1:] != both[:, :-1]
-        row, column = np.nonzero(fresh)
-        rows.append(row)
-        keys.append(both[row, column] | kind << 40)
-    for kind, ((a, b), part) in enumerate(product(EQUAL_PAIRS, PARTS), len(GOLAY_PAIRS)):
-        rows.append(np.arange(len(values)))
-        keys.append(segments[a] << 8 | _bits(segments[b], *part) | kind << 40)
-    return np.concatenate(rows), np.concatenate(keys)
-
-
-def _keyed(prints: DataFrame, near: bool) -> DataFrame:
-    """A row (key, and the columns of ``prints``) for each key of each ``fp``."""
-    schema = T.StructType([T.StructField("key", T.LongType()), *prints.schema.fields])
+    odd = [np.bitwise_count(segment) & 1 for segment in segments]
+    indices, fresh = zip(*(_indices(segment, code) for segment in segments))
+    kinds, found = count(), []
+
+    def emit(kind: int, keys: np.ndarray, of: np.ndarray, role: int) -> None:
+        """Keys of a kind, a line for each row, where ``of`` says so."""
+        row, column = np.nonzero(of)
+        found.append((row, keys[row, column] | kind << 48, np.full(len(row), role, np.int8)))
+
+    whole = np.ones((len(values), 1), bool)
+    for a, b in combinations(range(3), 2):
+        keys = segments[a] << 22 | segments[b]
+        emit(next(kinds), keys[:, None], whole, HOLDS | SEEKS)
+    for a, b in permutations(range(3), 2):
+        kind, seeks = next(kinds), odd[b][:, None] == 1
+        keys = segments[a][:, None] << 12 | indices[b]
+        emit(kind, keys[:, :1], ~seeks, HOLDS)
+        emit(kind, keys, fresh[b] & seeks, SEEKS)
+    for a, b, c in [(0, 1, 2), (1, 2, 0), (2, 0, 1)]:
+        seeks = odd[b][:, None] == 1
+        for part in PARTS:
+            keys = (segments[a] << 8 | _bits(segments[b], *part)) << 2 | odd[b] << 1 | odd[c]
+            emit(next(kinds), keys[:, None], whole, HOLDS | SEEKS)
+            kind = next(kinds)
+            keys = (_bits(segments[a], *part) << 1 | odd[b] ^ odd[c])[:, None] << 24
+            emit(kind, keys | indices[b] << 12 | indices[c][:, :1], fresh[b] & ~seeks, HOLDS)
+            emit(kind, keys | indices[b][:, :1] << 12 | indices[c], fresh[c] & seeks, SEEKS)
+    rows, keys, roles = (np.concatenate(column) for column in zip(*found))
+    return rows, keys, roles
+
+
+def _keyed(prints: DataFrame, roles: int) -> DataFrame:
+    """A row (key, fp, seeks) for each key of each ``fp`` that has one of the roles."""
+    schema = "key long, fp long, seeks boolean"
 
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = _golay()
         for frame in frames:
-            rows, keys = keys_of(frame["fp"].to_numpy(np.int64), near, code)
-            yield frame.iloc[rows].assign(key=keys)[schema.names]
+            values = frame["fp"].to_numpy(np.int64)
+            rows, keys, role = keys_of(values, code)
+            wanted = role & roles > 0
+            yield pd.DataFrame(
+                {
+                    "key": keys[wanted],
+                    "fp": values[rows[wanted]],
+                    "seeks": role[wanted] & SEEKS > 0,
+                }
+            )
 
-    return prints.mapInPandas(emit, schema)
+    return prints.select("fp").mapInPandas(emit, schema)
 
 
 def _close(a: Column, b: Column) -> Column:
@@ -169,7 +198,7 @@ def links(prints: DataFrame) -> DataFrame:
     Every pair within four bits ends in one class; pairs inside a class that other
     edges join already are left out.
     """
-    holders = written(_keyed(prints, near=False), "simhash-holders")
+    holders = _keyed(prints, HOLDS).select("key", "fp")
     hubs = holders.groupBy("key").agg(
         F.array_distinct(
             F.array(F.min("fp"), F.max("fp"), F.min_by("fp", F.xxhash64("fp")))
@@ -177,12 +206,14 @@ def links(prints: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
     )
     near = F.filter("hubs", lambda hub: (hub != F.col("fp")) & _close(hub, F.col("fp")))
-    # The least and the greatest of two holders are both hubs.
+    # The least and the greatest of two holders are both hubs. Holders meet hubs too, so
+    # that a large group falls into one class.
+    crowded = F.col("seeks") & (F.col("n") > 2)
     met = written(
-        _keyed(prints, near=True)
+        _keyed(prints, HOLDS | SEEKS)
         .join(hubs, "key")
-        .where((F.col("n") > 2) | (F.size(near) > 0))
-        .select("key", "fp", near.alias("near"), (F.col("n") > 2).alias("crowded")),
+        .where(crowded | (F.size(near) > 0))
+        .select("key", "fp", near.alias("near"), crowded.alias("crowded")),
         "simhash-met",
     )
     edges = written(

@@ -111,16 +111,24 @@ def test_golay_keys_meet_within_four_bits():
 
     draw, code = np.random.default_rng(5), simhash._golay()
     for bits in (1, 2, 3, 4):
-        values = draw.integers(-(2**63), 2**63 - 1, 400)
+        values = draw.integers(-(2**63), 2**63 - 1, 3_000)
         flips = [draw.choice(64, bits, replace=False) for _ in values]
         masks = np.array([sum(1 << int(b) for b in f) for f in flips], np.uint64).view(np.int64)
-        held = [set() for _ in values]
-        for row, key in zip(*simhash.keys_of(values, False, code)):
-            held[row].add(key)
-        sought = [set() for _ in values]
-        for row, key in zip(*simhash.keys_of(values ^ masks, True, code)):
-            sought[row].add(key)
-        assert all(a & b for a, b in zip(held, sought))
+        held, sought = [], []
+        for side in (values, values ^ masks):
+            holds, seeks = ([set() for _ in values] for _ in range(2))
+            for row, key, role in zip(*simhash.keys_of(side, code)):
+                assert key not in holds[row] | seeks[row]
+                if role & simhash.HOLDS:
+                    holds[row].add(key)
+                if role & simhash.SEEKS:
+                    seeks[row].add(key)
+                assert len(holds[row] | seeks[row]) <= 102
+            held.append(holds)
+            sought.append(seeks)
+        assert all(
+            h & s or g & t for h, s, g, t in zip(held[0], sought[1], held[1], sought[0])
+        )
 
 
 def test_secrets(docs):
