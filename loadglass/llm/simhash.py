@@ -211,7 +211,7 @@ def links(prints: DataFrame) -> DataFrame:
     crowded = F.col("seeks") & (F.col("n") > 2)
     met = written(
         _keyed(prints, HOLDS | SEEKS)
-        .join(hubs, "key")
+        .join(hubs.hint("merge"), "key")
         .where(crowded | (F.size(near) > 0))
         .select("key", "fp", near.alias("near"), crowded.alias("crowded")),
         "simhash-met",
