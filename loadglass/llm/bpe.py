@@ -14,7 +14,9 @@ pattern for words, characters up to U+024F are normalised and cut here: they hav
 only, and what is a letter, a digit or white space among them does not change any more.
 
 The driver reads the file and sends it to the tasks; its size is that of the vocabulary.
-Each text is encoded by itself, without a shuffle.
+Each text is encoded by itself, without a shuffle. A Python worker holds the vocabulary and what
+it remembers, and steps in Python that follow each other have a worker each for every core. So
+``encode`` also makes the packed tokens and the decoded texts, in the same worker.
 
 Cases: a null text is an empty one and has no tokens, and a null row of tokens decodes to the
 empty text. Texts of any length are encoded whole. Rows that repeat each get their own
@@ -38,6 +40,7 @@ from loadglass.llm.common import slices
 
 TOKENS = "token_ids"
 DECODED = "decoded"
+PACKED = "packed"
 
 # Pieces that a task remembers before it begins again, and bytes of texts that it works on at
 # once. They bound memory, and change no result.
@@ -433,17 +436,16 @@ def _parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
                 yield batch.slice(row, 1)
 
 
-def _with_column(
+def _with_columns(
     frame: DataFrame,
     vocabulary: str,
     column: str,
-    into: str,
-    kind: T.DataType,
-    convert: Callable[[str], Callable[[pa.Array], pa.Array]],
+    made: dict[str, T.DataType],
+    convert: Callable[[str], Callable[[pa.Array], list[pa.Array]]],
 ) -> DataFrame:
-    """The frame with a column that is made of another one, some rows at a time."""
-    kept = [field for field in frame.schema.fields if field.name != into]
-    schema = T.StructType([*kept, T.StructField(into, kind)])
+    """The frame with columns that are made of another one, some rows at a time."""
+    kept = [field for field in frame.schema.fields if field.name not in made]
+    schema = T.StructType([*kept, *(T.StructField(name, kind) for name, kind in made.items())])
     arrow = to_arrow_schema(schema)
     content = frame.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
@@ -453,7 +455,10 @@ def _with_column(
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(f.name).cast(arrow.field(f.name).type) for f in kept),
-                    function(batch.column(column)).cast(arrow.field(into).type),
+                    *(
+                        values.cast(arrow.field(name).type)
+                        for name, values in zip(made, function(batch.column(column)))
+                    ),
                 ],
                 schema=arrow,
             )
@@ -472,6 +477,16 @@ def _encoding(content: str) -> Callable[[pa.Array], pa.Array]:
     return encoded
 
 
+def _packed(rows: pa.Array) -> pa.Array:
+    """Tokens of each row as little-endian unsigned 32-bit integers."""
+    flat = rows.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+    sizes = rows.value_lengths().to_numpy(zero_copy_only=False)
+    ends = 4 * np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(flat)]
+    )
+
+
 def _decoding(content: str) -> Callable[[pa.Array], pa.Array]:
     settings = json.loads(content)
     contents = contents_of(settings)
@@ -501,16 +516,38 @@ def _decoding(content: str) -> Callable[[pa.Array], pa.Array]:
 
 
 def encode(
-    frame: DataFrame, vocabulary: str, text: str = "text", into: str = TOKENS
+    frame: DataFrame,
+    vocabulary: str,
+    text: str = "text",
+    into: str = TOKENS,
+    packed: str | None = None,
+    decoded: str | None = None,
 ) -> DataFrame:
     """``frame`` with the tokens of its texts, an array of int.
 
     ``vocabulary`` is the path of a tokenizer's file, which the driver can open. The
-    module's docstring states the cases.
+    module's docstring states the cases. ``packed`` and ``decoded`` name further columns: the
+    tokens as little-endian unsigned 32-bit integers, a binary, and what ``decode`` makes of them.
     """
-    return _with_column(
-        frame, vocabulary, text, into, T.ArrayType(T.IntegerType()), _encoding
-    )
+    made = {into: T.ArrayType(T.IntegerType())}
+    if packed:
+        made[packed] = T.BinaryType()
+    if decoded:
+        made[decoded] = T.StringType()
+
+    def convert(content: str) -> Callable[[pa.Array], list[pa.Array]]:
+        steps = [_packed] if packed else []
+        if decoded:
+            steps.append(_decoding(content))
+        encoded = _encoding(content)
+
+        def values(texts: pa.Array) -> list[pa.Array]:
+            tokens = encoded(texts)
+            return [tokens, *(step(tokens) for step in steps)]
+
+        return values
+
+    return _with_columns(frame, vocabulary, text, made, convert)
 
 
 def decode(
@@ -518,4 +555,9 @@ def decode(
 ) -> DataFrame:
     """``frame`` with the texts that its tokens stand for, special ones too. Numbers that are no
     token have no text."""
-    return _with_column(frame, vocabulary, tokens, into, T.StringType(), _decoding)
+
+    def convert(content: str) -> Callable[[pa.Array], list[pa.Array]]:
+        decoded = _decoding(content)
+        return lambda rows: [decoded(rows)]
+
+    return _with_columns(frame, vocabulary, tokens, {into: T.StringType()}, convert)

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import re
 import time
 
 import numpy as np
@@ -60,6 +61,22 @@ def test_query(spark, documents, edge_documents, folder, tmp_path):
     assert sorted(repr(tuple(row)) for row in found.collect()) == expected
 
 
+def test_query_has_one_python_worker_a_task(spark, documents, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    documents.limit(5).write.parquet(path)
+    plan = queries.op13_bpe(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("MapInArrow|Python|Pandas", plan)) == 1
+
+
+def test_columns_made_with_the_tokens(spark):
+    texts = [None, "", *HARD, "one two"]
+    frame = spark.createDataFrame([(n, t, 1) for n, t in enumerate(texts)], "n int, text string, packed int")
+    rows = bpe.encode(frame, WORDS, packed="packed", decoded="text").orderBy("n").collect()
+    ids, decoded = in_library(WORDS, texts)
+    assert [row["token_ids"] for row in rows] == ids and [row["text"] for row in rows] == decoded
+    assert [bytes(row["packed"]) for row in rows] == [np.array(x, "<u4").tobytes() for x in ids]
+
+
 def test_empty_table_and_clashing_columns(spark):
     frame = spark.createDataFrame([], "text string, token_ids string")
     made = bpe.encode(frame, WORDS)
