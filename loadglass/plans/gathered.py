@@ -48,14 +48,21 @@ def reject_metrics() -> Gathered:
     )
 
 
+def _literals(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """The few rows as literals in the plan, in their order."""
+    kind = T.StructType.fromDDL(columns)
+    values = F.array(*[F.struct(*map(F.lit, row)).cast(kind) for row in rows])
+    return spark.range(0, 1, 1, 1).select(F.inline(values.cast(T.ArrayType(kind))))
+
+
 def null_counts(spark: SparkSession, clean: dict[str, int]) -> DataFrame:
     rows = sorted((name, count) for name, count in clean.items() if name != ROWS)
-    return spark.createDataFrame(rows, "column_name string, null_count long").coalesce(1)
+    return _literals(spark, rows, "column_name string, null_count long")
 
 
 def reject_report(spark: SparkSession, rejects: dict[str, int]) -> DataFrame:
     rows = sorted((name, rejects[name]) for name in REASONS if rejects[name])
-    return spark.createDataFrame(rows, "reject_reason string, rejected long").coalesce(1)
+    return _literals(spark, rows, "reject_reason string, rejected long")
 
 
 def removal_summary(
@@ -63,12 +70,10 @@ def removal_summary(
 ) -> DataFrame:
     kept, removed = clean[ROWS], rejects[ROWS]
     rows = kept + removed
-    columns = T.StructType(
-        [T.StructField(name, T.LongType()) for name in ["rows_in", "rows_kept", "rows_removed"]]
-        + [T.StructField("removed_percent", T.DoubleType())]
-    )
-    return spark.createDataFrame(
-        [(rows, kept, removed, removed / rows * 100.0 if rows else None)], columns
+    return _literals(
+        spark,
+        [(rows, kept, removed, removed / rows * 100.0 if rows else None)],
+        "rows_in long, rows_kept long, rows_removed long, removed_percent double",
     )
 
 

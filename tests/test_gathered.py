@@ -70,6 +70,16 @@ def test_only_rejects(raw, tmp_path):
     assert_as_scanned(written(raw, tmp_path), raw)
 
 
+def test_tables_of_counts_of_any_size(spark):
+    counts = {gathered.ROWS: 5 << 40, "b": 3 << 31, "a": 0}
+    assert [tuple(row) for row in gathered.null_counts(spark, counts).collect()] == [("a", 0), ("b", 3 << 31)]
+    summary = gathered.removal_summary(spark, counts, {gathered.ROWS: 5 << 40})
+    assert [tuple(row) for row in summary.collect()] == [(10 << 40, 5 << 40, 5 << 40, 50.0)]
+    assert gathered.reject_report(spark, dict.fromkeys(REASONS, 0)).collect() == []
+    for table in (gathered.null_counts(spark, counts), summary):
+        assert "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+
+
 def test_attempts_that_fail_are_not_counted(tmp_path):
     """Each task of the writes fails after its rows were counted, and is tried again.
 
