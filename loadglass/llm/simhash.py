@@ -177,9 +177,11 @@ def links(prints: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
     )
     near = F.filter("hubs", lambda hub: (hub != F.col("fp")) & _close(hub, F.col("fp")))
-    # The least and the greatest of two holders are both hubs.
+    # The least and the greatest of two holders are both hubs. The keys count to Spark as a
+    # row for each fingerprint, and must not be broadcast for that.
     met = written(
         _keyed(prints, near=True)
+        .hint("merge")
         .join(hubs, "key")
         .where((F.col("n") > 2) | (F.size(near) > 0))
         .select("key", "fp", near.alias("near"), (F.col("n") > 2).alias("crowded")),
