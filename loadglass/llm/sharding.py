@@ -67,8 +67,11 @@ def directory(keys: DataFrame, max_bytes: int = MAX_BYTES) -> list[tuple[int, Da
             )
             .where((F.col("bytes") <= max_bytes) | (F.col("low") == F.col("high")))
         )
+        # The prefixes count to Spark as one row for each of ``fine``, and must not be broadcast
+        # for that.
         placed = written(
             prefixes.select("fine", "depth", "prefix")
+            .hint("merge")
             .join(fits.select("depth", "prefix"), ["depth", "prefix"])
             .groupBy("fine")
             .agg(F.min("depth").alias("depth")),

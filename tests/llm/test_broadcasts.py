@@ -2,7 +2,7 @@
 
 import pytest
 
-from loadglass.llm import simhash
+from loadglass.llm import sharding, simhash
 
 
 @pytest.fixture
@@ -30,3 +30,15 @@ def test_keys_of_fingerprints_are_not_broadcast(spark, plans):
     assert edges == {(1, 0), (1 << 40, 0), (1 << 40, 1)}
     (plan,) = found["simhash-met"]
     assert "MapInPandas" in plan and "Broadcast" not in plan
+
+
+def test_prefixes_of_keys_are_not_broadcast(spark, plans):
+    found = plans(sharding)
+    keys = [(n << 54, 10) for n in range(64)] + [(n, 10) for n in range(8)]
+    table = sharding.directory(spark.createDataFrame(keys, "key long, bytes long"), 40)
+    depths = {row["fine"]: row["depth"] for row in table[0][1].collect()}
+    # Four keys fit, so four bits name a shard but where eight more keys are.
+    crowded = {1 << 3: 6, 2 << 3: 5, 3 << 3: 5}
+    assert depths == crowded | {n << 3: 4 for n in range(4, 64)} and len(table) > 1
+    for plan in found["sharding-directory"]:
+        assert "Generate" in plan and "Broadcast" not in plan
