@@ -1,8 +1,11 @@
 """Rows that Spark counts too low, as after an explode, are not broadcast."""
 
+import re
+
+import corpus_pipeline
 import pytest
 
-from loadglass.llm import sharding, simhash
+from loadglass.llm import components, sharding, simhash
 
 
 @pytest.fixture
@@ -42,3 +45,28 @@ def test_prefixes_of_keys_are_not_broadcast(spark, plans):
     assert depths == crowded | {n << 3: 4 for n in range(4, 64)} and len(table) > 1
     for plan in found["sharding-directory"]:
         assert "Generate" in plan and "Broadcast" not in plan
+
+
+def made_rows_broadcast(plan):
+    """What makes several rows of one, and is broadcast as it comes out."""
+    names = [re.sub(r"^[^A-Za-z]+(\(\d+\) )?", "", line).split(" ")[0] for line in plan.split("\n")]
+    found = []
+    for at, name in enumerate(names):
+        if name == "BroadcastExchange":
+            below = (x for x in names[at + 1 :] if x not in ("Project", "Filter"))
+            found += [x for x in [next(below)] if x.startswith(("Generate", "MapIn"))]
+    return found
+
+
+def test_pipeline_broadcasts_no_rows_that_it_makes(spark, folder, plans):
+    found = [plans(module) for module in (components, sharding, simhash)]
+    texts = [f"the {n} words of a text {n * n} that is {n} of its own" for n in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts + texts[:3])), "doc_id long, text string")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["near_duplicates"](spark, docs, folder)
+    shards = stages["shards"](spark, kept, folder)
+    assert shards.count() == kept.count() > 0
+    written = [plan for plans in found for of in plans.values() for plan in of]
+    assert any("MapInPandas" in plan for plan in written)
+    assert any("Generate" in plan for plan in written)
+    assert [name for plan in written for name in made_rows_broadcast(plan)] == []
